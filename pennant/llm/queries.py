@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import exact_dedup, mixing, secrets
+from pennant.llm import decontaminate, exact_dedup, mixing, secrets
 from pennant.llm.common import table
 
 
@@ -30,6 +30,10 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.replicate(table(spark, sf_dir, "documents").select("doc_id", "source"))
     return rows.select("doc_id", "source", F.col("_copy").cast("long").alias("copy"), F.col("_copies").cast("long").alias("n_copies"), F.col("_order").alias("order_key"))
@@ -55,6 +59,7 @@ FROM m, range(0, 64) t(k) WHERE k < n_copies
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
+    "op7_decontaminate": op7_decontaminate,
     "op9_mixing": op9_mixing,
 }
 
