@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pennant.llm import exact_dedup, mixing
+from pennant.llm import decontaminate, exact_dedup, mixing, near_dedup
 from pennant.llm.common import materialize, table
 
 
@@ -13,12 +13,22 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.remove_repeats(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class of near-duplicates stays."""
+    return near_dedup.remove_near(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target weights of their sources."""
     return mixing.replicate(docs)
 
 
-STAGES = [("exact_dedup", exact), ("mixing", mix)]
+STAGES = [("exact_dedup", exact), ("near_dedup", near), ("decontaminate", clean), ("mixing", mix)]
 ORACLE_SQL = None
 
 

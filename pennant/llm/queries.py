@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import decontaminate, exact_dedup, mixing, secrets
+from pennant.llm import decontaminate, exact_dedup, mixing, near_dedup, secrets, substring_dedup
 from pennant.llm.common import table
 
 
@@ -30,6 +30,14 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.decide(table(spark, sf_dir, "documents"))
+
+
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.decide(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +67,8 @@ FROM m, range(0, 64) t(k) WHERE k < n_copies
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op6_near_dedup": op6_near_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op9_mixing": op9_mixing,
 }
