@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pennant.llm import decontaminate, exact_dedup, mixing, near_dedup
+from pennant.llm import decontaminate, exact_dedup, mixing, near_dedup, toxicity
 from pennant.llm.common import materialize, table
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go; the network learns from the labels of the documents at hand."""
+    return toxicity.remove_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     return exact_dedup.remove_repeats(docs)
@@ -28,7 +33,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.replicate(docs)
 
 
-STAGES = [("exact_dedup", exact), ("near_dedup", near), ("decontaminate", clean), ("mixing", mix)]
+STAGES = [("toxicity", toxic), ("exact_dedup", exact), ("near_dedup", near), ("decontaminate", clean), ("mixing", mix)]
 ORACLE_SQL = None
 
 

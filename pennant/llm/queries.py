@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import decontaminate, exact_dedup, mixing, near_dedup, secrets, substring_dedup
+from pennant.llm import decontaminate, exact_dedup, mixing, near_dedup, ppm, secrets, substring_dedup, toxicity
 from pennant.llm.common import table
 
 
@@ -42,6 +42,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.replicate(table(spark, sf_dir, "documents").select("doc_id", "source"))
     return rows.select("doc_id", "source", F.col("_copy").cast("long").alias("copy"), F.col("_copies").cast("long").alias("n_copies"), F.col("_order").alias("order_key"))
@@ -70,7 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_decontaminate": op7_decontaminate,
+    "op8_ppm": op8_ppm,
     "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
