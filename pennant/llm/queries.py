@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import decontaminate, exact_dedup, mixing, near_dedup, ppm, secrets, substring_dedup, toxicity
+from pennant.llm import chat_format, decontaminate, exact_dedup, html_extract, mixing, near_dedup, ppm, secrets, substring_dedup, toxicity
 from pennant.llm.common import table
 
 
@@ -34,6 +34,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.repair(table(spark, sf_dir, "conversations"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.decide(table(spark, sf_dir, "documents"))
 
@@ -76,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_html_extract": op4_html_extract,
+    "op5_chat_format": op5_chat_format,
     "op6_near_dedup": op6_near_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_ppm": op8_ppm,
