@@ -1,6 +1,8 @@
-"""Registered queries over the driver's tables and their SQL twins."""
+"""All registered queries over the driver's tables and their SQL twins."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from pennant.plans import window_queries  # noqa: F401
+from pennant.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
