@@ -204,9 +204,9 @@ def starter_rest(counts: DataFrame) -> DataFrame:
 
 
 def team_games(games: DataFrame) -> DataFrame:
-    """Two rows per game: the side's team, runs for and against, and whether it won; games to come have nulls."""
+    """Two rows per regular game: the side's team, runs for and against, and whether it won; games to come have nulls."""
     side = lambda s, o: F.struct(F.lit(s).alias("side"), F.col(f"{s}_team_id").alias("entity"), F.col(f"{s}_score").alias("rf"), F.col(f"{o}_score").alias("ra"))
-    rows = games.select(F.col("id").alias("game"), "season", "game_date", F.coalesce(F.col("game_number").cast("long"), F.lit(0)).alias("number"), F.explode(F.array(side("home", "away"), side("away", "home"))).alias("s"))
+    rows = games.filter("game_type = 'regular'").select(F.col("id").alias("game"), "season", "game_date", F.coalesce(F.col("game_number").cast("long"), F.lit(0)).alias("number"), F.explode(F.array(side("home", "away"), side("away", "home"))).alias("s"))
     return rows.select("game", "season", "game_date", "number", "s.*", (F.col("s.rf") > F.col("s.ra")).cast("int").alias("won"))
 
 

@@ -26,11 +26,11 @@ def first_wins(df: DataFrame, keys: Sequence[str], at: str, delay: str = "1 day"
     return df.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def changes(df: DataFrame, keys: Sequence[str], at: str, value: str, ttl_hours: float = 24 * 30) -> DataFrame:
+def changes(df: DataFrame, keys: Sequence[str], at: str, value: str, delay: str = "1 day", ttl_hours: float = 24 * 30) -> DataFrame:
     """Rows whose value differs from their key's last one, null being a value.
 
     State is one value per key and is dropped when a key has been silent for
-    ttl_hours, so it follows the active keys.
+    ttl_hours of event time, so it follows the active keys.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     state = f"value {kinds[value].simpleString()}, seen boolean"
@@ -47,10 +47,11 @@ def changes(df: DataFrame, keys: Sequence[str], at: str, value: str, ttl_hours:
             keep.append(not seen or v != last)
             last, seen = v, True
         held.update((last, seen))
-        held.setTimeoutDuration(int(ttl_hours * 3.6e6))
+        silent = int(rows[at].max().timestamp() * 1000 + ttl_hours * 3.6e6)
+        held.setTimeoutTimestamp(max(silent, held.getCurrentWatermarkMs() + 1))
         yield rows[keep]
 
-    return df.groupBy(*keys).applyInPandasWithState(step, df.schema, state, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return df.withWatermark(at, delay).groupBy(*keys).applyInPandasWithState(step, df.schema, state, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def latest(df: DataFrame, keys: Sequence[str], at: str, values: Sequence[str]) -> DataFrame:
