@@ -16,10 +16,12 @@ weight has all components filled; a text that lacks some gets more time.
 
 Texts with the same words are one row from the start. Signatures are banded
 (32 bands of 4: a pair at 0.8 is missed once in 2e7). In each bucket all members
-are compared to one of them, which is linear; what they confirm is joined into
-components. Only buckets that still hold several components are compared member
-by member, across components, by sketches of 256 bits inside the join, and by
-exact multiset overlap after it. Nothing is capped.
+are compared to one of them, which is linear: the one that shares most bands with
+others, as copies of one original resemble it more than each other. What this
+confirms is joined into components. Only buckets that still hold several
+components are compared member by member, across components: their texts get
+signatures of 1024 components, whose sketches of 2048 bits, with the sizes, rule
+pairs out inside the join, and exact multiset overlap follows. Nothing is capped.
 
 Null texts have no words; texts without words are alone in their class. Null ids
 sort after all others. Rows that repeat id and text share their class and their
@@ -46,10 +48,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 COMPONENTS = 128
 ROWS = 4
-#: Sketch bits in which a pair at the least similarity differs, and 4.5 standard deviations more.
-FAR_BITS = 52
-#: Components get this many points on average before time ends for a text: ln(128) + 4.
-POINTS = 8.85
+#: Components for texts that are compared across components of the graph.
+FINE = 1024
 FIRST_SLAB = 2.0**-9
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD1B54A32D192ED03)]
 
@@ -87,7 +87,7 @@ def _unit(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
-def _points(h: np.ndarray, of: np.ndarray, count: np.ndarray, until: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _points(h: np.ndarray, of: np.ndarray, count: np.ndarray, until: np.ndarray, components: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """text, component and time of all points before each text's time is over."""
     for level in range(int(count.max()).bit_length() + 1):
         low, width = (0, 1) if level == 0 else (1 << (level - 1), 1 << (level - 1))
@@ -98,7 +98,7 @@ def _points(h: np.ndarray, of: np.ndarray, count: np.ndarray, until: np.ndarray)
         while len(have):
             end = FIRST_SLAB * 2.0**slab
             seed = mix(h[have] + np.uint64((int(_C[0]) * (level + 1) + int(_C[1]) * (slab + 1)) % (1 << 64)))
-            n = _poisson(_unit(seed), COMPONENTS * width * (end - start))
+            n = _poisson(_unit(seed), components * width * (end - start))
             which = np.repeat(np.arange(len(have)), n)
             k = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
             v = mix(seed[which] + _C[2] * (k.astype(np.uint64) + np.uint64(1)))
@@ -108,58 +108,83 @@ def _points(h: np.ndarray, of: np.ndarray, count: np.ndarray, until: np.ndarray)
             ok = t <= until[of[source]]
             if width > 1:
                 ok &= low + width * _unit(mix(v + _C[1])) < count[source]
-            yield of[source[ok]], (v[ok] & np.uint64(COMPONENTS - 1)).astype(np.int64), t[ok]
+            yield of[source[ok]], (v[ok] & np.uint64(components - 1)).astype(np.int64), t[ok]
             have = have[until[of[have]] > end]
             start, slab = end, slab + 1
 
 
-def signatures(h: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
-    """n x COMPONENTS times of first points; infinity throughout for a text without shingles."""
+def signatures(h: np.ndarray, of: np.ndarray, n: int, components: int = COMPONENTS) -> np.ndarray:
+    """n x components times of first points; infinity throughout for a text without shingles."""
     h, of, count = _counts(h, of)
     weight = np.bincount(of, weights=count, minlength=n)
-    out = np.full((n, COMPONENTS), np.inf)
-    factor = POINTS
+    out = np.full((n, components), np.inf)
+    # So many points on average for each component, and few texts lack one.
+    factor = np.log(components) + 4
     while len(h):
         until = factor / np.maximum(weight, 1)
-        for text, component, t in _points(h, of, count, until):
-            np.minimum.at(out.ravel(), text * COMPONENTS + component, t)
+        for text, component, t in _points(h, of, count, until, components):
+            np.minimum.at(out.ravel(), text * components + component, t)
         lack = np.isinf(out).any(axis=1)
         again = lack[of]
         h, of, count, factor = h[again], of[again], count[again], 2 * factor
     return out
 
 
+def _sketch(signature: np.ndarray) -> np.ndarray:
+    """Two bits of each component, in 64-bit numbers."""
+    mixed = mix(np.ascontiguousarray(signature).view(np.uint64))
+    pairs = np.stack([mixed & np.uint64(1), (mixed >> np.uint64(1)) & np.uint64(1)], axis=2).reshape(len(mixed), -1).astype(np.uint8)
+    return np.packbits(pairs, axis=1).view(np.uint64)
+
+
+def far_bits(components: int, similarity: float) -> int:
+    """Sketch bits in which a pair at that similarity differs on average, and 4.5 standard deviations more."""
+    apart = 1 - similarity
+    return int(components * apart + 4.5 * (components * (1.5 * apart - apart * apart)) ** 0.5)
+
+
 def _banded(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Band hashes (n x 32) and sketches (n x 4)."""
     bits = np.ascontiguousarray(signature).view(np.uint64)
     bands = np.zeros((len(bits), COMPONENTS // ROWS), np.uint64) + np.arange(COMPONENTS // ROWS, dtype=np.uint64)
     for k in range(ROWS):
         bands = mix(bands * _C[0] + bits[:, k::ROWS])
-    mixed = mix(bits)
-    pairs = np.stack([mixed & np.uint64(1), (mixed >> np.uint64(1)) & np.uint64(1)], axis=2).reshape(len(bits), -1).astype(np.uint8)
-    return bands, np.packbits(pairs, axis=1).view(np.uint64)
+    return bands, _sketch(signature)
+
 
+def _sketch_finely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for first in range(0, whole.num_rows, 1024):
+            batch = whole.slice(first, 1024)
+            rows = []
+            for w in chunks(batch.column(1), NOT_SPACE, lower=True):
+                rows.append(_sketch(signatures(*shingles(w), w.last - w.first, FINE)))
+            flat = np.concatenate(rows).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array((np.arange(len(flat) + 1) * flat.shape[1]).astype(np.int32)), pa.array(flat.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["rid", "sketch"])
 
-SIGNED = "doc_id long, key long, th long, digest binary, bands array<long>, sketch array<long>"
+
+SIGNED = "doc_id long, key long, th long, digest binary, bands array<long>, sketch array<long>, n long"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        digests, bands, sketches, empty = [], [], [], []
+        digests, bands, sketches, counts = [], [], [], []
         for w in chunks(batch.column(3), NOT_SPACE, lower=True):
             raw, cuts = w.data.tobytes(), w.offsets.tolist()
             digests += [hashlib.sha256(b" ".join(raw[a:b].split())).digest() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             b, s = _banded(signatures(*shingles(w), w.last - w.first))
             bands.append(b)
             sketches.append(s)
-            empty.append(w.counts == 0)
+            counts.append(w.counts)
         if not digests:
             continue
-        bands, sketches, empty = np.concatenate(bands), np.concatenate(sketches), np.concatenate(empty)
+        bands, sketches, counts = np.concatenate(bands), np.concatenate(sketches), np.concatenate(counts)
+        empty = counts == 0
         sizes = np.where(empty, 0, bands.shape[1])
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(bands[~empty].ravel().view(np.int64)))
         fixed = pa.ListArray.from_arrays(pa.array((np.arange(len(empty) + 1) * 4).astype(np.int32)), pa.array(sketches.ravel().view(np.int64)))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(digests, pa.binary()), lists, fixed], names=["doc_id", "key", "th", "digest", "bands", "sketch"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(digests, pa.binary()), lists, fixed, pa.array(np.where(empty, 0, np.maximum(counts - SHINGLE, 0) + 1))], names=["doc_id", "key", "th", "digest", "bands", "sketch", "n"])
 
 
 def _shingle_lists(column: pa.Array) -> list[np.ndarray]:
@@ -194,8 +219,14 @@ def _verify(similarity: float):
     return verify
 
 
-def _differing(x: str, y: str) -> Column:
-    return reduce(add, (F.bit_count(F.get(x, k).bitwiseXOR(F.get(y, k))) for k in range(4)))
+def _differing(components: int) -> Column:
+    """Bits in which the sketches x0, x1, ... and y0, y1, ... differ."""
+    return reduce(add, (F.bit_count(F.col(f"x{k}").bitwiseXOR(F.col(f"y{k}"))) for k in range(components // 32)))
+
+
+def _side(rows: DataFrame, rid: str, n: str, prefix: str, components: int, *others: Column) -> DataFrame:
+    """One side of a comparison: its sketch as columns, which join conditions read faster than an array."""
+    return rows.select(F.col("rid").alias(rid), F.col("n").alias(n), *[F.get("sketch", k).alias(f"{prefix}{k}") for k in range(components // 32)], *others)
 
 
 class Classes:
@@ -207,8 +238,8 @@ class Classes:
         self.texts, self.similarity = rows.select("key", "th", "text"), similarity
         leads = self.signed.groupBy("digest").agg(F.min(F.struct("key", "th")).alias("lead"))
         self.leads = materialize(leads.select("digest", "lead.key", "lead.th", F.monotonically_increasing_id().alias("rid")), "leads")
-        marks = self.signed.select("key", "th", "bands", "sketch").join(self.leads.select("key", "th", "rid"), ["key", "th"]).dropDuplicates(["rid"])
-        self.marks = materialize(marks.filter(F.size("bands") > 0).select("rid", "bands", "sketch"), "marks")
+        marks = self.signed.select("key", "th", "bands", "sketch", "n").join(self.leads.select("key", "th", "rid"), ["key", "th"]).dropDuplicates(["rid"])
+        self.marks = materialize(marks.filter(F.size("bands") > 0).select("rid", "bands", "sketch", "n"), "marks")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose texts overlap enough."""
@@ -221,24 +252,34 @@ class Classes:
         return materialize(found.distinct(), "links")
 
     def _close(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose sketches don't rule out the similarity."""
-        sketch = self.marks.select("rid", "sketch")
-        pairs = pairs.join(sketch.withColumnsRenamed({"rid": "a", "sketch": "x"}), "a").join(sketch.withColumnsRenamed({"rid": "b", "sketch": "y"}), "b")
-        return pairs.filter(_differing("x", "y") <= FAR_BITS).select("a", "b")
+        """Pairs that neither sketches nor sizes rule out."""
+        pairs = pairs.join(_side(self.marks, "a", "nx", "x", COMPONENTS), "a").join(_side(self.marks, "b", "ny", "y", COMPONENTS), "b")
+        return pairs.filter(self._possible(COMPONENTS)).select("a", "b")
+
+    def _possible(self, components: int) -> Column:
+        sizes = F.least("nx", "ny") >= F.greatest("nx", "ny") * F.lit(self.similarity)
+        return sizes & (_differing(components) <= far_bits(components, self.similarity))
 
     def links(self) -> DataFrame:
         """Links (a, b) between texts, by rid: enough of them to connect each class."""
         member = self.marks.select("rid", F.explode("bands").alias("band"))
-        lead = member.groupBy("band").agg(F.min("rid").alias("a"), F.count("*").alias("n")).filter("n > 1").select("band", "a")
-        pairs = member.join(lead, "band").filter("rid != a").select("a", F.col("rid").alias("b")).distinct()
+        shared = materialize(member.join(member.groupBy("band").agg(F.count("*").alias("m")).filter("m > 1"), "band"), "shared")
+        score = shared.groupBy("rid").agg(F.sum("m").alias("score"))
+        lead = shared.join(score, "rid").groupBy("band").agg(F.max(F.struct("score", (-F.col("rid")).alias("r"))).alias("best")).select("band", (-F.col("best.r")).alias("hub"))
+        pairs = shared.join(lead, "band").filter("rid != hub").select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")).distinct()
         first = self.verified(materialize(self._close(pairs), "pairs"))
         labels = components(first)
-        held = self.marks.join(labels, F.col("rid") == F.col("v"), "left").select("rid", F.coalesce("c", "rid").alias("c"), "bands", "sketch")
-        held = held.select("rid", "c", "sketch", F.explode("bands").alias("band"))
+        held = shared.join(labels, F.col("rid") == F.col("v"), "left").select("rid", "band", F.coalesce("c", "rid").alias("c"))
         mixed = held.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("band")
         held = materialize(held.join(mixed, "band"), "mixed")
-        x, y = held.withColumnsRenamed({"rid": "a", "c": "ca", "sketch": "x"}), held.withColumnsRenamed({"rid": "b", "c": "cb", "sketch": "y"})
-        rest = x.join(y, "band").filter((F.col("ca") < F.col("cb")) & (_differing("x", "y") <= FAR_BITS)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        named = held.select("rid").distinct().join(self.leads.select("rid", "key", "th"), "rid")
+        fine = self.texts.join(named, ["key", "th"]).select("rid", "text").mapInArrow(_sketch_finely, "rid long, sketch array<long>").dropDuplicates(["rid"])
+        held = materialize(held.join(fine, "rid").join(self.marks.select("rid", "n", "bands"), "rid"), "mixed")
+        x = _side(held, "a", "nx", "x", FINE, F.col("c").alias("ca"), F.col("band").alias("band_x"), F.col("bands").alias("bands_x"))
+        y = _side(held, "b", "ny", "y", FINE, F.col("c").alias("cb"), F.col("band").alias("band_y"), F.col("bands").alias("bands_y"))
+        # A pair that shares several bands comes once, in the least of them.
+        once = F.array_min(F.array_intersect("bands_x", "bands_y")) == F.col("band_x")
+        rest = x.join(y, (F.col("band_x") == F.col("band_y")) & (F.col("ca") < F.col("cb")) & self._possible(FINE) & once).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         return first.unionByName(self.verified(materialize(rest.join(pairs, ["a", "b"], "left_anti"), "rest")))
 
     def classes(self) -> DataFrame:

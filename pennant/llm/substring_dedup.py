@@ -12,8 +12,9 @@ Texts with the same words are counted as one beforehand: all but the one with
 the smallest id lose every word that a window covers, which is all of them.
 
 Statistics of a window are summed before the shuffle. Rows join back to them by
-the window's hash; a passage that a third of all documents share is a hot key on
-the large side of that join alone, which Spark splits. Texts are dealt out once
+the window's hash. The HOT_WINDOWS most frequent windows are broadcast instead,
+and their rows are dealt by a salt, so a passage that a third of all documents
+share goes to many tasks. Texts are dealt out once
 by their identity, and every level reads that exchange.
 
 Windows are compared by a 64-bit hash: among n candidate windows about n*n/2**65
@@ -38,6 +39,9 @@ from pennant.llm.common import id_key, materialize, text_key
 from pennant.llm.words import NOT_SPACE, WORD_BASES, RunHash, Words, chunks, sliding_min, spans_to_mask
 
 WINDOW = 50
+#: Windows that are joined by broadcast, the most frequent ones; any other has under 1/HOT_WINDOWS of all rows.
+HOT_WINDOWS = 1000
+SALTS = 997
 NO_WORDS = hashlib.sha256(b"").digest()
 _FAR = ~np.uint64(0)
 
@@ -183,8 +187,13 @@ class _Levels:
 
 def _repeats(windows: DataFrame) -> DataFrame:
     """Rows whose window starts in texts with different ids, with the smallest of these as `first`."""
-    first = windows.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last")
-    return windows.join(first.select("h", "first"), "h")
+    stats = windows.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("n")).filter("first < last")
+    hot = stats.orderBy(F.desc("n"), "h").limit(HOT_WINDOWS).select("h", F.col("first").alias("hot_first"))
+    salt = F.when(F.col("hot_first").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("rid"), F.lit(SALTS)) + 1).cast("int")
+    rows = windows.join(F.broadcast(hot), "h", "left").withColumn("salt", salt)
+    cold = stats.select("h", "first", F.lit(0).alias("salt"))
+    found = rows.join(cold, ["h", "salt"], "left").withColumn("first", F.coalesce("hot_first", "first"))
+    return found.filter(F.col("first").isNotNull()).drop("salt", "hot_first")
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:

@@ -50,8 +50,10 @@ WORST = 2
 SUPPORT = 3
 INPUTS = 2 * EMBED + 2
 SEED = 7
+#: Texts whose buckets are counted, and words whose vectors are made, at once.
+ODDS_TEXTS, INPUT_WORDS = 100, 16384
 #: Windows that are scored at once, which bounds memory.
-SCORE_WINDOWS = 4096
+SCORE_WINDOWS = 1024
 
 
 @dataclass
@@ -110,20 +112,42 @@ def _unique_words(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 def _inputs(net: Network, word: np.ndarray, grams: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Input vector of each distinct word. Words of one byte have one run of three, so none is without."""
-    if not len(grams):
-        return np.zeros((0, INPUTS), np.float32)
-    sums = np.add.reduceat(net.char[grams], at[:-1], axis=0) / np.diff(at)[:, None].astype(np.float32)
-    telling = np.maximum.reduceat(net.char_odds[grams], at[:-1])
-    return np.concatenate([net.word[word], sums, net.word_odds[word][:, None], telling[:, None]], axis=1)
+    out = np.empty((len(word), INPUTS), np.float32)
+    out[:, :EMBED] = net.word[word]
+    out[:, 2 * EMBED] = net.word_odds[word]
+    for lo in range(0, len(word), INPUT_WORDS):
+        hi = min(lo + INPUT_WORDS, len(word))
+        some, begin = grams[at[lo] : at[hi]], at[lo:hi] - at[lo]
+        out[lo:hi, EMBED : 2 * EMBED] = np.add.reduceat(net.char[some], begin, axis=0) / np.diff(at[lo : hi + 1])[:, None].astype(np.float32)
+        out[lo:hi, 2 * EMBED + 1] = np.maximum.reduceat(net.char_odds[some], begin)
+    return out
 
 
-def _odds(bucket: np.ndarray, text: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
-    """Log of the ratio of toxic to other texts that hold each bucket, in units of 4, 0 for rare ones."""
-    pair = np.unique(text.astype(np.int64) * size + bucket)
-    text, bucket = pair // size, pair % size
-    a, b = np.bincount(bucket[toxic[text] == 1], minlength=size), np.bincount(bucket[toxic[text] == 0], minlength=size)
-    odds = np.log((a + 0.5) / (toxic.sum() + 1)) - np.log((b + 0.5) / ((1 - toxic).sum() + 1))
-    return np.where(a + b >= SUPPORT, np.clip(odds / 4, -1, 2), 0).astype(np.float32)
+def _held(x: _Sample, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How much more often toxic than other texts hold each word bucket and each character bucket.
+
+    Logs of ratios in units of 4, 0 for what fewer than SUPPORT texts hold. Texts
+    are taken ODDS_TEXTS at a time, which bounds the pairs of text and bucket.
+    """
+    counts = [np.zeros((2, 1 << bits)) for bits in (WORD_BITS, CHAR_BITS)]
+    for first in range(0, len(learn), ODDS_TEXTS):
+        lo, hi = np.searchsorted(x.of_word, [first, first + ODDS_TEXTS])
+        pair = np.unique(x.of_word[lo:hi].astype(np.int64) * len(x.word) + x.inverse[lo:hi])
+        text, distinct = pair // len(x.word), pair % len(x.word)
+        mine = learn[text] >= 0
+        text, distinct = text[mine], distinct[mine]
+        places, sizes = _spread(x.at, distinct)
+        for count, bucket, of in ((counts[0], x.word[distinct], text), (counts[1], x.grams[places], np.repeat(text, sizes))):
+            size = count.shape[1]
+            seen = np.unique(of.astype(np.int64) * size + bucket)
+            for label in (0, 1):
+                count[label] += np.bincount(seen[learn[seen // size] == label] % size, minlength=size)
+    total = [(learn == label).sum() for label in (0, 1)]
+    out = []
+    for clean, toxic in counts:
+        odds = np.log((toxic + 0.5) / (total[1] + 1)) - np.log((clean + 0.5) / (total[0] + 1))
+        out.append(np.where(clean + toxic >= SUPPORT, np.clip(odds / 4, -1, 2), 0).astype(np.float32))
+    return out[0], out[1]
 
 
 def windows(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -255,15 +279,7 @@ def train(texts: list[str], toxic: np.ndarray, base: float) -> Network:
         return net
     held = np.arange(len(texts)) % 5 == 4 if len(texts) >= 500 else np.zeros(len(texts), bool)
     learn = np.where(held, -1, toxic)
-    pair = np.unique(x.of_word.astype(np.int64) * len(x.word) + x.inverse)
-    text, distinct = pair // len(x.word), pair % len(x.word)
-    fitted = learn[text] >= 0
-    text, distinct = text[fitted], distinct[fitted]
-    number = np.cumsum(learn >= 0) - 1
-    net.word_odds = _odds(x.word[distinct], number[text], toxic[learn >= 0], 1 << WORD_BITS)
-    places, sizes = _spread(x.at, distinct)
-    net.char_odds = _odds(x.grams[places], number[np.repeat(text, sizes)], toxic[learn >= 0], 1 << CHAR_BITS)
-
+    net.word_odds, net.char_odds = _held(x, learn)
     telling = _inputs(net, x.word, x.grams, x.at)[:, -2:].max(axis=1)[x.inverse]
     ends = np.stack([x.start, x.start + x.size], axis=1).ravel()
     score = np.maximum.reduceat(np.append(telling, -9), ends)[::2]

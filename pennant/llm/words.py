@@ -16,7 +16,7 @@ U64 = np.uint64
 BYTE_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 WORD_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 #: Texts are taken together up to so many bytes, which bounds what the prefix sums need.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pennant.operators import joins, sets, windows
 from pennant.plans.registry import Tables, query
 
-YEAR = F.year("o_orderdate").cast("long")
+
+
+def year() -> Column:
+    return F.year("o_orderdate").cast("long")
+
 
 
 @query("""SELECT n_name, r_name, count(*) AS n_customers, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey
@@ -41,7 +45,7 @@ def join_two_aliases(t: Tables) -> DataFrame:
 SELECT o_orderkey, a::BIGINT AS era_first, b::BIGINT AS era_last FROM orders JOIN e ON o_custkey = k AND year(o_orderdate) BETWEEN a AND b""")
 def join_era(t: Tables) -> DataFrame:
     """JON-03: orders inside of their customer's first three years."""
-    o = t.orders.withColumns({"k": F.col("o_custkey"), "season": YEAR})
+    o = t.orders.withColumns({"k": F.col("o_custkey"), "season": year()})
     eras = o.groupBy("k").agg(F.min("season").alias("era_first")).withColumn("era_last", F.col("era_first") + 2)
     return joins.era_join(o, eras, ["k"], "season", "era_first", "era_last").select("o_orderkey", "era_first", "era_last")
 
@@ -51,7 +55,7 @@ SEASONS_SQL = "s AS (SELECT c_nationkey AS nation, year(o_orderdate) AS season,
 
 def nation_seasons(t: Tables) -> DataFrame:
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return o.groupBy(F.col("c_nationkey").alias("nation"), YEAR.alias("season")).agg(F.avg("o_totalprice").alias("mean"))
+    return o.groupBy(F.col("c_nationkey").alias("nation"), year().alias("season")).agg(F.avg("o_totalprice").alias("mean"))
 
 
 @query(f"""WITH {SEASONS_SQL} SELECT n.nation, n.season::BIGINT AS season, round(avg(b.mean), 4) AS trailing_mean FROM s n LEFT JOIN s b
@@ -185,7 +189,7 @@ def set_difference(t: Tables) -> DataFrame:
 UNION ALL SELECT 'orders', count(*), count(DISTINCT o_custkey), max(year(o_orderdate)) FROM orders""")
 def set_summaries(t: Tables) -> DataFrame:
     """SET-06: one row per table."""
-    return sets.summaries({"customer": t.customer, "orders": t.orders.withColumn("season", YEAR)}, "season", {"customer": "c_nationkey", "orders": "o_custkey"})
+    return sets.summaries({"customer": t.customer, "orders": t.orders.withColumn("season", year())}, "season", {"customer": "c_nationkey", "orders": "o_custkey"})
 
 
 @query("""WITH s AS (SELECT o_orderkey, o_custkey FROM orders QUALIFY row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) <= 3),
@@ -193,7 +197,7 @@ k AS (SELECT o_custkey AS id FROM s UNION SELECT s_suppkey FROM supplier JOIN li
 SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT id FROM k)""")
 def set_closure_sample(t: Tables) -> DataFrame:
     """SET-07, DQ-17: a stratified sample, and the rows it refers to."""
-    sample = windows.first_by(t.orders.withColumn("season", YEAR), ["season"], ["o_orderkey"], 3).select("o_orderkey", "o_custkey")
+    sample = windows.first_by(t.orders.withColumn("season", year()), ["season"], ["o_orderkey"], 3).select("o_orderkey", "o_custkey")
     suppliers = t.lineitem.join(sample, F.col("l_orderkey") == F.col("o_orderkey")).select("l_suppkey").join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     ids = sets.closure({"customer": (sample, "o_custkey"), "supplier": (suppliers, "s_suppkey")}, "id")
     return joins.exists(t.customer, ids, F.col("id") == F.col("c_custkey")).select("c_custkey", "c_name")

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pennant.functions import clean
 from pennant.operators import aggregates, windows
 from pennant.plans.registry import Tables, query
 
-DAY = F.to_date("ts")
+
+
+def day() -> Column:
+    return F.to_date("ts")
+
 
 
 def user_days(t: Tables) -> DataFrame:
     """Events by user and day."""
     return aggregates.count_where(
-        t.events.withColumn("day", DAY), ["user_id", "day"], {"n_purchase": F.col("event_type") == "purchase", "n_error": F.col("event_type") == "error"},
+        t.events.withColumn("day", day()), ["user_id", "day"], {"n_purchase": F.col("event_type") == "purchase", "n_error": F.col("event_type") == "error"},
         n_events=F.count("*"), total=F.sum("value"),
     )
 
@@ -85,7 +89,7 @@ def win_league_index(t: Tables) -> DataFrame:
  (sum(n_events) OVER (PARTITION BY user_id ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))::BIGINT AS events_7d FROM days""")
 def win_workload(t: Tables) -> DataFrame:
     """WIN-05: load of the seven days before."""
-    days = windows.trailing_days(t.events.withColumns({"day": DAY, "one": F.lit(1)}), ["user_id"], "day", {"total": "value", "n": "one"}, 7)
+    days = windows.trailing_days(t.events.withColumns({"day": day(), "one": F.lit(1)}), ["user_id"], "day", {"total": "value", "n": "one"}, 7)
     return days.select("user_id", "day", F.round("total", 4).alias("total"), F.round("prior_total", 4).alias("load_7d"), F.col("prior_n").alias("events_7d"))
 
 
@@ -93,7 +97,7 @@ def win_workload(t: Tables) -> DataFrame:
 SELECT event_id, round(sum(value) OVER (PARTITION BY user_id, day ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 4) AS rest_value FROM e""")
 def win_rest_of_day(t: Tables) -> DataFrame:
     """WIN-07: what the day still brings, from each event on."""
-    e = t.events.withColumn("day", DAY)
+    e = t.events.withColumn("day", day())
     return windows.rest_of(e, ["user_id", "day"], ["ts", "event_id"], "value", "rest").select("event_id", F.round("rest", 4).alias("rest_value"))
 
 
