@@ -18,8 +18,8 @@ Texts with the same words are one row from the start. Signatures are banded
 (32 bands of 4: a pair at 0.8 is missed once in 2e7). In each bucket all members
 are compared to one of them, which is linear: the one that shares most bands with
 others, as copies of one original resemble it more than each other. What this
-confirms is joined into components. Only buckets that still hold several
-components are compared member by member, across components: their texts get
+confirms gives texts labels, the same only if connected. Only buckets that still
+hold several labels are compared member by member, across labels: their texts get
 signatures of 1024 components, whose sketches of 2048 bits, with the sizes, rule
 pairs out inside the join, and exact multiset overlap follows. Nothing is capped.
 
@@ -50,6 +50,8 @@ COMPONENTS = 128
 ROWS = 4
 #: Components for texts that are compared across components of the graph.
 FINE = 1024
+#: Rounds of the first labelling, which only spares comparisons.
+EARLY_ROUNDS = 2
 FIRST_SLAB = 2.0**-9
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD1B54A32D192ED03)]
 
@@ -153,17 +155,19 @@ def _banded(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketch_finely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns as they are, but for the last one: the text becomes its fine sketch."""
     for whole in batches:
         for first in range(0, whole.num_rows, 1024):
             batch = whole.slice(first, 1024)
             rows = []
-            for w in chunks(batch.column(1), NOT_SPACE, lower=True):
+            for w in chunks(batch.column(batch.num_columns - 1), NOT_SPACE, lower=True):
                 rows.append(_sketch(signatures(*shingles(w), w.last - w.first, FINE)))
             flat = np.concatenate(rows).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array((np.arange(len(flat) + 1) * flat.shape[1]).astype(np.int32)), pa.array(flat.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["rid", "sketch"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*batch.schema.names[:-1], "sketch"])
 
 
+HELD = "rid long, key long, th long, n long, c long, bands array<long>, sketch array<long>"
 SIGNED = "doc_id long, key long, th long, digest binary, bands array<long>, sketch array<long>, n long"
 
 
@@ -224,9 +228,15 @@ def _differing(components: int) -> Column:
     return reduce(add, (F.bit_count(F.col(f"x{k}").bitwiseXOR(F.col(f"y{k}"))) for k in range(components // 32)))
 
 
-def _side(rows: DataFrame, rid: str, n: str, prefix: str, components: int, *others: Column) -> DataFrame:
-    """One side of a comparison: its sketch as columns, which join conditions read faster than an array."""
-    return rows.select(F.col("rid").alias(rid), F.col("n").alias(n), *[F.get("sketch", k).alias(f"{prefix}{k}") for k in range(components // 32)], *others)
+def _words(sketch: str, prefix: str, components: int) -> list[Column]:
+    """A sketch as columns, which join conditions read faster than an array."""
+    return [F.get(sketch, k).alias(f"{prefix}{k}") for k in range(components // 32)]
+
+
+def _pair(x: Column, y: Column) -> list[Column]:
+    """Columns a, key_a, th_a, b, key_b, th_b from two structs (rid, key, th)."""
+    a, b = F.least(x, y), F.greatest(x, y)
+    return [a["rid"].alias("a"), a["key"].alias("key_a"), a["th"].alias("th_a"), b["rid"].alias("b"), b["key"].alias("key_b"), b["th"].alias("th_b")]
 
 
 class Classes:
@@ -236,56 +246,69 @@ class Classes:
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), id_key(id_col).alias("key"), text_key(text_col).alias("th"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
         self.signed = materialize(rows.mapInArrow(_sign, SIGNED), "signed")
         self.texts, self.similarity = rows.select("key", "th", "text"), similarity
-        leads = self.signed.groupBy("digest").agg(F.min(F.struct("key", "th")).alias("lead"))
-        self.leads = materialize(leads.select("digest", "lead.key", "lead.th", F.monotonically_increasing_id().alias("rid")), "leads")
-        marks = self.signed.select("key", "th", "bands", "sketch", "n").join(self.leads.select("key", "th", "rid"), ["key", "th"]).dropDuplicates(["rid"])
-        self.marks = materialize(marks.filter(F.size("bands") > 0).select("rid", "bands", "sketch", "n"), "marks")
+        leads = self.signed.groupBy("digest").agg(F.min(F.struct("key", "th", "n", "bands", "sketch")).alias("lead"))
+        self.leads = materialize(leads.select("digest", "lead.*", F.monotonically_increasing_id().alias("rid")), "leads")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose texts overlap enough."""
-        named = self.leads.select("rid", "key", "th")
-        pairs = pairs.join(named.withColumnsRenamed({"rid": "a", "key": "key", "th": "th"}), "a").withColumnsRenamed({"key": "key_a", "th": "th_a"})
-        pairs = pairs.join(named.withColumnRenamed("rid", "b"), "b").withColumnsRenamed({"key": "key_b", "th": "th_b"})
         with_a = self.texts.withColumnsRenamed({"key": "key_a", "th": "th_a", "text": "text_a"}).join(pairs, ["key_a", "th_a"])
         both = self.texts.withColumnsRenamed({"key": "key_b", "th": "th_b", "text": "text_b"}).join(with_a, ["key_b", "th_b"])
-        found = both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(self.similarity), "a long, b long")
-        return materialize(found.distinct(), "links")
-
-    def _close(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that neither sketches nor sizes rule out."""
-        pairs = pairs.join(_side(self.marks, "a", "nx", "x", COMPONENTS), "a").join(_side(self.marks, "b", "ny", "y", COMPONENTS), "b")
-        return pairs.filter(self._possible(COMPONENTS)).select("a", "b")
+        return materialize(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(self.similarity), "a long, b long"), "links")
 
     def _possible(self, components: int) -> Column:
+        """Neither sizes nor sketches rule the similarity out."""
         sizes = F.least("nx", "ny") >= F.greatest("nx", "ny") * F.lit(self.similarity)
         return sizes & (_differing(components) <= far_bits(components, self.similarity))
 
-    def links(self) -> DataFrame:
-        """Links (a, b) between texts, by rid: enough of them to connect each class."""
-        member = self.marks.select("rid", F.explode("bands").alias("band"))
-        shared = materialize(member.join(member.groupBy("band").agg(F.count("*").alias("m")).filter("m > 1"), "band"), "shared")
+    def shared(self) -> DataFrame:
+        """Texts by the bands that they share with others; m: texts of the band."""
+        member = self.leads.select("rid", "key", "th", "n", "sketch", F.explode("bands").alias("band"))
+        return materialize(member.join(member.groupBy("band").agg(F.count("*").alias("m")).filter("m > 1"), "band"), "shared")
+
+    def hub_pairs(self, shared: DataFrame) -> DataFrame:
+        """Pairs of a band's hub with each other text of the band."""
         score = shared.groupBy("rid").agg(F.sum("m").alias("score"))
-        lead = shared.join(score, "rid").groupBy("band").agg(F.max(F.struct("score", (-F.col("rid")).alias("r"))).alias("best")).select("band", (-F.col("best.r")).alias("hub"))
-        pairs = shared.join(lead, "band").filter("rid != hub").select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")).distinct()
-        first = self.verified(materialize(self._close(pairs), "pairs"))
-        labels = components(first)
-        held = shared.join(labels, F.col("rid") == F.col("v"), "left").select("rid", "band", F.coalesce("c", "rid").alias("c"))
+        best = F.max(F.struct("score", (-F.col("rid")).alias("r"), F.struct("rid", "key", "th").alias("y"), "n", "sketch")).alias("best")
+        hubs = shared.join(score, "rid").groupBy("band").agg(best)
+        hubs = hubs.select("band", "best.y", F.col("best.n").alias("ny"), *_words("best.sketch", "y", COMPONENTS))
+        texts = shared.select("band", F.struct("rid", "key", "th").alias("x"), F.col("n").alias("nx"), *_words("sketch", "x", COMPONENTS))
+        pairs = texts.join(hubs, "band").filter((F.col("x.rid") != F.col("y.rid")) & self._possible(COMPONENTS))
+        return materialize(pairs.select(*_pair(F.col("x"), F.col("y"))).distinct(), "pairs")
+
+    def mixed_pairs(self, shared: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs with different labels in buckets that hold several."""
+        held = shared.join(labels, F.col("rid") == F.col("v"), "left").select("rid", "key", "th", "n", "band", F.coalesce("c", "rid").alias("c"))
         mixed = held.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("band")
-        held = materialize(held.join(mixed, "band"), "mixed")
-        named = held.select("rid").distinct().join(self.leads.select("rid", "key", "th"), "rid")
-        fine = self.texts.join(named, ["key", "th"]).select("rid", "text").mapInArrow(_sketch_finely, "rid long, sketch array<long>").dropDuplicates(["rid"])
-        held = materialize(held.join(fine, "rid").join(self.marks.select("rid", "n", "bands"), "rid"), "mixed")
-        x = _side(held, "a", "nx", "x", FINE, F.col("c").alias("ca"), F.col("band").alias("band_x"), F.col("bands").alias("bands_x"))
-        y = _side(held, "b", "ny", "y", FINE, F.col("c").alias("cb"), F.col("band").alias("band_y"), F.col("bands").alias("bands_y"))
+        texts = held.join(mixed, "band").groupBy("rid", "key", "th", "n", "c").agg(F.collect_set("band").alias("bands"))
+        texts = texts.join(self.texts, ["key", "th"]).select("rid", "key", "th", "n", "c", "bands", "text").mapInArrow(_sketch_finely, HELD).dropDuplicates(["rid"])
+        texts = materialize(texts, "mixed")
+
+        def side(s: str) -> DataFrame:
+            named = [F.col("n").alias(f"n{s}"), F.col("c").alias(f"c{s}"), F.col("bands").alias(f"bands_{s}"), F.explode("bands").alias(f"band_{s}")]
+            return texts.select(F.col("rid").alias(s), *named, *_words("sketch", s, FINE))
+
         # A pair that shares several bands comes once, in the least of them.
         once = F.array_min(F.array_intersect("bands_x", "bands_y")) == F.col("band_x")
-        rest = x.join(y, (F.col("band_x") == F.col("band_y")) & (F.col("ca") < F.col("cb")) & self._possible(FINE) & once).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        return first.unionByName(self.verified(materialize(rest.join(pairs, ["a", "b"], "left_anti"), "rest")))
+        pairs = side("x").join(side("y"), (F.col("band_x") == F.col("band_y")) & (F.col("cx") < F.col("cy")) & self._possible(FINE) & once)
+        # Few columns in that join keep its code small; ids come to the pairs that it leaves.
+        pairs = materialize(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "rest")
+        for s in "ab":
+            pairs = pairs.join(texts.select(F.col("rid").alias(s), F.col("key").alias(f"key_{s}"), F.col("th").alias(f"th_{s}")), s)
+        return pairs
+
+    def labels(self) -> DataFrame:
+        """v, c: the class, a rid, of each text that has a link."""
+        shared = self.shared()
+        pairs = self.hub_pairs(shared)
+        first = self.verified(pairs)
+        # Texts with the same label are connected, however few the rounds.
+        early = components(first, rounds=EARLY_ROUNDS)
+        rest = self.mixed_pairs(shared, early).join(pairs, ["a", "b"], "left_anti")
+        return components(first.unionByName(self.verified(rest)), early)
 
     def classes(self) -> DataFrame:
         """digest, class_id (least key of the class), and key and th of the row that stays."""
-        labels = components(self.links())
-        named = self.leads.join(labels, F.col("rid") == F.col("v"), "left").select("digest", "key", "th", F.coalesce("c", "rid").alias("c"))
+        named = self.leads.join(self.labels(), F.col("rid") == F.col("v"), "left").select("digest", "key", "th", F.coalesce("c", "rid").alias("c"))
         stays = named.groupBy("c").agg(F.min(F.struct("key", "th")).alias("s"))
         return materialize(named.join(stays, "c").select("digest", F.col("s.key").alias("class_id"), F.col("s.th").alias("keep_th")), "classes")
 
