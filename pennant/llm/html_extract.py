@@ -1,27 +1,32 @@
 """Main text of web pages by equivalence-class template deduction.
 
-A token is an element with its path (names and classes from the root). Over the
-pages of a host each token has an occurrence vector: how often it stands on each
-page. Vectors are compared by a fingerprint, the XOR of a hash of page and count
-over all pages, which is summed before the shuffle, so a host with a third of
-all pages is a few rows per task. Tokens with one vector are an equivalence
-class. A class is valid if it is on at least half of its host's pages, once on
-each at most, and each of its tokens lies in a token of a valid class (paths
-nest). The valid classes nested are the host's template, and its tokens bound
-the slots.
+A token is an element with its path (names and classes from the root), or a
+text block with the path of its element. Over the pages of a host each token has
+an occurrence vector: how often it stands on each page. Vectors are compared by
+a fingerprint, the XOR of a hash of page and count over all pages, which is
+summed before the shuffle, so a host with a third of all pages is a few rows per
+task. Pages of a host with the same text are one page here, or copies of an
+article would make it a template. Tokens with one vector are an equivalence
+class. A class is judged whole: it is valid if it is on at least half of its
+host's pages, once on each at most, and some element of it lies in elements of
+valid classes only (paths nest). An element of a valid class that lies in a
+repeated one leaves the class. The valid classes are the host's template; their
+elements bound the slots, and their texts are taken out of the slots. So a text
+that pages share by chance, as a heading, stays: no element has its vector.
 
 The main slot is the article (or main) of the template with the most text; on a
 host without one, the innermost token that still holds most of the text outside
 navigation, notices and the like. Pages join to their host's main slot; pages
 are salted, and the few template rows copied, so a large host is dealt to many
 tasks. A page that lacks the slot, or is of a host without a template, goes by
-its own article, main or body.
+its own article, main or body. A page whose text is all template keeps it.
 
 Null pages are empty. Null hosts are one host. Repeated pages each get their row.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter
@@ -40,6 +45,8 @@ SALTS = 16
 SUPPORT = 0.5
 #: Share of a host's text that the main slot holds where there is no article.
 MOST = 0.6
+#: A host with fewer different pages has no template texts: too little shows what its pages share.
+LEAST_PAGES = 4
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math select".split())
@@ -165,6 +172,15 @@ class Page:
             if stack[k][0] in ("div", "article", "section", "main", "body", "td", "th", "table", "ul", "ol", "dl", "blockquote") and stack[k][0] not in ends:
                 return
 
+    def marks(self) -> list[int]:
+        """For each block the hash of its text and path, 0 where it is set apart."""
+        return [0 if self.apart[of] else int.from_bytes(hashlib.blake2b(f"{self.paths[of]}\0{text}".encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) for of, text in self.blocks]
+
+    def key(self) -> int:
+        """Hash of all text that isn't set apart."""
+        text = "\0".join(text for of, text in self.blocks if not self.apart[of])
+        return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
     def counts(self) -> dict[str, tuple[int, int, bool]]:
         """By path: elements, characters of text in it that isn't set apart, whether it is an article."""
         size = [0] * len(self.paths)
@@ -179,61 +195,74 @@ class Page:
             held[self.paths[k]] += 0 if self.apart[k] else size[k]
         return {p: (times[p], held[p], article[p]) for p in times}
 
-    def _inside(self, chosen: set[int]) -> str:
+    def _inside(self, chosen: set[int], shared: frozenset[int]) -> str:
         within = [False] * len(self.paths)
         for k in range(1, len(self.paths)):
             within[k] = k in chosen or within[self.parent[k]]
         whole = 0 in chosen
-        return "\n\n".join(text for of, text in self.blocks if (whole or within[of]) and not self.apart[of])
-
-    def text(self, slot: str | None) -> str:
-        """Blocks of the main slot, or of the page's own article where the slot is absent."""
+        found = [k for k, (of, _) in enumerate(self.blocks) if (whole or within[of]) and not self.apart[of]]
+        if shared:
+            marks = self.marks()
+            found = [k for k in found if marks[k] not in shared] or found
+        return "\n\n".join(self.blocks[k][1] for k in found)
+
+    def text(self, slot: str | None, shared: frozenset[int] = frozenset()) -> str:
+        """Blocks of the main slot, or of the page's own article where the slot is absent, without the template's texts."""
         at = {k for k in range(1, len(self.paths)) if slot is not None and self.paths[k] == slot and not self.apart[k]}
         if not at:
             at = {k for k in range(1, len(self.paths)) if self.main[k] and not self.apart[k]}
             strict = {k for k in at if re.search(r">(article|main)(\.[a-z-]*)?$", self.paths[k])}
             at = strict or at or {0}
-        return self._inside(at)
+        return self._inside(at, shared)
 
 
 def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-TOKENS = "host string, path string, fp long, times long, size long, article boolean"
+TOKENS = "host string, key long, tokens array<struct<path: string, mark: long, fp: long, times: long, size: long, article: boolean>>"
+_TOKEN = pa.struct([("path", pa.string()), ("mark", pa.int64()), ("fp", pa.int64()), ("times", pa.int64()), ("size", pa.int64()), ("article", pa.bool_())])
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """By page its tokens: elements have a path and mark 0, texts a mark and no path."""
     for batch in batches:
-        cols: list[list] = [[] for _ in range(6)]
-        pages = batch.column(1).to_numpy().view(np.uint64)
-        for of, page, source in zip(batch.column(0).to_pylist(), pages, batch.column(2).to_pylist(), strict=True):
-            found = Page(source).counts()
-            times = np.array([x[0] for x in found.values()], np.uint64)
-            marks = mix(page + (times << np.uint64(32))).view(np.int64).tolist()
-            for (path, (n, size, article)), fp in zip(found.items(), marks, strict=True):
-                for col, x in zip(cols, (of, path, fp, n, size, article), strict=True):
-                    col.append(x)
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in TOKENS.split(", ")])
+        keys, rows = [], []
+        for source in batch.column(1).to_pylist():
+            page = Page(source)
+            found = [(path, 0, n, size, article) for path, (n, size, article) in page.counts().items()]
+            found += [("", mark, n, 0, False) for mark, n in Counter(page.marks()).items() if mark]
+            key = page.key()
+            times = np.array([x[2] for x in found], np.uint64)
+            prints = mix(np.array([key & (1 << 64) - 1], np.uint64) + (times << np.uint64(32))).view(np.int64).tolist()
+            keys.append(key)
+            rows.append([{"path": path, "mark": mark, "fp": fp, "times": n, "size": size, "article": article} for (path, mark, n, size, article), fp in zip(found, prints, strict=True)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(rows, pa.list_(_TOKEN))], names=["host", "key", "tokens"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """pages: host, page, html. Tokens of each host's template: host, path, class_id, pages, size, article."""
-    tokens = pages.select("host", "page", "html").mapInArrow(_tokens, TOKENS)
-    vectors = tokens.groupBy("host", "path").agg(F.expr("bit_xor(fp)").alias("fp"), F.count("*").alias("pages"), F.sum("times").alias("times"), F.sum("size").alias("size"), F.expr("bool_or(article)").alias("article"))
-    total = pages.groupBy("host").agg(F.count("*").alias("all"))
+    """pages: host, html. Tokens of each host's template: host, path, mark, class_id, pages, all, size, article."""
+    different = pages.select("host", "html").mapInArrow(_tokens, TOKENS).groupBy("host", "key").agg(F.min("tokens").alias("tokens"))
+    tokens = different.select("host", F.inline("tokens"))
+    vectors = tokens.groupBy("host", "path", "mark").agg(F.expr("bit_xor(fp)").alias("fp"), F.count("*").alias("pages"), F.sum("times").alias("times"), F.sum("size").alias("size"), F.expr("bool_or(article)").alias("article"))
+    total = different.groupBy("host").agg(F.count("*").alias("all"))
     wide = vectors.join(total, "host").filter((F.col("pages") >= F.lit(SUPPORT) * F.col("all")) & (F.col("times") == F.col("pages")))
     wide = materialize(wide.withColumn("class_id", F.xxhash64("fp", "pages")), "classes")
-    # Nesting: all paths above a token are tokens of valid classes as well.
+    # Nesting: all paths above an element are elements of valid classes as well.
+    elements = wide.filter("mark = 0")
     depth = F.size(F.split("path", ">")) - 1
-    above = wide.select("host", "path", F.explode(F.sequence(F.lit(1), depth)).alias("k")).select("host", "path", F.expr("substring_index(path, '>', k + 1)").alias("up"))
-    held = above.join(wide.select("host", F.col("path").alias("up")), ["host", "up"], "left_semi").groupBy("host", "path").agg(F.count("*").alias("nested"))
-    return wide.join(held, ["host", "path"]).filter(F.col("nested") == depth).select("host", "path", "class_id", "pages", "size", "article")
+    above = elements.select("host", "path", F.explode(F.sequence(F.lit(1), depth)).alias("k")).select("host", "path", F.expr("substring_index(path, '>', k + 1)").alias("up"))
+    held = above.join(elements.select("host", F.col("path").alias("up")), ["host", "up"], "left_semi").groupBy("host", "path").agg(F.count("*").alias("nested"))
+    nested = elements.join(held, ["host", "path"]).filter(F.col("nested") == depth)
+    texts = wide.filter((F.col("mark") != 0) & (F.col("all") >= LEAST_PAGES)).join(nested.select("host", "class_id"), ["host", "class_id"], "left_semi")
+    cols = ["host", "path", "mark", "class_id", "pages", "all", "size", "article"]
+    return nested.select(cols).unionByName(texts.select(cols))
 
 
 def main_slots(template: DataFrame) -> DataFrame:
-    """host, slot: where each host's pages have their main text."""
+    """host, slot: where each host's pages have their main text; shared: marks of the template's texts."""
+    shared = template.filter("mark != 0").groupBy("host").agg(F.sort_array(F.collect_set("mark")).alias("shared"))
+    template = template.filter("mark = 0")
     most = template.groupBy("host").agg(F.max("size").alias("most"))
     rows = template.join(most, "host").filter("size > 0")
     strict = F.col("path").rlike(r">(article|main)(\.[a-z-]*)?$")
@@ -242,12 +271,12 @@ def main_slots(template: DataFrame) -> DataFrame:
         strict.cast("int").alias("strict"), F.col("article").cast("int").alias("article"),
         F.when(F.col("article"), F.col("size")).otherwise(F.lit(0)).alias("size"), F.when(F.col("size") >= F.lit(MOST) * F.col("most"), depth).otherwise(F.lit(0)).alias("depth"), "path",
     )
-    return rows.groupBy("host").agg(F.max(rank).alias("best")).select("host", F.col("best.path").alias("slot"))
+    return rows.groupBy("host").agg(F.max(rank).alias("best")).select("host", F.col("best.path").alias("slot")).join(shared, "host", "left")
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [Page(source).text(slot) for source, slot in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        out = [Page(source).text(slot, frozenset(shared or ())) for source, slot, shared in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -255,7 +284,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """One row per row of pages: page_id, url, text, n_chars."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumns({"host": host(F.col("url")), "page": F.xxhash64("page_id", "url", "html")})
-    slots = main_slots(templates(rows)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    slots = main_slots(materialize(templates(rows), "template")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = rows.withColumn("salt", F.pmod("page", F.lit(SALTS)).cast("int")).join(slots, ["host", "salt"], "left")
-    out = dealt.select("page_id", "url", "html", "slot").mapInArrow(_texts, "page_id long, url string, text string")
+    out = dealt.select("page_id", "url", "html", "slot", "shared").mapInArrow(_texts, "page_id long, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))

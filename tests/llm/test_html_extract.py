@@ -47,3 +47,16 @@ def test_edges(spark):
     want = [(1, "", 0), (2, "plain text", 10), (2, "plain text", 10), (None, "x\n\n<", 4), (3, "", 0), (4, "", 0), (5, "y " * 10, 99_999)]
     assert got == sorted(want, key=repr)
     assert X.extract(df.limit(0)).count() == 0
+
+
+def test_template_text_in_the_slot(spark):
+    """Text that a host's template has inside the slot goes; text of some pages' own stays, as does a host's only article."""
+    page = "<html><body><article><h1>Title {0}</h1><p>Read our offers.</p>{1}<p>Text {0} of its own.</p></article></body></html>"
+    parts = ["<div><p>Notice of the host.</p></div>" if i < 8 else "<p>Filler.</p>" for i in range(12)]
+    rows = [(i, f"http://h.example/{i}", page.format(i, part + ("<p>Introduction</p>" if i % 4 else ""))) for i, part in enumerate(parts)]
+    rows += [(100 + i, f"http://one.example/{i}", page.format(7, "")) for i in range(6)]
+    got = {r.page_id: r.text for r in X.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[4] == "Title 4\n\nText 4 of its own."
+    assert got[5] == "Title 5\n\nIntroduction\n\nText 5 of its own."
+    assert got[9] == "Title 9\n\nFiller.\n\nIntroduction\n\nText 9 of its own."
+    assert all(got[100 + i] == "Title 7\n\nRead our offers.\n\nText 7 of its own." for i in range(6))
