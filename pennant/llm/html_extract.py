@@ -49,48 +49,58 @@ MOST = 0.6
 LEAST_PAGES = 4
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select".split())
-APART = frozenset("nav header footer aside form button dialog menu figcaption".split())
+RAW = frozenset("script style template textarea title iframe select".split())
+APART = frozenset("nav header footer aside form button dialog menu".split())
 BLOCK = frozenset(
-    "address article aside blockquote body center dd details div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol option p pre "
+    "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol option p pre "
     "section summary table tbody td tfoot th thead tr ul".split()
 )
 #: Elements that end an open one of their kind.
 SIBLINGS = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: A block element ends an open paragraph.
 ENDS_P = BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "head", "html", "body"}
-#: Words in a class, id or role that mark an element as no part of the article.
+#: Words in a class, id or role that mark an element outside an article as no part of it.
 APART_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar side aside widget header masthead footer foot comment comments disqus reply replies respond discussion related recommended recommendations share sharing social "
     "newsletter subscribe subscription signup login pagination pager toolbar skip copyright legal".split()
 )
+#: Names (a class or role, or its first word) that mark a container inside an article as no part of it.
+INNER_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsored comment comments disqus cookie cookies consent breadcrumb breadcrumbs navbar navigation pagination newsletter sidebar".split())
+CONTAINERS = frozenset("div ul ol".split())
+#: Elements of the text itself, whose id names what they tell of.
+HEADED = frozenset("section h1 h2 h3 h4 h5 h6".split())
 MAIN_WORDS = frozenset("article main post entry story content".split())
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""")
+#: Quotes count only after an equals sign; a stray or open one is a character like others.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*(?:"[^"]*"|'[^']*')|=)*+)>""")
 _ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _WORD = re.compile(r"[a-zA-Z]+")
 _SPACE = re.compile(r"\s+")
 
 
-def _named(attributes: str) -> tuple[str, frozenset[str]]:
-    """Classes as part of a path (numbers dropped), and all words of class, id and role."""
+def _named(attributes: str) -> tuple[str, frozenset[str], frozenset[str], frozenset[str]]:
+    """Classes as part of a path (numbers dropped), words of class and role, words of the id, first words of each class and role."""
     if "=" not in attributes:
-        return "", frozenset()
-    label, words = "", set()
+        return "", frozenset(), frozenset(), frozenset()
+    label, words, of_id, first = "", set(), set(), set()
     for key, value in _ATTRIBUTE.findall(attributes):
         found = _WORD.findall(value.lower())
+        if key.lower() == "id":
+            of_id.update(found)
+            continue
         words.update(found)
+        first.update(x[0] for x in map(_WORD.findall, value.lower().split()) if x)
         if key.lower() == "class":
             label = "." + "-".join(found)
-    return label, frozenset(words)
+    return label, frozenset(words), frozenset(of_id), frozenset(first)
 
 
 class Page:
     """Elements of a page in order: their paths, and the text blocks with the element each lies in."""
 
     def __init__(self, source: str):
-        self.paths, self.parent, self.apart, self.main = [""], [-1], [False], [False]
+        self.paths, self.parent, self.apart, self.main, self.inner = [""], [-1], [False], [False], [False]
         self.blocks: list[tuple[int, str]] = []
         self._pieces: list[str] = []
         stack = [("", 0)]
@@ -146,13 +156,18 @@ class Page:
                 self._pieces.append(" ")
             if name in VOID:
                 continue
-            label, words = _named(tag[3])
+            label, words, of_id, first = _named(tag[3])
             up = stack[-1][1]
             self.parent.append(up)
             self.paths.append(f"{self.paths[up]}>{name}{label}")
             article = name in ("article", "main")
-            self.main.append(article or bool(words & MAIN_WORDS and name in ("div", "section", "td")))
-            self.apart.append(self.apart[up] or name in APART or name in RAW or (not article and name not in ("html", "body") and bool(words & APART_WORDS)))
+            self.main.append(article or bool((words | of_id) & MAIN_WORDS and name in ("div", "section", "td")))
+            if self.inner[up]:
+                marked = name in CONTAINERS and bool(first & INNER_WORDS)
+            else:
+                marked = name == "noscript" or not article and name not in ("html", "body") and bool((words if name in HEADED else words | of_id) & APART_WORDS)
+            self.apart.append(self.apart[up] or name in APART or name in RAW or marked)
+            self.inner.append(self.inner[up] or (self.main[-1] and not self.apart[-1]))
             if name in RAW:
                 end = re.compile(f"</{name}", re.IGNORECASE).search(source, at)
                 at = n if end is None else end.start()

@@ -60,3 +60,19 @@ def test_template_text_in_the_slot(spark):
     assert got[5] == "Title 5\n\nIntroduction\n\nText 5 of its own."
     assert got[9] == "Title 9\n\nFiller.\n\nIntroduction\n\nText 9 of its own."
     assert all(got[100 + i] == "Title 7\n\nRead our offers.\n\nText 7 of its own." for i in range(6))
+
+
+def test_parts_of_an_article_that_stay():
+    source = (
+        '<body><div id="cookie-notice">n</div><article><h1 id="legal">T</h1><section id="discussion"><p>a</p></section><section id="related-work"><p class="notice">b</p></section>'
+        '<div class="social promotion"><p>c</p></div><div class="market-share">d</div><figure><svg><text>e</text></svg><figcaption>f</figcaption></figure><p>g <math><mi>x</mi></math> <noscript>h</noscript></p>'
+        '<div class="comments-list"><p>bad</p></div><nav>bad</nav></article><noscript>bad</noscript>'
+    )
+    assert X.Page(source).text(None) == "T\n\na\n\nb\n\nc\n\nd\n\ne\n\nf\n\ng x h"
+    assert X.Page('<div class="paper"><section id="discussion"><p>a</p></section><h2 id="related">b</h2></div>').text(None) == "a\n\nb"
+
+
+def test_stray_quotes():
+    assert X.Page('<a href="x"">one</a><p>two three</p><p class="y">four</p>').text(None) == "one\n\ntwo three\n\nfour"
+    assert X.Page("<p title=it's>one</p><p title=\"open>two</p><p>three > 2</p>").text(None) == "one\n\ntwo\n\nthree > 2"
+    assert X.Page('<p title="a > b" class=\'c"d\'>one</p><p').text(None) == "one"
