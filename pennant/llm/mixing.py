@@ -3,7 +3,9 @@
 A source's mean repetition rate is what its target weight asks of the whole
 corpus divided by what it has. Each document gets a number in [0, 1) from a
 hash of the seed and its id, and that number is inverted through the Poisson
-distribution with the source's rate: the number of copies. Copies are dealt out
+distribution with the source's rate: the number of copies. A rate beyond
+MAX_RATE is split into equal parts, each with a number of its own; their counts
+add up to a Poisson count of the whole rate. Copies are dealt out
 by the hash of id and copy number, and sorted by it, which is a global shuffle.
 
 Everything follows from ids and source counts, so a task run again gives the
@@ -21,7 +23,10 @@ from pyspark.sql import functions as F
 
 #: Copies beyond this have a probability under 2**-52 for any rate up to MAX_RATE.
 MAX_COPIES = 64
+#: The most that one part of a rate has.
 MAX_RATE = 12.0
+#: Copies that are made from one array.
+CHUNK = 1024
 SEED = 17
 
 
@@ -46,7 +51,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, power: float
         target = F.coalesce(F.element_at(table, F.col("source")).cast("double"), F.lit(0.0))
     counts = counts.withColumn("target", target)
     total = counts.agg(F.sum("n_source").alias("n_all"), F.sum("target").alias("t_all"))
-    rate = F.least(F.lit(MAX_RATE), F.lit(budget) * F.col("target") / F.nullif(F.col("t_all"), F.lit(0.0)) * F.col("n_all") / F.col("n_source"))
+    rate = F.lit(budget) * F.col("target") / F.nullif(F.col("t_all"), F.lit(0.0)) * F.col("n_all") / F.col("n_source")
     return counts.join(F.broadcast(total)).select("source", "n_source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
 
@@ -70,11 +75,19 @@ def replicate(
 ) -> DataFrame:
     """docs repeated: all columns, and _copy (from 0), _copies, _order in shuffled order."""
     table = rates(docs.select(F.col(source_col).alias("source")), weights, power, budget)
-    table = table.select(F.col("source").alias("_source"), cdf(F.col("rate")).alias("_cdf"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / F.lit(MAX_RATE)).cast("int"))
+    table = table.select(F.col("source").alias("_source"), parts.alias("_parts"), cdf(F.col("rate") / parts).alias("_cdf"))
     rows = docs.join(table, docs[source_col].eqNullSafe(table["_source"]))
-    u = unit(seed, F.col(id_col))
-    rows = rows.withColumn("_copies", F.size(F.filter("_cdf", lambda c: c <= u))).drop("_source", "_cdf").filter("_copies > 0")
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+
+    def count(*part: Column) -> Column:
+        u = unit(seed, F.col(id_col), *part)
+        return F.size(F.filter("_cdf", lambda c: c <= u))
+
+    more = F.aggregate(F.sequence(F.lit(1), F.col("_parts") - 1), F.lit(0), lambda n, k: n + count(F.lit("part"), k))
+    rows = rows.withColumn("_copies", count() + F.when(F.col("_parts") > 1, more).otherwise(F.lit(0)))
+    rows = rows.drop("_source", "_parts", "_cdf").filter("_copies > 0")
+    rows = rows.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(CHUNK))))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.col("_chunk"), F.least(F.col("_copies"), F.col("_chunk") + CHUNK) - 1))).drop("_chunk")
     rows = rows.withColumn("_order", unit(seed + 1, F.col(id_col), F.col("_copy")))
     shuffled = rows.repartition("_order") if partitions is None else rows.repartition(partitions, "_order")
     return shuffled.sortWithinPartitions("_order", id_col, "_copy")

@@ -1,3 +1,5 @@
+from collections import Counter
+
 from pennant.llm import mixing, queries
 from tests.compare import same
 
@@ -21,3 +23,17 @@ def test_edges(spark):
     assert {r._copies for r in got if r.doc_id == 2} and len([r for r in got if r.doc_id == 2]) % 2 == 0
     assert mixing.replicate(docs.limit(0)).count() == 0
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, mixing.replicate(docs, budget=4.0).collect()), key=repr)
+
+
+def test_rates_of_rare_sources(spark):
+    """Rates far beyond MAX_RATE: rare sources get their weight, and the total is the budget."""
+    rows = [(i, "rare" if i < 10 else "few" if i < 60 else "most") for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    out = mixing.replicate(docs, {"rare": 1.0, "few": 1.0, "most": 2.0}).select("doc_id", "source", "_copy", "_copies").collect()
+    size = Counter(r.source for r in out)
+    assert abs(size["rare"] - 5_000) < 350 and abs(size["few"] - 5_000) < 350 and abs(size["most"] - 10_000) < 500
+    rare = {r.doc_id: r._copies for r in out if r.source == "rare"}
+    assert len(rare) == 10 and len(set(rare.values())) > 1
+    assert sorted((r.doc_id, r._copy) for r in out if r.source == "rare") == sorted((d, k) for d, n in rare.items() for k in range(n))
+    one = mixing.replicate(docs.filter("doc_id < 1 or doc_id > 60"), {"rare": 1.0, "most": 1.0}).groupBy("source").count().collect()
+    assert abs({r.source: r["count"] for r in one}["rare"] - 9_970) < 500
