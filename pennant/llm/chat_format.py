@@ -6,8 +6,9 @@ into the turn before it, relabelled, or kept after an empty turn was inserted;
 dynamic programming over the automaton's states finds the cheapest repair.
 
 The costs of a run of turns are a matrix from entry to exit state, and matrices
-compose by (min, +). So conversations are cut into segments of SEGMENT turn
-numbers: each gives its matrix, entry costs are carried along a conversation's
+compose by (min, +). So turns are sorted over all tasks by conversation and
+place, and cut into segments of SEGMENT turns at most, whatever their numbers
+are: each gives its matrix, entry costs are carried along a conversation's
 segments, exit states are carried back, and every segment then repairs its own
 turns. No task holds more than one segment's texts, however long a conversation
 is. Ties go to the first option in the order keep, merge, insert, relabel, then
@@ -27,13 +28,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pennant.llm.common import NO_ID, id_key, materialize
 
 SEGMENT = 256
+#: Leading characters by which texts are dealt to tasks; those that share them stay in one task, where all characters sort them.
+PREFIX = 200
 MERGE, INSERT, RELABEL, UNKNOWN = 1, 2, 3, 1
 START, SYSTEM, USER, ASSISTANT = range(4)
 NAMES = ("", "system", "user", "assistant")
@@ -93,14 +98,50 @@ def backward(costs: list[int], roles: list[int], exit_state: int) -> tuple[int,
     return state, out[::-1]
 
 
+def _cut(size: int):
+    """Segments of one task's sorted turns: a new one with each conversation and after `size` turns. Segment numbers grow with the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, open_rows = TaskContext.get().partitionId() << 33, None
+
+        def built(rows: pa.Table, starts: np.ndarray, first: int) -> pa.RecordBatch:
+            rows = rows.combine_chunks()
+            turns = pa.StructArray.from_arrays([rows.column(c).combine_chunks() for c in ("place", "role", "text", "turn")], names=["place", "role", "text", "turn"])
+            ends = np.append(starts, rows.num_rows).astype(np.int32)
+            conv = rows.column("conv").combine_chunks().take(pa.array(starts, pa.int64()))
+            numbers = pa.array(first + np.arange(len(starts)), pa.int64())
+            return pa.RecordBatch.from_arrays([conv, numbers, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), turns)], names=["conv", "segment", "turns"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            if open_rows is not None:
+                rows = pa.concat_tables([open_rows, rows])
+            conv = rows.column("conv").to_numpy()
+            at = np.arange(len(conv))
+            fresh = np.append(True, conv[1:] != conv[:-1])
+            starts = np.flatnonzero((at - np.maximum.accumulate(np.where(fresh, at, 0))) % size == 0)
+            # The last segment may go on in the next batch.
+            if len(starts) > 1:
+                yield built(rows.slice(0, int(starts[-1])), starts[:-1], segment)
+                segment += len(starts) - 1
+            open_rows = rows.slice(int(starts[-1]))
+        if open_rows is not None:
+            yield built(open_rows, np.array([0]), segment)
+
+    return run
+
+
 def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         m = [[x for row in matrix(roles) for x in row] for roles in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(m, pa.list_(pa.int64()))], names=["conv", "segment", "m"])
+        n = pa.array([len(roles) for roles in batch.column(2).to_pylist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], n, pa.array(m, pa.list_(pa.int64()))], names=["conv", "segment", "n", "m"])
 
 
 def _carry(rows: pa.Table) -> pa.Table:
-    """Least costs on entry to each segment of a conversation; the exit state of its last one."""
+    """Turns before each segment of a conversation and least costs on entry to it; the exit state of its last one."""
     rows = rows.sort_by("segment")
     costs, entries = [0, FAR, FAR, FAR], []
     for m in rows.column("m").to_pylist():
@@ -108,7 +149,8 @@ def _carry(rows: pa.Table) -> pa.Table:
         costs = [min(FAR, *(costs[p] + m[4 * p + s] for p in range(4))) for s in range(4)]
     last = costs.index(min(costs))
     ends = [None] * (len(entries) - 1) + [last]
-    return pa.table({"conv": rows.column("conv"), "segment": rows.column("segment"), "entry": pa.array(entries, pa.list_(pa.int64())), "last": pa.array(ends, pa.int32())})
+    before = np.cumsum(rows.column("n").to_numpy()) - rows.column("n").to_numpy()
+    return pa.table({"conv": rows.column("conv"), "segment": rows.column("segment"), "before": pa.array(before, pa.int64()), "entry": pa.array(entries, pa.list_(pa.int64())), "last": pa.array(ends, pa.int32())})
 
 
 def _ways_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,13 +172,13 @@ def _carry_back(rows: pa.Table) -> pa.Table:
     return pa.table({"conv": rows.column("conv"), "segment": rows.column("segment"), "exit": pa.array(exits, pa.int32())})
 
 
-PIECES = "conv long, turn long, given_role string, role string, action string, inserted string, starts boolean, at int, piece string"
+PIECES = "conv long, turn long, given_role string, role string, action string, inserted string, starts boolean, at long, piece string"
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cols: list[list] = [[] for _ in range(9)]
-        for conv, roles, costs, last, exit_state, turns in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+        for conv, roles, first, costs, last, exit_state, turns in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
             before, path = backward(costs, roles, exit_state)
             for k, ((state, action, inserted), turn) in enumerate(zip(path, turns, strict=True)):
                 starts = action != "merge"
@@ -146,10 +188,10 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 piece += (TURN_BEGIN.format(role=NAMES[state]) if starts else "\n") + turn["text"]
                 if last is not None and k == len(path) - 1:
                     piece += TURN_END
-                for col, x in zip(cols, (conv, turn["turn"], turn["role"], NAMES[state], action, NAMES[inserted] or None, starts, k, piece), strict=True):
+                for col, x in zip(cols, (conv, turn["turn"], turn["role"], NAMES[state], action, NAMES[inserted] or None, starts, first + k, piece), strict=True):
                     col.append(x)
                 before = state
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.string()]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in PIECES.split(", ")])
 
 
@@ -160,26 +202,27 @@ def _role_number(role: Column) -> Column:
 
 
 def repair(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """One row per given turn: conv_id, turn, given_role, role, action, inserted, starts, at (among turns with near numbers), piece."""
+    """One row per given turn: conv_id, turn, given_role, role, action, inserted, starts, at (place in the conversation), piece."""
     rows = conversations.select(id_key(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).distinct()
     place = F.coalesce("turn", F.lit(NO_ID))
-    turn = F.struct(place.alias("place"), "role", "text", "turn")
-    segments = rows.groupBy("conv", F.floor(place / F.lit(float(SEGMENT))).cast("long").alias("segment")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    rows = rows.select("conv", place.alias("place"), "role", "text", "turn")
+    dealt = rows.repartitionByRange("conv", "place", "role", F.substring("text", 1, PREFIX)).sortWithinPartitions("conv", "place", "role", "text")
+    segments = dealt.mapInArrow(_cut(SEGMENT), "conv long, segment long, turns array<struct<place: long, role: string, text: string, turn: long>>")
     segments = segments.withColumn("roles", F.transform("turns", lambda t: _role_number(t.role)))
     segments = materialize(segments, "segments")
     roles = segments.select("conv", "segment", "roles")
-    entries = roles.mapInArrow(_matrices, "conv long, segment long, m array<long>").groupBy("conv").applyInArrow(_carry, "conv long, segment long, entry array<long>, last int")
+    entries = roles.mapInArrow(_matrices, "conv long, segment long, n long, m array<long>").groupBy("conv").applyInArrow(_carry, "conv long, segment long, before long, entry array<long>, last int")
     entries = materialize(entries, "entries")
     keys = ["conv", "segment"]
     back = roles.join(entries, keys).select("conv", "segment", "roles", "entry", "last").mapInArrow(_ways_in, "conv long, segment long, last int, back array<int>")
     exits = back.groupBy("conv").applyInArrow(_carry_back, "conv long, segment long, exit int")
-    whole = segments.join(entries, keys).join(exits, keys).select("conv", "roles", "entry", "last", "exit", "turns")
+    whole = segments.join(entries, keys).join(exits, keys).select("conv", "roles", "before", "entry", "last", "exit", "turns")
     out = whole.mapInArrow(_pieces, PIECES)
     return out.select(F.when(F.col("conv") != NO_ID, F.col("conv")).alias("conv_id"), "turn", "given_role", "role", "action", "inserted", "starts", "at", "piece")
 
 
 def render(pieces: DataFrame) -> DataFrame:
     """conv_id and the whole rendered text, for conversations that fit into one row."""
-    place = F.struct(F.coalesce("turn", F.lit(NO_ID)).alias("place"), F.col("at"), F.col("piece"))
+    place = F.struct("at", "piece")
     whole = pieces.groupBy("conv_id").agg(F.array_sort(F.collect_list(place)).alias("all"))
     return whole.select("conv_id", F.array_join(F.transform("all", lambda p: p.piece), "").alias("text"))

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -66,3 +67,30 @@ def test_rendering(spark):
         1: "<|im_start|>user\na\nb<|im_end|>\n<|im_start|>assistant\nc<|im_end|>\n",
         2: "<|im_start|>user\n<|im_end|>\n<|im_start|>assistant\nhi<|im_end|>\n",
     }
+
+
+def test_segments_are_bounded(spark, monkeypatch):
+    """Null ids, null turn numbers and one repeated number: no segment holds more than SEGMENT turns, and the order is kept."""
+    most = []
+
+    def kept(df, label, write=C.materialize):
+        out = write(df, label)
+        if label == "segments":
+            most.append(out.selectExpr("max(size(turns))").first()[0])
+        return out
+
+    monkeypatch.setattr(C, "materialize", kept)
+    random.seed(5)
+    roles = ["user", "assistant", "system", None]
+    rows = [(None, None, random.choice(roles), f"a{k}") for k in range(2_000)] + [(7, 3, random.choice(roles), f"b{k}") for k in range(700)]
+    rows += [(8, k, random.choice(roles), "c") for k in range(300)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    check(df)
+    assert most == [C.SEGMENT]
+    pieces = C.repair(df)
+    at = {}
+    for r in pieces.collect():
+        at.setdefault(r.conv_id, []).append(r.at)
+    assert {c: sorted(x) for c, x in at.items()} == {None: list(range(2_000)), 7: list(range(700)), 8: list(range(300))}
+    text = {r.conv_id: r.text for r in C.render(pieces).collect()}
+    assert [x for x in re.findall(r"b\d+", text[7])] == [x for _, x in sorted((r or "", x) for c, _, r, x in rows if c == 7)]
