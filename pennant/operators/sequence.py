@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 #: Fixed values of the rating system.
 HOME_EDGE, K, START, REVERT = 24.0, 4.0, 1500.0, 0.25
 OUTS = 3
+#: Rows of a chain that are solved or drawn from in one process.
+MOST_CELLS = 10_000
 
 
 def expected(home: float, away: float) -> float:
@@ -80,13 +82,21 @@ def log5(a: Column, b: Column, even: float | None = 0.5) -> Column:
     return F.when(top + other == 0, F.lit(even).cast("double")).otherwise(top / F.nullif(top + other, F.lit(0.0)))
 
 
+def _all_cells(cells: DataFrame) -> list:
+    """All rows of a chain; an error where they are more than one process should hold."""
+    rows = cells.limit(MOST_CELLS + 1).collect()
+    if len(rows) > MOST_CELLS:
+        raise ValueError(f"more than {MOST_CELLS} transitions: states are too fine to be solved on the driver")
+    return rows
+
+
 def run_expectancy(cells: DataFrame, end: str = "END") -> DataFrame:
     """cells: pre, post, runs, n. state, expected: runs from a state to the end of the half.
 
     Solves (I - Q) x = r. The table has a row per pair of states and runs, which
     the states bound (24 and the end), so it is solved on the driver.
     """
-    rows = cells.groupBy("pre", "post").agg(F.sum("n").alias("n"), F.sum(F.col("runs") * F.col("n")).alias("runs")).limit(10_000).collect()
+    rows = _all_cells(cells.groupBy("pre", "post").agg(F.sum("n").alias("n"), F.sum(F.col("runs") * F.col("n")).alias("runs")))
     states = sorted({r["pre"] for r in rows} | {r["post"] for r in rows} - {end})
     at = {s: k for k, s in enumerate(states)}
     q, r, total = np.zeros((len(states), len(states))), np.zeros(len(states)), np.zeros(len(states))
@@ -113,7 +123,7 @@ def simulate_games(spark: SparkSession, cells: DataFrame, n: int, start: str, en
     its own number, so a task run again gives the same games.
     """
     table: dict[str, tuple[list, np.ndarray]] = {}
-    for r in cells.limit(10_000).collect():
+    for r in _all_cells(cells):
         table.setdefault(r["pre"], ([], []))
         table[r["pre"]][0].append((r["post"], r["runs"]))
         table[r["pre"]][1].append(r["n"])

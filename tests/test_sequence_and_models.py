@@ -75,3 +75,12 @@ def test_registry_has_one_champion(spark):
     assert {r.model_id: r.status for r in learn.promote(registry, "m", "2").collect()} == {"1": "retired", "2": "champion", "3": "champion"}
     assert learn.promoted(0.677, [0.680, 0.69]) and not learn.promoted(0.679, [0.680])
     assert learn.model_id({"a": 1, "b": 2}) == learn.model_id({"b": 2, "a": 1})
+
+
+def test_chains_are_never_cut(spark):
+    """Up to 10,000 transitions all count; beyond, an error and no wrong figures."""
+    cells = lambda n: spark.range(n).selectExpr("cast(id as string) as pre", "'END' as post", "1 as runs", "1L as n")
+    for run in (sequence.run_expectancy, lambda c: sequence.simulate_games(spark, c, 1, "0")):
+        with pytest.raises(ValueError, match="transitions"):
+            run(cells(10_001))
+    assert sequence.simulate_games(spark, cells(10_000), 1, "0").first().away_runs == 30
