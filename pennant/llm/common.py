@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,9 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one where none is set."""
+    """The folder the cluster names in spark.checkpoint.dir. Without one only a local session goes on, in the warehouse folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or f"{tempfile.gettempdir()}/pennant-checkpoint"
+    if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/pennant-checkpoint"
+    return named
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -38,3 +41,11 @@ def id_key(id_col: str = "doc_id") -> Column:
 def text_key(text_col: str = "text") -> Column:
     """Second half of a row's identity, for tables in which an id comes twice with other text."""
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A name that no column of df has: `name`, with underscores added while it is taken in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
