@@ -10,10 +10,15 @@ by the hash of id and copy number, and sorted by it, which is a global shuffle.
 
 Everything follows from ids and source counts, so a task run again gives the
 same copies. Sources are counted before the shuffle, one row per source and
-task; the table of rates has one row per source and joins back by source.
+task. The table of rates has one row per source and is written out; up to
+BROADCAST_SOURCES rows it is broadcast, so documents aren't shuffled by source.
+A larger one joins by source and a salt, so a source with a third of all rows
+is dealt to SALTS tasks.
 
 Null source is a source of its own. Null ids hash as the text "null". Repeated
-rows are replicated alike. An empty table gives an empty result.
+rows are replicated alike. An empty table gives an empty result. Texts, however
+long, are only carried along. Working columns, and _copy, _copies and _order of
+the result, get underscores added where docs has a column of that name.
 """
 
 from __future__ import annotations
@@ -21,6 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pennant.llm.common import fresh, materialize
+
+#: Rates that are broadcast; a row has a source's name, its part count and MAX_COPIES numbers.
+BROADCAST_SOURCES = 20_000
+SALTS = 64
 #: Copies beyond this have a probability under 2**-52 for any rate up to MAX_RATE.
 MAX_COPIES = 64
 #: The most that one part of a rate has.
@@ -74,20 +84,29 @@ def replicate(
     seed: int = SEED, id_col: str = "doc_id", source_col: str = "source", partitions: int | None = None,
 ) -> DataFrame:
     """docs repeated: all columns, and _copy (from 0), _copies, _order in shuffled order."""
+    source, n_parts, upto, salt = (fresh(docs, x) for x in ("_source", "_parts", "_cdf", "_salt"))
+    chunk, copy, copies, order = (fresh(docs, x) for x in ("_chunk", "_copy", "_copies", "_order"))
     table = rates(docs.select(F.col(source_col).alias("source")), weights, power, budget)
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / F.lit(MAX_RATE)).cast("int"))
-    table = table.select(F.col("source").alias("_source"), parts.alias("_parts"), cdf(F.col("rate") / parts).alias("_cdf"))
-    rows = docs.join(table, docs[source_col].eqNullSafe(table["_source"]))
+    table = materialize(table.select(F.col("source").alias(source), parts.alias(n_parts), cdf(F.col("rate") / parts).alias(upto)), "rates")
+    same = F.col(source_col).eqNullSafe(F.col(source))
+    if table.count() <= BROADCAST_SOURCES:
+        rows = docs.join(F.broadcast(table), same)
+    else:
+        dealt = docs.withColumn(salt, F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(SALTS)))
+        spread = table.withColumn(salt + "_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = dealt.join(spread, same & (F.col(salt) == F.col(salt + "_"))).drop(salt, salt + "_")
 
     def count(*part: Column) -> Column:
-        u = unit(seed, F.col(id_col), *part)
-        return F.size(F.filter("_cdf", lambda c: c <= u))
-
-    more = F.aggregate(F.sequence(F.lit(1), F.col("_parts") - 1), F.lit(0), lambda n, k: n + count(F.lit("part"), k))
-    rows = rows.withColumn("_copies", count() + F.when(F.col("_parts") > 1, more).otherwise(F.lit(0)))
-    rows = rows.drop("_source", "_parts", "_cdf").filter("_copies > 0")
-    rows = rows.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(CHUNK))))
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.col("_chunk"), F.least(F.col("_copies"), F.col("_chunk") + CHUNK) - 1))).drop("_chunk")
-    rows = rows.withColumn("_order", unit(seed + 1, F.col(id_col), F.col("_copy")))
-    shuffled = rows.repartition("_order") if partitions is None else rows.repartition(partitions, "_order")
-    return shuffled.sortWithinPartitions("_order", id_col, "_copy")
+        # The number is drawn once for a row, not once for each entry of the distribution.
+        start = F.struct(unit(seed, F.col(id_col), *part).alias("u"), F.lit(0).alias("n"))
+        return F.aggregate(upto, start, lambda acc, c: F.struct(acc.u.alias("u"), (acc.n + (c <= acc.u).cast("int")).alias("n")), lambda acc: acc.n)
+
+    more = F.aggregate(F.sequence(F.lit(1), F.col(n_parts) - 1), F.lit(0), lambda n, k: n + count(F.lit("part"), k))
+    rows = rows.withColumn(copies, count() + F.when(F.col(n_parts) > 1, more).otherwise(F.lit(0)))
+    rows = rows.drop(source, n_parts, upto).filter(F.col(copies) > 0)
+    rows = rows.withColumn(chunk, F.explode(F.sequence(F.lit(0), F.col(copies) - 1, F.lit(CHUNK))))
+    rows = rows.withColumn(copy, F.explode(F.sequence(F.col(chunk), F.least(F.col(copies), F.col(chunk) + CHUNK) - 1))).drop(chunk)
+    rows = rows.withColumn(order, unit(seed + 1, F.col(id_col), F.col(copy)))
+    shuffled = rows.repartition(order) if partitions is None else rows.repartition(partitions, order)
+    return shuffled.sortWithinPartitions(order, id_col, copy)

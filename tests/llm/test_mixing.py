@@ -25,6 +25,17 @@ def test_edges(spark):
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, mixing.replicate(docs, budget=4.0).collect()), key=repr)
 
 
+def test_clashing_names_and_many_sources(spark, monkeypatch):
+    """Documents may have the working columns' names; beyond BROADCAST_SOURCES the salted join gives the same copies."""
+    docs = spark.createDataFrame([(i, f"s{i % 7}" if i % 8 else None, "x" * 50) for i in range(500)], "doc_id long, source string, text string")
+    plain = sorted((r.doc_id, r._copy, r._copies, r._order) for r in mixing.replicate(docs, budget=2.0).collect())
+    odd = docs.selectExpr("*", "1 as _source", "2 as _cdf", "3 as _copies", "4 as _copy", "5 as _order", "6 as _parts", "7 as _salt", "8 as _chunk")
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    got = mixing.replicate(odd, budget=2.0).collect()
+    assert sorted((r.doc_id, r._copy_, r._copies_, r._order_) for r in got) == plain
+    assert all((r._source, r._cdf, r._copies, r._copy, r._order, r._parts, r._salt, r._chunk) == tuple(range(1, 9)) for r in got)
+
+
 def test_rates_of_rare_sources(spark):
     """Rates far beyond MAX_RATE: rare sources get their weight, and the total is the budget."""
     rows = [(i, "rare" if i < 10 else "few" if i < 60 else "most") for i in range(20_000)]
