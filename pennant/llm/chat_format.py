@@ -11,7 +11,8 @@ place, and cut into segments of SEGMENT turns at most, whatever their numbers
 are: each gives its matrix, entry costs are carried along a conversation's
 segments, exit states are carried back, and every segment then repairs its own
 turns. No task holds more than one segment's texts, however long a conversation
-is. Ties go to the first option in the order keep, merge, insert, relabel, then
+is. A segment that is a whole conversation needs neither and skips that step, so
+only the parts of long conversations meet by conversation. Ties go to the first option in the order keep, merge, insert, relabel, then
 to the lower state; the result doesn't depend on where segments end.
 
 The result has a row for each given turn with the piece of rendered text it
@@ -21,7 +22,8 @@ conversation. render() joins them into one text per conversation.
 Rows that repeat conversation, turn, role and text are one turn. Turns with one
 number are ordered by role and text; null numbers come last. Null texts are
 empty, null and unknown roles fit any role at cost UNKNOWN. Null ids make up one
-conversation.
+conversation. An empty table gives an empty result. No column but the four named
+is read, so none can clash.
 """
 
 from __future__ import annotations
@@ -47,6 +49,8 @@ FOLLOWS = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT
 ALIASES = {"human": "user", "prompter": "user", "bot": "assistant", "gpt": "assistant", "model": "assistant", "ai": "assistant", "developer": "system"}
 TURN_BEGIN, TURN_END = "<|im_start|>{role}\n", "<|im_end|>\n"
 FAR = 1 << 40
+#: Costs by state before the first turn.
+ENTRY = [0, FAR, FAR, FAR]
 
 
 def _options(role: int) -> list[list[tuple[int, int, str, int]]]:
@@ -99,18 +103,25 @@ def backward(costs: list[int], roles: list[int], exit_state: int) -> tuple[int,
 
 
 def _cut(size: int):
-    """Segments of one task's sorted turns: a new one with each conversation and after `size` turns. Segment numbers grow with the tasks."""
+    """Segments of one task's sorted turns: a new one with each conversation and after `size` turns. Segment numbers grow with the tasks.
+
+    whole: the segment is its conversation. At a task's edges that isn't known, and so not said.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, open_rows = TaskContext.get().partitionId() << 33, None
+        segment, open_rows, before = TaskContext.get().partitionId() << 33, None, None
 
-        def built(rows: pa.Table, starts: np.ndarray, first: int) -> pa.RecordBatch:
+        def built(rows: pa.Table, starts: np.ndarray, first: int, after: int | None) -> pa.RecordBatch:
+            nonlocal before
             rows = rows.combine_chunks()
             turns = pa.StructArray.from_arrays([rows.column(c).combine_chunks() for c in ("place", "role", "text", "turn")], names=["place", "role", "text", "turn"])
             ends = np.append(starts, rows.num_rows).astype(np.int32)
             conv = rows.column("conv").combine_chunks().take(pa.array(starts, pa.int64()))
             numbers = pa.array(first + np.arange(len(starts)), pa.int64())
-            return pa.RecordBatch.from_arrays([conv, numbers, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), turns)], names=["conv", "segment", "turns"])
+            around = [before, *conv.to_pylist(), after]
+            whole = [None not in (a, c) and b not in (a, c) for a, b, c in zip(around[:-2], around[1:-1], around[2:], strict=True)]
+            before = around[-2]
+            return pa.RecordBatch.from_arrays([conv, numbers, pa.array(whole), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), turns)], names=["conv", "segment", "whole", "turns"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -124,11 +135,11 @@ def _cut(size: int):
             starts = np.flatnonzero((at - np.maximum.accumulate(np.where(fresh, at, 0))) % size == 0)
             # The last segment may go on in the next batch.
             if len(starts) > 1:
-                yield built(rows.slice(0, int(starts[-1])), starts[:-1], segment)
+                yield built(rows.slice(0, int(starts[-1])), starts[:-1], segment, int(conv[starts[-1]]))
                 segment += len(starts) - 1
             open_rows = rows.slice(int(starts[-1]))
         if open_rows is not None:
-            yield built(open_rows, np.array([0]), segment)
+            yield built(open_rows, np.array([0]), segment, None)
 
     return run
 
@@ -143,7 +154,7 @@ def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _carry(rows: pa.Table) -> pa.Table:
     """Turns before each segment of a conversation and least costs on entry to it; the exit state of its last one."""
     rows = rows.sort_by("segment")
-    costs, entries = [0, FAR, FAR, FAR], []
+    costs, entries = ENTRY, []
     for m in rows.column("m").to_pylist():
         entries.append(costs)
         costs = [min(FAR, *(costs[p] + m[4 * p + s] for p in range(4))) for s in range(4)]
@@ -179,6 +190,10 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cols: list[list] = [[] for _ in range(9)]
         for conv, roles, first, costs, last, exit_state, turns in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+            if exit_state is None:  # a whole conversation
+                first, costs = 0, ENTRY
+                ends = _forward(costs, roles)[-1]
+                last = exit_state = ends.index(min(ends))
             before, path = backward(costs, roles, exit_state)
             for k, ((state, action, inserted), turn) in enumerate(zip(path, turns, strict=True)):
                 starts = action != "merge"
@@ -207,17 +222,19 @@ def repair(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     place = F.coalesce("turn", F.lit(NO_ID))
     rows = rows.select("conv", place.alias("place"), "role", "text", "turn")
     dealt = rows.repartitionByRange("conv", "place", "role", F.substring("text", 1, PREFIX)).sortWithinPartitions("conv", "place", "role", "text")
-    segments = dealt.mapInArrow(_cut(SEGMENT), "conv long, segment long, turns array<struct<place: long, role: string, text: string, turn: long>>")
+    segments = dealt.mapInArrow(_cut(SEGMENT), "conv long, segment long, whole boolean, turns array<struct<place: long, role: string, text: string, turn: long>>")
     segments = segments.withColumn("roles", F.transform("turns", lambda t: _role_number(t.role)))
     segments = materialize(segments, "segments")
-    roles = segments.select("conv", "segment", "roles")
+    roles = segments.filter(~F.col("whole")).select("conv", "segment", "roles")
     entries = roles.mapInArrow(_matrices, "conv long, segment long, n long, m array<long>").groupBy("conv").applyInArrow(_carry, "conv long, segment long, before long, entry array<long>, last int")
     entries = materialize(entries, "entries")
     keys = ["conv", "segment"]
     back = roles.join(entries, keys).select("conv", "segment", "roles", "entry", "last").mapInArrow(_ways_in, "conv long, segment long, last int, back array<int>")
     exits = back.groupBy("conv").applyInArrow(_carry_back, "conv long, segment long, exit int")
-    whole = segments.join(entries, keys).join(exits, keys).select("conv", "roles", "before", "entry", "last", "exit", "turns")
-    out = whole.mapInArrow(_pieces, PIECES)
+    columns = ["conv", "roles", "before", "entry", "last", "exit", "turns"]
+    parts = segments.filter(~F.col("whole")).join(entries, keys).join(exits, keys).select(columns)
+    alone = segments.filter("whole").withColumns({c: F.lit(None).cast(t) for c, t in (("before", "long"), ("entry", "array<long>"), ("last", "int"), ("exit", "int"))}).select(columns)
+    out = parts.unionByName(alone).mapInArrow(_pieces, PIECES)
     return out.select(F.when(F.col("conv") != NO_ID, F.col("conv")).alias("conv_id"), "turn", "given_role", "role", "action", "inserted", "starts", "at", "piece")
 
 

@@ -45,19 +45,46 @@ def test_segments_and_edges(spark, segment, monkeypatch):
     check(df.limit(0))
 
 
-def test_least_cost():
-    """The path costs as little as any, found by trying all."""
-    random.seed(4)
-    for _ in range(200):
-        roles = [random.randrange(4) for _ in range(random.randrange(1, 8))]
-        best = {0: 0}
-        for r in roles:
-            new = {}
-            for s, c in best.items():
-                for k, n, _, _ in C.OPTIONS[r][s]:
-                    new[n] = min(new.get(n, 99), c + k)
-            best = new
-        assert min(best.values()) == min(C._forward([0, C.FAR, C.FAR, C.FAR], roles)[-1])
+def repairs(given):
+    """Cost of every way to repair a list of roles, by the rules alone: merge 1, insert an empty turn 2, relabel 3, name an unknown role 1."""
+
+    def legal(done):
+        rest = done[1:] if done[:1] == ["system"] else done
+        return all(r == ("user", "assistant")[k % 2] for k, r in enumerate(rest))
+
+    ways = [([], 0)]
+    for role in given:
+        new = []
+        for done, cost in ways:
+            for name in ("system", "user", "assistant"):
+                own = 0 if name == role else 1 if role is None else 3
+                new.append(([*done, name], cost + own))
+                if name == role:
+                    new += [([*done, empty, name], cost + 2) for empty in ("system", "user", "assistant")]
+            if role is not None and done and done[-1] == role:
+                new.append((done, cost + 1))
+        ways = [(d, c) for d, c in new if legal(d)]
+    return min(c for _, c in ways)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_least_cost(spark, seed):
+    """What the repair costs is the least of all legal repairs, tried one by one with an automaton of the test's own."""
+    random.seed(seed)
+    lists = [[random.choice(["system", "user", "assistant", None]) for _ in range(random.randrange(1, 6))] for _ in range(60)]
+    rows = [(c, k, r, "x") for c, roles in enumerate(lists) for k, r in enumerate(roles)]
+    cost, shown = {}, {}
+    for r in sorted(C.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect(), key=lambda r: (r.conv_id, r.at)):
+        own = {"keep": 0, "merge": 1, "insert": 2, "relabel": 1 if r.given_role is None else 3}[r.action]
+        cost[r.conv_id] = cost.get(r.conv_id, 0) + own
+        assert r.action != "relabel" or r.role != r.given_role
+        assert r.action == "relabel" or r.role == r.given_role
+        seen = shown.setdefault(r.conv_id, [])
+        seen += [x for x in (r.inserted,) if x] + ([r.role] if r.starts else [])
+    assert cost == {c: repairs(roles) for c, roles in enumerate(lists)}
+    for seen in shown.values():
+        rest = seen[1:] if seen[0] == "system" else seen
+        assert all(r == ("user", "assistant")[k % 2] for k, r in enumerate(rest))
 
 
 def test_rendering(spark):
