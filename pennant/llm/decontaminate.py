@@ -6,18 +6,21 @@ with; no other suffix can match a whole window, so none is lost. Every benchmark
 window is binary-searched in the array; the range found gives its locations, and
 neighbouring locations on one diagonal join into the longest verbatim matches.
 
-The benchmark is taken in blocks of bounded size (BLOCK_BYTES), one pass over
-the documents for each; a block is all that is sent to the tasks. Documents are
-never shuffled.
+The benchmark is taken in blocks of bounded size (BLOCK_BYTES, or one item if
+that is larger), one pass over the documents for each. A pass is written out
+before the next block is read, so the driver, a plan and a task hold one block
+at a time however large the benchmark is. Documents are never shuffled.
 
 Null texts have no words. Null item ids are named "null"; items with one id
 count once. Repeated documents each get their own row. Without documents the
-result is empty, without a benchmark no document is hit.
+result is empty, without a benchmark no document is hit. A very long text is
+searched whole, in one shard. remove_contaminated's working columns take names
+that docs doesn't have.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pennant.llm import words
+from pennant.llm.common import fresh, materialize
 from pennant.llm.words import ALNUM, RunHash, Words, chunks
 
 WINDOW = 10
@@ -34,7 +38,8 @@ WINDOW = 10
 BLOCK_BYTES = 8 << 20
 #: Suffixes are entered in the array by their first words; three at most.
 ENTRY_WORDS = 3
-FOUND = "_spans array<int>, _items array<string>, _longest int, _n_words long"
+ADDED = ("_spans", "_items", "_longest", "_n_words")
+KINDS = ("array<int>", "array<string>", "int", "long")
 
 
 @dataclass
@@ -182,8 +187,8 @@ def _searched(texts: pa.Array, block: Block, spans: list, items: list, longest:
             longest[w.first + doc] = max(longest[w.first + doc], n)
 
 
-def _pass(docs: DataFrame, block: Block | None, text_col: str, first: bool) -> DataFrame:
-    names = docs.columns if first else docs.columns[:-4]
+def _pass(docs: DataFrame, block: Block | None, text_col: str, first: bool, added: Sequence[str]) -> DataFrame:
+    names = docs.columns if first else docs.columns[: -len(added)]
     at = docs.columns.index(text_col)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,10 +204,10 @@ def _pass(docs: DataFrame, block: Block | None, text_col: str, first: bool) -> D
             else:
                 for w in chunks(batch.column(at), ALNUM, lower=True):
                     counts[w.first : w.last] = w.counts.tolist()
-            added = [_lists(spans, pa.int32()), _lists([x and sorted(set(x)) for x in items], pa.string()), pa.array(longest, pa.int32()), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *added], names=[*names, "_spans", "_items", "_longest", "_n_words"])
+            found = [_lists(spans, pa.int32()), _lists([x and sorted(set(x)) for x in items], pa.string()), pa.array(longest, pa.int32()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *found], names=[*names, *added])
 
-    schema = StructType([*docs.schema.fields[: len(names)], *StructType.fromDDL(FOUND).fields])
+    schema = StructType([*docs.schema.fields[: len(names)], *StructType.fromDDL(", ".join(f"{n} {k}" for n, k in zip(added, KINDS, strict=True))).fields])
     return docs.mapInArrow(search, schema)
 
 
@@ -218,12 +223,14 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
             yield block
 
 
-def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """docs with _spans (begin, end, begin, end, ... in words), _items, _longest (words) and _n_words."""
+def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", added: Sequence[str] = ADDED) -> DataFrame:
+    """docs with _spans (begin, end, begin, end, ... in words), _items, _longest (words) and _n_words, or as `added` names them."""
     first, out = True, docs
     for block in blocks(benchmark, item_col, item_text):
-        out, first = _pass(out, block, text_col, first), False
-    return _pass(docs, None, text_col, True) if first else out
+        if not first:
+            out = materialize(out, "searched")
+        out, first = _pass(out, block, text_col, first, added), False
+    return _pass(docs, None, text_col, True, added) if first else out
 
 
 def decide(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -247,4 +254,5 @@ def decide(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of docs in which no benchmark window occurs, with all their columns."""
-    return search(docs, benchmark, text_col, item_col, item_text).filter(F.col("_spans").isNull()).select(*docs.columns)
+    added = [fresh(docs, x) for x in ADDED]
+    return search(docs, benchmark, text_col, item_col, item_text, added).filter(F.col(added[0]).isNull()).select(*docs.columns)

@@ -14,7 +14,12 @@ number of digests, so a shard has a bounded size at any scale.
 
 Null texts count as empty. Among equal texts the row with the largest id stays;
 null ids lose against all others. Rows that repeat both id and text are all
-reported, and one of them is kept.
+reported, and one of them is kept. Empty tables give empty results. Of a text,
+however long, only the digest is shuffled for the decisions; working columns of
+remove_repeats take names that docs doesn't have.
+
+Digests are made in Arrow batches: that took 2.2 s on 0.1 GB where sha2() over
+translate() took 6.4 s.
 """
 
 from __future__ import annotations
@@ -28,13 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from pennant.llm.common import materialize
+from pennant.llm.common import fresh, materialize
 from pennant.llm.words import mix
 
 #: Distinct digests that one shard of the index has on average.
 SHARD_DIGESTS = 4096
 #: Bits per digest in each level of the perfect hash.
 GAMMA = 2.0
+#: Stands for a null id, which loses against all others.
+LOWEST = -(1 << 63)
 INDEX_SCHEMA = "shard long, levels array<binary>, digests binary, winners array<long>, sizes array<long>"
 
 
@@ -182,7 +189,7 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", is_h
         is_history = F.coalesce(F.col("doc_id") % 2 == 0, F.lit(False))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     slim = with_digest(slim).select("doc_id", F.col("_digest").alias("digest"))
-    lowest = F.lit(-(1 << 63))
+    lowest = F.lit(LOWEST)
     # Rows that repeat id and text become one row with a count.
     slim = slim.groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
     slim = materialize(slim.withColumn("key", F.coalesce("doc_id", lowest)), "digests")
@@ -198,8 +205,9 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", is_h
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    kept = decide(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_keep"), F.col("digest").alias("_digest"))
-    rows = with_digest(docs, text_col)
-    same = rows[id_col].cast("long").eqNullSafe(kept["_keep"]) & (rows["_digest"] == kept["_digest"])
-    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, "_digest"]).drop("_digest")
+    """The rows of docs that stay, with all their columns. Rows are shuffled once, by id and digest."""
+    key, digest = fresh(docs, "_key"), fresh(docs, "_digest")
+    lowest = F.lit(LOWEST)
+    kept = decide(docs, id_col, text_col).filter("kept").select(F.coalesce("doc_id", lowest).alias(key), F.col("digest").alias(digest))
+    rows = with_digest(docs, text_col, digest).withColumn(key, F.coalesce(F.col(id_col).cast("long"), lowest))
+    return rows.join(kept, [key, digest], "left_semi").dropDuplicates([key, digest]).select(*docs.columns)

@@ -25,7 +25,9 @@ pairs out inside the join, and exact multiset overlap follows. Nothing is capped
 
 Null texts have no words; texts without words are alone in their class. Null ids
 sort after all others. Rows that repeat id and text share their class and their
-`kept`.
+`kept`. Empty tables give empty results. A very long text is signed whole; its
+shingles are in one task's memory, 16 bytes for each word. Working columns of
+remove_near take names that docs doesn't have.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pennant.llm.common import id_key, materialize, text_key
+from pennant.llm.common import fresh, id_key, materialize, text_key
 from pennant.llm.graph import components
 from pennant.llm.words import NOT_SPACE, WORD_BASES, RunHash, Words, chunks, mix
 
@@ -329,10 +331,9 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simi
 
 def remove_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row of docs for each class, with all its columns; texts without words all stay."""
+    k, t = fresh(docs, "_key"), fresh(docs, "_th")
     found = Classes(docs, id_col, text_col, similarity)
-    stay = found.classes().select(F.col("class_id").alias("_key"), F.col("keep_th").alias("_th")).distinct()
-    empty = found.signed.filter(F.size("bands") == 0).select(F.col("key").alias("_key"), F.col("th").alias("_th"))
-    keyed = docs.withColumn("_key", id_key(id_col)).withColumn("_th", text_key(text_col))
-    return keyed.join(stay.unionByName(empty).distinct(), ["_key", "_th"], "left_semi").dropDuplicates(["_key", "_th"]).drop("_key", "_th")
-
-
+    stay = found.classes().select(F.col("class_id").alias(k), F.col("keep_th").alias(t)).distinct()
+    empty = found.signed.filter(F.size("bands") == 0).select(F.col("key").alias(k), F.col("th").alias(t))
+    keyed = docs.withColumn(k, id_key(id_col)).withColumn(t, text_key(text_col))
+    return keyed.join(stay.unionByName(empty).distinct(), [k, t], "left_semi").dropDuplicates([k, t]).select(*docs.columns)
