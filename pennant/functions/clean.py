@@ -144,6 +144,20 @@ def rate(part: Column, whole: Column, least: float = 1) -> Column:
     return F.when(whole >= least, part.cast("double") / whole)
 
 
+def pick_side(home: Column, at_home: Column, away: Column) -> Column:
+    """The home or the away column of a game."""
+    return F.when(home, at_home).otherwise(away)
+
+
+def where_given(values: dict[str, object]) -> Column:
+    """Columns equal the given values; None leaves a column free."""
+    out = F.lit(True)
+    for name, value in values.items():
+        if value is not None:
+            out = out & (F.col(name) == F.lit(value))
+    return out
+
+
 def snake_case(name: str) -> str:
     """camelCase to snake_case."""
     return "".join(f"_{c.lower()}" if c.isupper() and k else c.lower() for k, c in enumerate(name))

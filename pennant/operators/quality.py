@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -94,3 +94,28 @@ def suite(*findings: DataFrame) -> DataFrame:
     from pennant.operators.sets import stacked
 
     return stacked(findings)
+
+
+def census(tables: dict[str, DataFrame]) -> DataFrame:
+    """tab, field, n, filled, kinds, least, most of all fields (as text); one pass over each table."""
+    out = None
+    for tab, df in tables.items():
+        names = df.columns
+        facts = [
+            F.struct(
+                F.lit(c).alias("field"), F.count("*").alias("n"), F.count(c).alias("filled"), F.countDistinct(c).alias("kinds"), F.min(F.col(c).cast("string")).alias("least"), F.max(F.col(c).cast("string")).alias("most")
+            ).alias(f"f{k}")
+            for k, c in enumerate(names)
+        ]
+        one = df.agg(*facts).select(F.lit(tab).alias("tab"), F.explode(F.array(*[f"f{k}" for k in range(len(names))])).alias("x")).select("tab", "x.*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def lineage(spark: SparkSession, tables: dict[str, DataFrame], rules: Sequence[tuple[str, str]], otherwise: str = "unmapped") -> DataFrame:
+    """tab, field, lineage of all fields, by the first rule (name, pattern) that the field's name fits."""
+    fields = spark.createDataFrame([(tab, c) for tab, df in tables.items() for c in df.columns], "tab string, field string")
+    kind = F.lit(otherwise)
+    for name, pattern in reversed(list(rules)):
+        kind = F.when(F.col("field").rlike(pattern), name).otherwise(kind)
+    return fields.withColumn("lineage", kind)

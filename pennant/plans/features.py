@@ -8,7 +8,7 @@ share the shuffle. `sides` turns the tall result into home_ and away_ columns.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,9 +91,11 @@ def event_measures() -> dict[str, Column]:
     """All counts by name as numbers per event."""
     measures = {n: clean.flag(c) for n, c in {**plate_flags(), **contact_flags()}.items()}
     measures |= {n: sum((clean.flag(c) for c in parts), F.lit(0)) for n, parts in steal_flags().items()}
-    measures |= {n: F.when(_is("bat_event_fl"), expected_value(n)).otherwise(F.lit(0.0)) for n in EXPECTED}
+    # Weights are added up as decimals, so their sums don't depend on the order of rows.
+    exact = lambda c: F.when(_is("bat_event_fl"), c).otherwise(F.lit(0.0)).cast("decimal(12,3)")
+    measures |= {n: exact(expected_value(n)) for n in EXPECTED}
     number = lambda c: F.coalesce(F.col(c).try_cast("long"), F.lit(0))
-    measures |= {"outs": number("event_outs_ct"), "runs": number("event_runs_ct"), "li": F.when(_is("bat_event_fl"), leverage()).otherwise(F.lit(0.0))}
+    measures |= {"outs": number("event_outs_ct"), "runs": number("event_runs_ct"), "li": exact(leverage())}
     return measures | {n: F.coalesce(c, F.lit(0)) for n, c in discipline().items()}
 
 
@@ -126,7 +128,8 @@ def counted(events: DataFrame, games: DataFrame, entity: str) -> DataFrame:
 def entering(counts: DataFrame, names: Sequence[str], career: bool = False) -> DataFrame:
     """Sums over the entity's games before, by its name; null in the first one."""
     keys = ["entity"] if career else ["entity", "season"]
-    return windows.prior(counts, keys, ["game_date", "number", "game"], {f"p_{n}": n for n in names})
+    out = windows.prior(counts, keys, ["game_date", "number", "game"], {f"p_{n}": n for n in names})
+    return out.withColumns({f"p_{n}": F.col(f"p_{n}").cast("double") for n in names if n in (*EXPECTED, "li")})
 
 
 def _p(name: str) -> Column:
@@ -233,6 +236,19 @@ def sides(games: DataFrame, tall: DataFrame, values: Sequence[str], prefix: str
     return update_from(games, named, "id", "team_id", ["home", "away"], [f"{prefix}{v}" for v in values])
 
 
+def of_range(games: DataFrame, first: str, last: str, family: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A family's rows of the games from first to last, built from these and what lies before; later games aren't read."""
+    mine = games.filter(F.col("game_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))).select(F.col("id").alias("game"))
+    return family(games.filter(F.col("game_date") <= F.lit(last).cast("date"))).join(mine, "game", "left_semi")
+
+
+def export_view(games: DataFrame, tall: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Decided regular games with their label and both sides' values."""
+    rows = sides(games.filter("game_type = 'regular' and home_score <> away_score"), tall, values)
+    names = [f"{side}_{v}" for v in values for side in ("home", "away")]
+    return rows.select(F.col("id").alias("game_id"), "season", "game_date", "home_team_id", "away_team_id", (F.col("home_score") > F.col("away_score")).alias("home_won"), *names)
+
+
 def differences(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumns({f"{n}_diff": F.col(f"home_{n}") - F.col(f"away_{n}") for n in names})
 

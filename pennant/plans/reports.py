@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pennant.functions import clean
@@ -59,3 +59,15 @@ def division_standing(standings: DataFrame, teams: DataFrame) -> DataFrame:
     rows = standings.join(teams.select(F.col("id").alias("team_id"), "city", "nickname", "division"), "team_id")
     played = F.col("wins") + F.col("losses")
     return rows.select("season", "division", "team_id", clean.display_name(F.col("city"), F.col("nickname")).alias("name"), "wins", "losses", "rank", "games_back", clean.rate(F.col("wins"), played).alias("win_pct"))
+
+
+def health(marts: dict[str, tuple[DataFrame, DataFrame, Column, float]]) -> DataFrame:
+    """mart, n, joined, coverage, status of marts (facts, dimension, condition, least coverage): EMPTY, FAIL, or PASS. More joined rows than facts fail."""
+    out = None
+    for name, (facts, side, on, least) in marts.items():
+        n, joined = facts.agg(F.count("*").alias("n")), facts.join(side, on).agg(F.count("*").alias("joined"))
+        coverage = F.col("joined") / F.nullif(F.col("n").cast("double"), F.lit(0.0))
+        status = F.when(F.col("n") == 0, "EMPTY").when((coverage < least) | (coverage > 1), "FAIL").otherwise("PASS")
+        one = n.join(F.broadcast(joined)).select(F.lit(name).alias("mart"), "n", "joined", F.round(coverage, 6).alias("coverage"), status.alias("status"))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -11,6 +13,16 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or, in a local session alone, a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.gettempdir()
+    return f"{base}/pennant-{label}-{uuid.uuid4().hex}"
+
+
 def read(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 8) -> DataFrame:
     """Stream of the Parquet files that arrive in a folder."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
