@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,12 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir. Without one only a local session goes on, in the warehouse folder."""
+    """The folder the cluster names in spark.checkpoint.dir. Without one only a local session goes on, in a temporary folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/pennant-checkpoint"
+        named = f"{tempfile.gettempdir()}/pennant-checkpoint"
     return named
 
 
