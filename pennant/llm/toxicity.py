@@ -9,22 +9,26 @@ in either direction, attention pools its states, and a logistic unit gives the
 window's score. A text's score is that of its worst window; windows overlap by a
 quarter and cover every word.
 
-The network is trained on the driver from a bounded sample of labelled rows: at
+The network is trained in one task from a bounded sample of labelled rows: at
 most TRAIN_TEXTS texts of each label, of at most TRAIN_BYTES bytes each, chosen
-by a hash of their ids. A toxic text's label says that some window is toxic, so
-only its worst windows count as toxic, at first by the word statistics and later
-by the network's own score. A fifth of the sample sets the decision point.
-Scoring runs in
-Arrow batches where the documents are, without a shuffle; only the network, of
-fixed size, is sent to the tasks.
+by a hash of their ids from all that fit. A toxic text's label says that some
+window is toxic, so only its worst windows count as toxic, at first by the word
+statistics and later by the network's own score. A fifth of the sample, at every
+size, isn't learnt from and sets the decision point. The task returns the network
+as one row; scoring runs in Arrow batches where the documents are, without a
+shuffle. Only the network, of fixed size, goes through the driver.
 
 Null texts count as empty. A text without words scores the share of toxic texts
-among the labelled ones. Null ids are held out. Without labels of both kinds
-every text scores 0. Rows that repeat each get their score.
+among the labelled ones. Null ids are held out. Without labels of both kinds, or
+without documents that have them, every text scores 0. Rows that repeat each get
+their score; of several texts under one labelled id the least is learnt from. A
+very long text is scored whole, in windows; an empty table gives an empty result.
+Working columns take names that docs doesn't have, so no column can clash.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from pennant.llm.common import fresh, materialize
 from pennant.llm.words import ALNUM, Words, chunks, mix
 
 WINDOW, STRIDE = 64, 48
@@ -277,7 +282,7 @@ def train(texts: list[str], toxic: np.ndarray, base: float) -> Network:
     x = _gather(texts)
     if x is None:
         return net
-    held = np.arange(len(texts)) % 5 == 4 if len(texts) >= 500 else np.zeros(len(texts), bool)
+    held = np.arange(len(texts)) % 5 == 4
     learn = np.where(held, -1, toxic)
     net.word_odds, net.char_odds = _held(x, learn)
     telling = _inputs(net, x.word, x.grams, x.at)[:, -2:].max(axis=1)[x.inverse]
@@ -316,8 +321,7 @@ def train(texts: list[str], toxic: np.ndarray, base: float) -> Network:
     # The decision point: the score that errs least on texts not learnt from, by the labels' own shares.
     by_text = np.zeros(len(texts))
     np.maximum.at(by_text, x.of, score)
-    judged = held if held.any() else ~held
-    p, q = by_text[judged & (toxic == 1)], by_text[judged & (toxic == 0)]
+    p, q = by_text[held & (toxic == 1)], by_text[held & (toxic == 0)]
     if len(p) and len(q):
         at = np.linspace(-4, 4, 161)
         logit = lambda v: np.log(np.clip(v, 1e-6, 1 - 1e-6) / (1 - np.clip(v, 1e-6, 1 - 1e-6)))
@@ -363,24 +367,33 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(True))
 
 
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sample (id, text, toxic, share) becomes one row, the pickled network."""
+    rows = pa.Table.from_batches([b for b in batches if b.num_rows] or [pa.RecordBatch.from_pylist([], pa.schema([("id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32()), ("share", pa.float64())]))])
+    rows = rows.sort_by("id")
+    toxic = rows.column("toxic").to_numpy().astype(np.int64)
+    if len(toxic) and toxic.any() and not toxic.all():
+        net = train(rows.column("text").to_pylist(), toxic, rows.column("share")[0].as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], names=["net"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Network | None:
-    """Train on a bounded sample of the labelled documents that are not held out."""
-    known = labels.filter(F.col(label_col).isin(0, 1) & ~held_out(id_col)).groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(label_col).cast("int").alias("_toxic"))
-    share = known.agg(F.avg("_toxic")).first()[0]
-    if share is None or share in (0.0, 1.0):
-        return None
-    pick = lambda label: known.filter(F.col("_toxic") == label).orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_TEXTS)
-    sample = pick(0).unionByName(pick(1))
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).filter(F.octet_length("_text") <= TRAIN_BYTES)
-    got = rows.join(F.broadcast(sample), "_id").select("_id", "_text", "_toxic").collect()
-    got = list({r["_id"]: r for r in sorted(got, key=lambda r: (r["_id"], r["_text"]))}.values())
-    toxic = np.array([r["_toxic"] for r in got], dtype=np.int64)
-    if not toxic.any() or toxic.all():
-        return None
-    return train([r["_text"] for r in got], toxic, float(share))
+    """Train, in one task, on a bounded sample of the labelled documents that are not held out."""
+    known = labels.filter(F.col(label_col).isin(0, 1) & ~held_out(id_col)).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
+    known = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.octet_length("text") <= TRAIN_BYTES)
+    # Ids and labels alone are shuffled; the texts of the chosen ids are then read where they are.
+    known = materialize(known.join(rows.select("id"), "id", "left_semi"), "labelled")
+    pick = lambda label: known.filter(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(TRAIN_TEXTS)
+    share = known.agg(F.avg("toxic").alias("share"))
+    sample = rows.join(F.broadcast(pick(0).unionByName(pick(1))), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sample = sample.join(F.broadcast(share)).select("id", "text", "toxic", "share")
+    found = materialize(sample.repartition(1).mapInArrow(_train, "net binary"), "network").first()
+    return pickle.loads(bytes(found["net"])) if found else None
 
 
 def with_score(docs: DataFrame, net: Network | None, text_col: str = "text", name: str = "_score") -> DataFrame:
+    """docs and the score of each text in the new column `name`."""
     at = docs.columns.index(text_col)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,4 +414,5 @@ def decide(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", least: float = 0.5) -> DataFrame:
     """The rows of docs that score below `least`, with all their columns."""
-    return with_score(docs, fit(docs, labels, id_col, text_col, label_col), text_col).filter(F.col("_score") < least).drop("_score")
+    name = fresh(docs, "_score")
+    return with_score(docs, fit(docs, labels, id_col, text_col, label_col), text_col, name).filter(F.col(name) < least).drop(name)

@@ -36,7 +36,7 @@ def test_edges(spark):
     rows, labels = corpus(60)
     marks = spark.createDataFrame(labels + [(None, 1), (900, None)], "doc_id long, toxic int")
     odd = [(1000, None), (1001, ""), (None, "ran"), (1002, "!!!"), (1002, "!!!"), (1003, "rana " * 20_000)]
-    docs = spark.createDataFrame(rows + odd, "doc_id long, text string").selectExpr("*", "1 as _score1", "2 as toxic")
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string").selectExpr("*", "1 as _score", "2 as _SCORE_", "2 as toxic")
     got = toxicity.decide(docs, marks).collect()
     assert len(got) == len(rows) + len(odd)
     empty = [r.score for r in got if r.doc_id in (1000, 1001, 1002)]
