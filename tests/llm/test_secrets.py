@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -50,6 +52,50 @@ def test_linked_parts(spark):
     assert spans == {1: "ident:0:12,part:18:32", 2: "endpoint:4:23,ident:24:33", 3: "", 4: "", 5: ""}
 
 
+WEAK = {
+    "ident": ("access", re.compile(r"(?<![A-Za-z0-9])(?i:user(?:_?name|_?id)?|login|account(?:_?id)?|client_?id|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.@-]{3,}")),
+    "part": ("secret", re.compile(r"(?<![A-Za-z0-9])(?i:pwd|passphrase|credentials?|auth(?:orization)?|client_?secret|private_?key|access_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{4,}")),
+    "endpoint": ("endpoint", re.compile(r"(?i:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3|ftp)://[A-Za-z0-9._~:/?#@!$&*+,;=%-]{3,}")),
+}
+
+
+def brute_spans(text, reach=200):
+    """All spans by comparing every pair of parts."""
+    base = brute(text)
+    strong = [(a, b, k, {"assign": "secret", "access": "access", "hex": "secret"}[k]) for a, _, k, b in base]
+    weak = [(m.start(), m.end(), k, role) for k, (role, pattern) in WEAK.items() for m in pattern.finditer(text)]
+    breaks = [m.start() for m in re.finditer(r"\n[\x20\t\r]*\n", text)]
+    rank = {k: i for i, k in enumerate(("assign", "access", "hex", "ident", "part", "blob", "endpoint"))}
+    linked = []
+    for a, b, k, role in weak:
+        if any(x < b and a < y for x, y, _, _ in strong):
+            continue
+        near = [(x, y) for x, y, _, r in strong + weak if r != role and x <= b + reach and a <= y + reach]
+        if any(not any(min(a, x) <= br < max(a, x) for br in breaks) for x, _ in near):
+            linked.append((a, rank[k], k, b))
+    return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(base + linked))
+
+
+def test_links_against_all_pairs(spark):
+    random.seed(6)
+    bits = ["user: joe", "pwd=hunter22", "https://a.example/x", "secret=abcdefgh1", "AKIA" + "B" * 12, "\n\n", "\n \n", "x" * 90, " ", " ", "word ", "login=ann", "token: https://abc.example"]
+    texts = ["".join(random.choice(bits) + " " for _ in range(random.randrange(60))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in secrets.findings(df).collect()} == {i: brute_spans(x) for i, x in enumerate(texts)}
+
+
+def test_many_parts_in_one_text(spark, tmp_path):
+    """1 MB of alternating weak parts, some 45,000 in one row: the work doesn't grow with the square."""
+    text = "user: joe\npwd = hunter22\n\n" * 22_500 + "user: joe\n" * 22_500
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    secrets.findings(df.limit(0)).collect()
+    began = time.time()
+    row = secrets.findings(df).first()
+    assert row.n_linked == 45_000
+    assert time.time() - began < 30
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.text(alphabet="tokensecret =:\"AKIA0f9é\n", max_size=120), min_size=1, max_size=30))
 def test_random_texts(spark, texts):
