@@ -13,16 +13,18 @@ the smallest id lose every word that a window covers, which is all of them.
 
 Statistics of a window are summed before the shuffle. Rows join back to them by
 the window's hash. The HOT_WINDOWS most frequent windows are broadcast instead,
-and their rows are dealt by a salt, so a passage that a third of all documents
-share goes to many tasks. Texts are dealt out once
-by their identity, and every level reads that exchange.
+and their rows go through that join under keys of their own (a hash of text and
+window), so a passage that a third of all documents share goes to many tasks.
+Texts are dealt out once by their identity, and every level reads that exchange.
 
 Windows are compared by a 64-bit hash: among n candidate windows about n*n/2**65
 pairs collide.
 
 Null texts have no words. Null ids sort after all others. Rows that repeat an id
 don't remove words from each other, and each gets its result. Texts under 50
-words stay as they are.
+words stay as they are. Empty tables give empty results. A very long text is one
+row of one task; its words' hashes take 8 bytes each. No column of docs but id
+and text is read, so none can clash.
 """
 
 from __future__ import annotations
@@ -41,7 +43,6 @@ from pennant.llm.words import NOT_SPACE, WORD_BASES, RunHash, Words, chunks, sli
 WINDOW = 50
 #: Windows that are joined by broadcast, the most frequent ones; any other has under 1/HOT_WINDOWS of all rows.
 HOT_WINDOWS = 1000
-SALTS = 997
 NO_WORDS = hashlib.sha256(b"").digest()
 _FAR = ~np.uint64(0)
 
@@ -189,11 +190,11 @@ def _repeats(windows: DataFrame) -> DataFrame:
     """Rows whose window starts in texts with different ids, with the smallest of these as `first`."""
     stats = windows.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("n")).filter("first < last")
     hot = stats.orderBy(F.desc("n"), "h").limit(HOT_WINDOWS).select("h", F.col("first").alias("hot_first"))
-    salt = F.when(F.col("hot_first").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("rid"), F.lit(SALTS)) + 1).cast("int")
-    rows = windows.join(F.broadcast(hot), "h", "left").withColumn("salt", salt)
-    cold = stats.select("h", "first", F.lit(0).alias("salt"))
-    found = rows.join(cold, ["h", "salt"], "left").withColumn("first", F.coalesce("hot_first", "first"))
-    return found.filter(F.col("first").isNotNull()).drop("salt", "hot_first")
+    rows = windows.join(F.broadcast(hot), "h", "left")
+    # Rows of hot windows have what they need; any key that spreads them will do.
+    rows = rows.withColumn("k", F.when(F.col("hot_first").isNull(), F.col("h")).otherwise(F.xxhash64("rid", "h")))
+    found = rows.join(stats.select(F.col("h").alias("k"), "first"), "k", "left").withColumn("first", F.coalesce("hot_first", "first"))
+    return found.filter(F.col("first").isNotNull()).drop("k", "hot_first")
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
