@@ -191,9 +191,10 @@ def _repeats(windows: DataFrame) -> DataFrame:
     stats = windows.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("n")).filter("first < last")
     hot = stats.orderBy(F.desc("n"), "h").limit(HOT_WINDOWS).select("h", F.col("first").alias("hot_first"))
     rows = windows.join(F.broadcast(hot), "h", "left")
-    # Rows of hot windows have what they need; any key that spreads them will do.
-    rows = rows.withColumn("k", F.when(F.col("hot_first").isNull(), F.col("h")).otherwise(F.xxhash64("rid", "h")))
-    found = rows.join(stats.select(F.col("h").alias("k"), "first"), "k", "left").withColumn("first", F.coalesce("hot_first", "first"))
+    # Rows of hot windows have what they need; any key that spreads them will do. Others carry their hash once, as that key.
+    is_hot = F.col("hot_first").isNotNull()
+    rows = rows.withColumn("k", F.when(is_hot, F.xxhash64("rid", "h")).otherwise(F.col("h"))).withColumn("h", F.when(is_hot, F.col("h")))
+    found = rows.join(stats.select(F.col("h").alias("k"), "first"), "k", "left").withColumn("first", F.coalesce("hot_first", "first")).withColumn("h", F.coalesce("h", "k"))
     return found.filter(F.col("first").isNotNull()).drop("k", "hot_first")
 
 
