@@ -3,10 +3,9 @@
 A window of 50 words can only repeat if its windows of 25 do, so windows are
 judged level by level: windows of 25 words first, and those that repeat are
 extended to 50. The first level looks at anchors alone: among the 26 windows of
-25 words that a window of 50 holds, the one with the least hash in the first
-half and the one in the second half. Equal windows hold equal anchors, so a
-window stays a candidate only where both anchors repeat. repeat_lengths() goes
-on doubling (100, 200, ...) until no candidate survives.
+25 words that a window of 50 holds, the one with the least hash. Equal windows
+hold equal anchors, so a window stays a candidate only where its anchor repeats.
+repeat_lengths() goes on doubling (100, 200, ...) until no candidate survives.
 
 Texts with the same words are counted as one beforehand: all but the one with
 the smallest id lose every word that a window covers, which is all of them.
@@ -47,19 +46,18 @@ NO_WORDS = hashlib.sha256(b"").digest()
 _FAR = ~np.uint64(0)
 
 
-def anchors(w: Words, run: RunHash, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Places of the anchors; per word the hash of the `half` words from there, and the least of `reach` such hashes; reach."""
-    left, reach = w.left(), (half + 1) // 2
+def anchors(w: Words, run: RunHash, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the anchors; per word the hash of the `half` words from there, and the least of the half + 1 such hashes from there."""
+    left, reach = w.left(), half + 1
     g = np.full(len(w), _FAR)
     at = np.flatnonzero(left >= half)
     g[at] = run(at, at + half)
     least = sliding_min(g, reach)
-    asked = np.zeros(len(w) + half + 1, bool)
-    at = np.flatnonzero(left >= 2 * half)
-    asked[at] = asked[at + half + 1 - reach] = True
-    held = np.where(asked[: len(w)], least, np.uint64(0))
+    asked = np.zeros(len(w), bool)
+    asked[left >= 2 * half] = True
+    held = np.where(asked, least, np.uint64(0))
     most = ~np.ascontiguousarray(sliding_min(np.ascontiguousarray(~held[::-1]), reach)[::-1])
-    return np.flatnonzero((most == g) & (left >= half)), g, least, reach
+    return np.flatnonzero((most == g) & (left >= half)), g, least
 
 
 def _signed(h: np.ndarray) -> pa.Array:
@@ -85,7 +83,7 @@ def _anchors(half: int):
         for batch in batches:
             key, rid = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             for w in chunks(batch.column(3), NOT_SPACE):
-                at, g, _, _ = anchors(w, RunHash(w.hashes(), WORD_BASES[0]), half)
+                at, g, _ = anchors(w, RunHash(w.hashes(), WORD_BASES[0]), half)
                 of, g = w.of[at], g[at]
                 order = np.lexsort((g, of))
                 of, g = of[order], g[order]
@@ -120,9 +118,8 @@ def _extend(size: int, from_anchors: bool):
                 run, left = RunHash(w.hashes(), WORD_BASES[0]), w.left()
                 at = np.flatnonzero(left >= size)
                 if from_anchors:
-                    _, _, least, reach = anchors(w, run, half)
-                    good = np.isin(least, marks[mine].view(np.uint64))
-                    at = at[good[at] & good[at + half + 1 - reach]]
+                    _, _, least = anchors(w, run, half)
+                    at = at[np.isin(least[at], marks[mine].view(np.uint64))]
                 else:
                     good = np.zeros(len(w) + 1, bool)
                     good[marks[mine] + w.bounds[row[mine] - w.first]] = True
