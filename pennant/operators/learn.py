@@ -169,3 +169,18 @@ def promote(registry: DataFrame, name: str, model: str) -> DataFrame:
     mine = F.col("name") == name
     status = F.when(mine & (F.col("model_id") == model), "champion").when(mine & (F.col("status") == "champion"), "retired").otherwise(F.col("status"))
     return registry.withColumn("status", status)
+
+
+def stack(df: DataFrame, inputs: Sequence[str], label: str, order: str, keys: Sequence[str], share: float = 0.8) -> DataFrame:
+    """A logistic model over base predictions, learnt from the first `share` of rows by `order`; predictions of the rest.
+
+    A missing base prediction counts as .5 beside a flag of its absence. Rows with
+    one value of `order` stay on one side of the cut.
+    """
+    filled = {f"{c}__given": F.coalesce(F.col(c).cast("double"), F.lit(0.5)) for c in inputs}
+    flags = {f"{c}__there": F.col(c).isNotNull().cast("double") for c in inputs}
+    rows = df.withColumns({**filled, **flags, label: F.col(label).cast("double")})
+    cut = rows.agg(F.percentile(F.unix_micros(F.col(order).cast("timestamp")), F.lit(share))).first()[0]
+    early = F.unix_micros(F.col(order).cast("timestamp")) < F.lit(cut)
+    fitted = Pipeline(stages=[VectorAssembler(inputCols=[*filled, *flags], outputCol="features"), LogisticRegression(maxIter=50, labelCol=label)]).fit(rows.filter(early))
+    return fitted.transform(rows.filter(~early)).select(*keys, label, vector_to_array("probability")[1].alias("p"))

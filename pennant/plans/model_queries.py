@@ -69,6 +69,39 @@ def ml_walk_forward(t: Tables) -> DataFrame:
     return learn.classification_metrics(learn.baselines(found, "season", "y"), ["season"], "y", "p")
 
 
+def orders_of_customers(t: Tables) -> DataFrame:
+    """Orders with what is known of their customer before."""
+    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return o.select("o_orderkey", "o_orderdate", "o_totalprice", F.year("o_orderdate").alias("season"), "c_acctbal", "c_nationkey", F.month("o_orderdate").alias("month"), (F.col("o_totalprice") > 200000).cast("int").alias("y"))
+
+
+@query()
+def ml_boosted(t: Tables) -> DataFrame:
+    """ML-01, ML-15: boosted trees learnt up to 1999 and judged on later seasons, with what the baselines lose there."""
+    o = orders_of_customers(t).withColumn("part", F.when(F.col("season") <= 1999, 0).otherwise(1))
+    found = learn.walk_forward(o, "part", ["c_acctbal", "c_nationkey", "month"], "y", learn.CLASSIFIERS["gbt"], ["o_orderkey"])
+    rows = learn.baselines(found.unionByName(o.filter("part = 0").select("o_orderkey", "part", F.col("y").cast("double").alias("y"), F.lit(None).cast("double").alias("p"))), "part", "y").filter("part = 1")
+    named = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(c).alias("q")) for n, c in (("gbt", "p"), ("home_rate", "p_home"), ("zero", "p_zero"))])).alias("m")
+    return learn.classification_metrics(rows.select("y", named).select("y", "m.*"), ["model"], "y", "q")
+
+
+@query()
+def ml_total(t: Tables) -> DataFrame:
+    """ML-02: boosted regression of totals on each late season, beside the mean of the season before."""
+    o = orders_of_customers(t).filter("season >= 1999").withColumn("total", F.col("o_totalprice") / 1000)
+    found = learn.walk_forward(o, "season", ["c_acctbal", "c_nationkey", "month"], "total", learn.REGRESSORS["gbt"], ["o_orderkey"])
+    rows = learn.baselines(found, "season", "total").filter("p_season is not null")
+    model, base = (learn.regression_metrics(rows, ["season"], "total", p).withColumn("model", F.lit(n)) for n, p in (("gbt", "p"), ("season_average", "p_season")))
+    return model.unionByName(base)
+
+
+@query()
+def ml_stack(t: Tables) -> DataFrame:
+    """ML-03: a logistic model over two base predictions, one of them not always there, on the last fifth of the events."""
+    rows = scored(t).withColumn("other", F.when(F.col("event_id") % 3 != 0, 1 / (1 + F.exp(-(F.col("value") - 30) / 5))))
+    return learn.classification_metrics(learn.stack(rows, ["p", "other"], "y", "ts", ["event_id"]), [], "y", "p")
+
+
 @query("""WITH c AS (SELECT c_nationkey AS n, avg((o_orderstatus = 'F')::INTEGER) AS w FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
 SELECT a.n AS home, b.n AS away, round(CASE WHEN a.w * (1 - b.w) + b.w * (1 - a.w) = 0 THEN 0.5 ELSE a.w * (1 - b.w) / (a.w * (1 - b.w) + b.w * (1 - a.w)) END, 8) AS p FROM c a JOIN c b ON b.n = a.n + 1""")
 def seq_log5(t: Tables) -> DataFrame:

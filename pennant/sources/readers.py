@@ -12,7 +12,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from pennant.functions.clean import snake_case
 from pennant.sources.sinks import clean_names
@@ -174,3 +174,49 @@ def verified_ndjson(spark: SparkSession, path: str, digests: Mapping[str, str],
 def split_datasets(df: DataFrame, name: str, datasets: Sequence[str]) -> dict[str, DataFrame]:
     """One stream of documents apart by the dataset they name."""
     return {d: df.filter(F.col(name) == d) for d in datasets}
+
+
+def flatten_groups(df: DataFrame, column: str, schema: str, path: str, rows: str, group: Mapping[str, str], fields: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
+    """Rows of the arrays `rows` inside each entry of a map or array at `path`, with the entry's fields beside each row.
+
+    The key of a map's entry is the column `entry`.
+    """
+    parsed = df.select(*keep, F.from_json(column, schema).alias("_d"))
+    entries = parsed.select(*keep, F.explode(f"_d.{path}").alias("entry", "_g") if isinstance(_at(parsed.schema["_d"].dataType, path), MapType) else F.explode(f"_d.{path}").alias("_g"))
+    names = [c for c in entries.columns if c != "_g"]
+    rows_ = entries.select(*names, *[F.col(f"_g.{p}").alias(n) for n, p in group.items()], F.explode(f"_g.{rows}").alias("_e"))
+    return rows_.select(*names, *group, *[F.col(f"_e.{p}").alias(n) for n, p in fields.items()])
+
+
+def _at(type_: StructType, path: str):
+    for name in path.split("."):
+        type_ = type_[name].dataType
+    return type_
+
+
+def stat_columns(df: DataFrame, column: str, keep: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """A JSON map of statistics as columns in snake case, null where a row has none; no shuffle, as the names are given."""
+    stats = F.from_json(column, "map<string,string>")
+    return df.select(*keep, *[F.try_element_at(stats, F.lit(n)).alias(snake_case(n)) for n in names])
+
+
+def stat_names(df: DataFrame, column: str) -> list[str]:
+    """The distinct names in a JSON map column: few, as each becomes a column."""
+    names = df.select(F.explode(F.map_keys(F.from_json(column, "map<string,string>"))).alias("name")).distinct()
+    return sorted(r["name"] for r in names.collect())
+
+
+def complete_scopes(tables: Mapping[str, DataFrame], scope: str) -> DataFrame:
+    """Scopes that every one of the tables has; a scope that one of them lacks isn't loaded yet."""
+    seen = None
+    for name, df in tables.items():
+        part = df.select(F.col(scope), F.lit(name).alias("_table")).distinct()
+        seen = part if seen is None else seen.unionByName(part)
+    return seen.groupBy(scope).agg(F.count("*").alias("_n")).filter((F.col("_n") == len(tables)) & F.col(scope).isNotNull()).select(scope)
+
+
+def xml_lists(spark: SparkSession, path: str, row_tag: str, lists: Mapping[str, str], keys: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Each list of a nested XML row as a table: lists maps list.element to the element's fields, keys the row's own attributes to types."""
+    fields = [f"{k} {v}" for k, v in keys.items()] + [f"{n.split('.')[0]} struct<{n.split('.')[1]}:array<struct<{s}>>>" for n, s in lists.items()]
+    rows = xml_rows(spark, path, row_tag, ", ".join(fields))
+    return {n.split(".")[0]: rows.select(*keys, F.posexplode(n).alias("position", "_e")).select(*keys, "position", "_e.*") for n in lists}

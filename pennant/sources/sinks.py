@@ -135,3 +135,16 @@ def content_id(df: DataFrame, columns: Sequence[str] | None = None) -> str:
 def export_csv(df: DataFrame, path: str, order: Sequence[str] = (), where: Column | None = None) -> None:
     rows = df if where is None else df.filter(where)
     (rows.orderBy(*order) if order else rows).write.csv(path, header=True)
+
+
+def write_artifact(df: DataFrame, path: str) -> DataFrame:
+    """Write gzip NDJSON files; name and digest (SHA-256) of each, the record that a verified replay asks for."""
+    df.write.json(path, compression="gzip")
+    files = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.json.gz").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("digest"))
+
+
+def record_loads(ledger: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The ledger with a batch's rows by key: one row for each loaded scope, the batch's where both have it."""
+    loaded = batch.groupBy(*keys).agg(F.count("*").alias("n"))
+    return ledger.join(loaded, list(keys), "left_anti").select(*keys, "n").unionByName(loaded)

@@ -84,3 +84,13 @@ def test_chains_are_never_cut(spark):
         with pytest.raises(ValueError, match="transitions"):
             run(cells(10_001))
     assert sequence.simulate_games(spark, cells(10_000), 1, "0").first().away_runs == 30
+
+
+def test_stack_learns_which_base_to_trust(spark):
+    rng = np.random.default_rng(2)
+    y = (rng.random(500) < 0.5).astype(int)
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), 0.8 if v else 0.2, float(rng.random()) if i % 3 else None, int(v)) for i, v in enumerate(y)]
+    df = spark.createDataFrame(rows, "id long, at timestamp, good double, idle double, y int")
+    found = learn.stack(df, ["good", "idle"], "y", "at", ["id"]).collect()
+    assert min(r.id for r in found) == 400 and len(found) == 100
+    assert all((r.p > 0.5) == bool(r.y) for r in found)

@@ -102,3 +102,23 @@ def test_verified_artifacts(spark, tmp_path):
     assert readers.verified_ndjson(spark, str(path), {"a.ndjson.gz": digest}, "k int").count() == 2
     with pytest.raises(ValueError):
         readers.verified_ndjson(spark, str(path), {"a.ndjson.gz": "0"}, "k int")
+
+
+def test_changed_artifact_is_refused(spark, tmp_path):
+    path = str(tmp_path / "artifact")
+    digests = {r["name"]: r["digest"] for r in sinks.write_artifact(spark.range(3), path).collect()}
+    assert sorted(r.id for r in readers.verified_ndjson(spark, f"{path}/*.json.gz", digests, "id long").collect()) == [0, 1, 2]
+    with pytest.raises(ValueError, match="differ"):
+        readers.verified_ndjson(spark, f"{path}/*.json.gz", {n: "0" for n in digests}, "id long")
+
+
+def test_scopes_of_all_tables(spark):
+    a, b = spark.createDataFrame([(1,), (1,), (2,), (None,)], "s int"), spark.createDataFrame([(2,), (3,), (None,)], "s int")
+    assert [r.s for r in readers.complete_scopes({"a": a, "b": b}, "s").collect()] == [2]
+    assert readers.complete_scopes({"a": a, "b": b.limit(0)}, "s").count() == 0
+
+
+def test_ledger_keeps_other_scopes(spark):
+    ledger = spark.createDataFrame([("x", 1, 9), ("x", 2, 9)], "dataset string, scope int, n long")
+    batch = spark.createDataFrame([("x", 2), ("x", 2), ("y", 1)], "dataset string, scope int")
+    assert sorted(map(tuple, sinks.record_loads(ledger, batch, ["dataset", "scope"]).collect())) == [("x", 1, 9), ("x", 2, 2), ("y", 1, 1)]
