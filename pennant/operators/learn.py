@@ -131,21 +131,26 @@ def promoted(candidate: float, baselines: Sequence[float], gain: float = 0.002)
     return all(b - candidate >= gain for b in baselines)
 
 
+def dealt(rows: DataFrame, feature: str, features: Sequence[str], seed: int = 1) -> DataFrame:
+    """rows with a feature's values moved to the row with the next rank in a hashed order, bucket by bucket."""
+    bucket = F.pmod(F.xxhash64(*[F.col(f) for f in features]), F.lit(64))
+    w = Window.partitionBy("_b").orderBy(F.xxhash64(*[F.col(f) for f in features], F.lit(seed)))
+    moved = rows.withColumn("_b", bucket).withColumn("_v", F.coalesce(F.lead(feature).over(w), F.first(feature).over(w)))
+    return moved.withColumn(feature, F.col("_v")).drop("_v", "_b")
+
+
+def loss(fitted, data: DataFrame, label: str) -> float:
+    """Log-loss of a fitted model."""
+    scored = fitted.transform(data).withColumn("_p", vector_to_array("probability")[1])
+    return classification_metrics(scored, [], label, "_p").first()["log_loss"]
+
+
 def permutation_importance(fitted, df: DataFrame, features: Sequence[str], label: str, seed: int = 1) -> Iterator[tuple[str, float]]:
     """Rise of log-loss when a feature's values are dealt anew; a noise column shows what chance gives."""
     rows = with_flags(df.withColumn(label, F.col(label).cast("double")), features)
-
-    def loss(data: DataFrame) -> float:
-        scored = fitted.transform(data).withColumn("_p", vector_to_array("probability")[1])
-        return classification_metrics(scored, [], label, "_p").first()["log_loss"]
-
-    base = loss(rows)
+    base = loss(fitted, rows, label)
     for feature in features:
-        # Values move to the row with the same rank in a hashed order, bucket by bucket.
-        bucket = F.pmod(F.xxhash64(*[F.col(f) for f in features]), F.lit(64))
-        w = Window.partitionBy("_b").orderBy(F.xxhash64(*[F.col(f) for f in features], F.lit(seed)))
-        dealt = rows.withColumn("_b", bucket).withColumn("_v", F.coalesce(F.lead(feature).over(w), F.first(feature).over(w)))
-        yield feature, loss(dealt.withColumn(feature, F.col("_v")).drop("_v", "_b")) - base
+        yield feature, loss(fitted, dealt(rows, feature, features, seed), label) - base
 
 
 def stepwise(score: Callable[[Sequence[str]], float], features: Sequence[str], margin: float = 0.0) -> list[str]:
@@ -159,6 +164,34 @@ def stepwise(score: Callable[[Sequence[str]], float], features: Sequence[str], m
     return chosen
 
 
+def nested_stepwise(df: DataFrame, season: str, features: Sequence[str], label: str, make: Callable, margin: float = 0.0) -> tuple[list[str], float]:
+    """Forward selection inside the seasons before the last one; the features chosen, and their log-loss on the last.
+
+    The inner split learns from all but the last of the earlier seasons and scores
+    on that one. A feature counts by what it gains over itself with its values
+    dealt anew in the learning rows, so a column of noise gains about nothing.
+    """
+    rows = with_flags(df.withColumn(label, F.col(label).cast("double")), features)
+    seasons = sorted(r[0] for r in rows.select(season).distinct().collect())
+    if len(seasons) < 3:
+        raise ValueError("nested selection needs three seasons")
+    learnt, inner = rows.filter(F.col(season) < seasons[-2]), rows.filter(F.col(season) == seasons[-2])
+    chosen: list[str] = []
+    while len(chosen) < len(features):
+        gains = {}
+        for f in (f for f in features if f not in chosen):
+            real, shuffled = (loss(model(make(), [*chosen, f], label).fit(x), inner, label) for x in (learnt, dealt(learnt, f, features)))
+            gains[f] = shuffled - real
+        best = max(gains, key=gains.get)
+        if gains[best] <= margin:
+            break
+        chosen.append(best)
+    if not chosen:
+        return [], float("nan")
+    fitted = model(make(), chosen, label).fit(rows.filter(F.col(season) < seasons[-1]))
+    return chosen, loss(fitted, rows.filter(F.col(season) == seasons[-1]), label)
+
+
 def model_id(spec: Mapping) -> str:
     """Content hash of a model or experiment; equal specifications are one."""
     return hashlib.sha256(json.dumps(spec, sort_keys=True, default=str, separators=(",", ":")).encode()).hexdigest()

@@ -6,8 +6,13 @@ query is a round trip whose twin reads the tables directly.
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pennant.functions import clean
 from pennant.operators import quality
@@ -148,6 +153,52 @@ def src_headerless(t: Tables) -> DataFrame:
     return readers.many_files(t.spark, f"{path}/*.csv", ["key", "name", "region"]).select("key", "name", "region")
 
 
+@query("SELECT concat('', n_nationkey) AS id, n_name AS nation_name, concat('region', n_regionkey, '.csv') AS _member FROM nation")
+def src_archives(t: Tables) -> DataFrame:
+    """SRC-03: zip archives, each with a delimited member for some regions; members that aren't delimited text are passed over."""
+
+    @F.pandas_udf("binary")
+    def packed(names: pd.Series, bodies: pd.Series) -> pd.Series:
+        def one(pairs: zip) -> bytes:
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w") as z:
+                z.writestr("readme.txt", "no rows")
+                for name, body in pairs:
+                    z.writestr(name, body)
+            return out.getvalue()
+
+        return pd.Series([one(zip(n, b, strict=True)) for n, b in zip(names, bodies, strict=True)])
+
+    lines = F.array_join(F.collect_list(F.concat_ws(",", "n_nationkey", "n_name")), "\n")
+    members = t.nation.groupBy("n_regionkey").agg(F.struct(F.concat(F.lit("region"), "n_regionkey", F.lit(".csv")).alias("name"), F.concat(F.lit("ID,Nation Name\n"), lines).alias("body")).alias("m"))
+    archives = members.groupBy((F.col("n_regionkey") % 2).alias("path")).agg(F.collect_list("m").alias("m"))
+    archives = archives.select(F.concat(F.lit("archive"), "path").alias("path"), packed("m.name", "m.body").alias("content"))
+    return readers.unzipped(archives, ["id", "nation_name"]).select("id", "nation_name", "_member")
+
+
+@query("""SELECT concat('G', l_orderkey) AS game_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey)::INTEGER AS play, l_linenumber::INTEGER AS inning, (l_linenumber % 2)::INTEGER AS home,
+concat('p', l_suppkey) AS batter, '01' AS count, 'CX' AS pitches, concat('S', l_partkey % 9) AS event FROM lineitem""")
+def src_event_files(t: Tables) -> DataFrame:
+    """SRC-04: files of typed records (id, version, play), many games to a file, split into games and plays."""
+    path = snapshots.scratch(t.spark, "records")
+    plays = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey")))
+    line = lambda x: F.concat(F.lit("play,"), x.l_linenumber, F.lit(","), x.l_linenumber % 2, F.lit(",p"), x.l_suppkey, F.lit(",01,CX,S"), x.l_partkey % 9)
+    games = t.lineitem.groupBy("l_orderkey").agg(plays.alias("plays"))
+    games.select(F.concat(F.lit("id,G"), "l_orderkey", F.lit("\nversion,2\n"), F.array_join(F.transform("plays", line), "\n")).alias("value")).write.text(path)
+    return readers.plays_of(readers.event_records(t.spark, path))
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS price, o_orderkey % 10 = 0 AS isolated FROM orders")
+def src_bad_records(t: Tables) -> DataFrame:
+    """SRC-06: lines that don't fit the schema are set apart, with their file, and the others go on."""
+    path = snapshots.scratch(t.spark, "dirty")
+    price = F.when(F.col("o_orderkey") % 10 == 0, F.lit("n/a")).otherwise(F.col("o_custkey").cast("string"))
+    t.orders.select(F.col("o_orderkey").alias("id"), price.alias("price")).write.csv(path, header=True)
+    good, bad = readers.csv_or_quarantine(t.spark, path, StructType.fromDDL("id long, price long"))
+    bad = bad.filter("_file <> ''").select(F.split("_corrupt_record", ",")[0].cast("long").alias("id"), F.lit(None).cast("long").alias("price"), F.lit(True).alias("isolated"))
+    return good.select("id", "price", F.lit(False).alias("isolated")).unionByName(bad)
+
+
 def halves(t: Tables) -> tuple[DataFrame, DataFrame]:
     """An old state of the orders, and a batch that overlaps it."""
     rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("season"), "o_custkey", "o_totalprice")

@@ -75,6 +75,23 @@ def orders_of_customers(t: Tables) -> DataFrame:
     return o.select("o_orderkey", "o_orderdate", "o_totalprice", F.year("o_orderdate").alias("season"), "c_acctbal", "c_nationkey", F.month("o_orderdate").alias("month"), (F.col("o_totalprice") > 200000).cast("int").alias("y"))
 
 
+@query()
+def ml_importance(t: Tables) -> DataFrame:
+    """ML-12: what each feature is worth to a model, beside a column of noise."""
+    rows = orders_of_customers(t).withColumn("noise", F.xxhash64("o_orderkey") % 1000)
+    names = ["o_totalprice", "c_acctbal", "noise"]
+    fitted = learn.model(learn.CLASSIFIERS["logistic"](), names, "y").fit(learn.with_flags(rows.withColumn("y", F.col("y").cast("double")), names))
+    return t.spark.createDataFrame(list(learn.permutation_importance(fitted, rows, names, "y")), "feature string, rise double")
+
+
+@query()
+def ml_stepwise(t: Tables) -> DataFrame:
+    """ML-13: forward selection inside the earlier years, each feature against itself dealt anew; judged on the last year."""
+    rows = orders_of_customers(t).filter("season >= 1998").withColumn("half_price", F.col("o_totalprice") / 2 + F.xxhash64("o_orderkey") % 20000)
+    chosen, found = learn.nested_stepwise(rows, "season", ["half_price", "c_acctbal"], "y", learn.CLASSIFIERS["logistic"], margin=0.01)
+    return t.spark.createDataFrame([(k, f, found) for k, f in enumerate(chosen)], "step long, feature string, log_loss double")
+
+
 @query()
 def ml_boosted(t: Tables) -> DataFrame:
     """ML-01, ML-15: boosted trees learnt up to 1999 and judged on later seasons, with what the baselines lose there."""

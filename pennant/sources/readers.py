@@ -35,11 +35,18 @@ def csv_or_quarantine(spark: SparkSession, path: str, schema: StructType) -> tup
     """Good rows, and the lines that don't fit the schema with the file they are in."""
     kept = StructType([*schema.fields, StructField("_corrupt_record", StringType())])
     df = spark.read.schema(kept).csv(path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=True).withColumn("_file", F.input_file_name())
+    # A column that isn't read isn't checked either: this always holds, but makes both sides read all of them.
+    df = df.filter(F.length(F.concat_ws("", *[F.col(f.name).cast("string") for f in schema.fields])) >= 0)
     return df.filter("_corrupt_record is null").drop("_corrupt_record", "_file"), df.filter("_corrupt_record is not null").select("_file", "_corrupt_record")
 
 
 def zip_members(spark: SparkSession, path: str, fields: Sequence[str], suffix: str = ".csv") -> DataFrame:
     """Rows of all delimited members of zip archives, with archive and member; unsafe archives raise."""
+    return unzipped(spark.read.format("binaryFile").load(path), fields, suffix)
+
+
+def unzipped(archives: DataFrame, fields: Sequence[str], suffix: str = ".csv") -> DataFrame:
+    """zip_members of archives that are at hand as path and content."""
     fields = clean_names(fields)
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,7 +68,7 @@ def zip_members(spark: SparkSession, path: str, fields: Sequence[str], suffix: s
                             yield rows.assign(_archive=name, _member=m.filename)
 
     schema = ", ".join(f"{c} string" for c in [*fields, "_archive", "_member"])
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(unpack, schema)
+    return archives.select("path", "content").mapInPandas(unpack, schema)
 
 
 def many_files(spark: SparkSession, pattern: str, fields: Sequence[str]) -> DataFrame:

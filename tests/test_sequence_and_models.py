@@ -94,3 +94,13 @@ def test_stack_learns_which_base_to_trust(spark):
     found = learn.stack(df, ["good", "idle"], "y", "at", ["id"]).collect()
     assert min(r.id for r in found) == 400 and len(found) == 100
     assert all((r.p > 0.5) == bool(r.y) for r in found)
+
+
+def test_nested_stepwise(spark):
+    """The signal is chosen, noise isn't, and the last season is judged from the seasons before."""
+    df = spark.range(900).selectExpr("id % 3 as season", "(id * 7919) % 101 as signal", "(id * 104729) % 97 as noise", "cast((id * 7919) % 101 > 50 as int) as y")
+    chosen, found = learn.nested_stepwise(df, "season", ["signal", "noise"], "y", learn.CLASSIFIERS["logistic"], margin=0.02)
+    assert chosen == ["signal"] and found < 0.3
+    assert learn.nested_stepwise(df, "season", ["noise"], "y", learn.CLASSIFIERS["logistic"], margin=0.02)[0] == []
+    with pytest.raises(ValueError):
+        learn.nested_stepwise(df.filter("season < 2"), "season", ["noise"], "y", learn.CLASSIFIERS["logistic"])

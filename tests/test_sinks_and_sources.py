@@ -122,3 +122,14 @@ def test_ledger_keeps_other_scopes(spark):
     ledger = spark.createDataFrame([("x", 1, 9), ("x", 2, 9)], "dataset string, scope int, n long")
     batch = spark.createDataFrame([("x", 2), ("x", 2), ("y", 1)], "dataset string, scope int")
     assert sorted(map(tuple, sinks.record_loads(ledger, batch, ["dataset", "scope"]).collect())) == [("x", 1, 9), ("x", 2, 2), ("y", 1, 1)]
+
+
+def test_bad_lines_are_set_apart(spark, tmp_path):
+    """The verdict on a line is the same whatever columns are read afterwards."""
+    (tmp_path / "a.csv").write_text("id,price\n1,2\nx,3\n4,n/a\n5,\n6,7,8\n")
+    from pyspark.sql.types import StructType
+
+    good, bad = readers.csv_or_quarantine(spark, str(tmp_path / "a.csv"), StructType.fromDDL("id long, price long"))
+    assert rows(good) == [(1, 2), (5, None)] and rows(good, "id") == [(1,), (5,)] and good.count() == 2
+    assert rows(bad, "_corrupt_record") == [("4,n/a",), ("6,7,8",), ("x,3",)] and bad.count() == 3
+    assert all(r[0].endswith("a.csv") for r in bad.select("_file").collect())
