@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import chat_format, decontaminate, exact_dedup, html_extract, mixing, near_dedup, ppm, secrets, substring_dedup, toxicity
+from pennant.llm import chat_format, decontaminate, exact_dedup, html_extract, lexical, mixing, near_dedup, ppm, secrets, substring_dedup, toxicity
 from pennant.llm.common import table
 
 
@@ -140,6 +140,25 @@ FROM (SELECT *, unnest(range(n_copies)) AS k FROM m)
 """
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS length FROM d WHERE len(w) > 0),
+t AS (SELECT r, unnest(w) AS term FROM d),
+p AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM t GROUP BY r, term),
+v AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+i AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+q AS (SELECT item, item_id, term, count(*) AS repeats FROM (SELECT item, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+c AS (SELECT item, item_id, p.r, sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(d.w) * n_docs) // length))))::BIGINT AS score
+      FROM q JOIN p USING (term) JOIN v USING (term) JOIN d ON d.r = p.r, s GROUP BY item, item_id, p.r),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM c JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
@@ -151,6 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ppm": op8_ppm,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -159,4 +179,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_near_dedup": OP6_SQL,
     "op7_decontaminate": OP7_SQL,
     "op9_mixing": "WITH " + mixing_sql("documents"),
+    "op13_lexical_search": OP13_SQL,
 }
