@@ -136,7 +136,7 @@ class Shard:
         else:
             asked = (found[:, None] * self.n_terms + term).ravel()
             place = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
-            total = (np.where(self.keys[place] == asked, self.impacts[place], 0).reshape(len(found), -1) * weight).sum(axis=1)
+            total = (np.where(self.keys[place] == asked, self.impacts[place], 0).reshape(len(found), len(term)) * weight).sum(axis=1)
         keep = total >= least
         found, total = found[keep], total[keep]
         first = np.lexsort((self.ids[found], -total))[:k]
