@@ -26,10 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, every executor sees it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import chat_format, decontaminate, exact_dedup, html_extract, lexical, mixing, near_dedup, ppm, secrets, substring_dedup, toxicity
-from pennant.llm.common import table
+from pennant.llm import chat_format, decontaminate, exact_dedup, html_extract, lexical, mixing, near_dedup, ppm, secrets, substring_dedup, token_files, toxicity
+from pennant.llm.common import new_path, table
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +140,12 @@ FROM (SELECT *, unnest(range(n_copies)) AS k FROM m)
 """
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_files.write(table(spark, sf_dir, "documents"), path)
+    return token_files.read(spark, path)
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -170,6 +176,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ppm": op8_ppm,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_token_files": op11_token_files,
     "op13_lexical_search": op13_lexical_search,
 }
 
