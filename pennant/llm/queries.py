@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pennant.llm import chat_format, decontaminate, exact_dedup, html_extract, lexical, mixing, near_dedup, ppm, secrets, substring_dedup, token_files, toxicity
+from pennant.llm import align, chat_format, decontaminate, exact_dedup, html_extract, lexical, mixing, near_dedup, ppm, secrets, substring_dedup, token_files, toxicity
 from pennant.llm.common import new_path, table
 
 
@@ -146,6 +146,10 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.figures(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -177,6 +181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
     "op11_token_files": op11_token_files,
+    "op12_token_alignment": op12_token_alignment,
     "op13_lexical_search": op13_lexical_search,
 }
 
