@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from pennant.functions import clean
 from pennant.operators import quality
 from pennant.plans.registry import Tables, query
+from pennant.sources import plays as plays_source
 from pennant.sources import readers, sinks
 from pennant.streaming import snapshots
 
@@ -330,3 +331,48 @@ def dq_lineage(t: Tables) -> DataFrame:
     """DQ-20: each field under the first rule that fits."""
     rules = [("key", "key$"), ("mapped", "^c_name$"), ("measure", "bal$|price$")]
     return quality.lineage(t.spark, {"customer": t.customer}, rules).select("field", "lineage")
+
+
+#: Event texts by number, for files made of lineitem.
+EVENT_TEXTS = (
+    "S8/L8.3-H;2-3;1-2", "D7/F7.3-H;2-H;1-3", "T9/F9LD.3-H;2-H;1-H", "HR/F78XD", "W.3-H;2-3;1-2", "K", "63/G6.2-3", "64(1)3/GDP/G6", "54(1)/FO/G5.B-1", "E6/G6.1-2;2-3;3-H(UR)(NR)",
+    "SB2", "CS2(26)", "FC5/G5.1X2(54);B-1", "WP.3-H;2-3;1-2", "8/SF/F8D.3-H", "HP.3-H;2-3;1-2",
+)
+
+
+@query("""WITH RECURSIVE ev(k, cd, db, d1, d2, d3, o, ball, po, ass, err, dp, wp, sf, ab, rbi) AS (VALUES
+(0, 20, 1, 2, 3, 4, 0, 'L', 0, 0, 0, FALSE, FALSE, FALSE, TRUE, TRUE), (1, 21, 2, 3, 4, 4, 0, 'F', 0, 0, 0, FALSE, FALSE, FALSE, TRUE, TRUE), (2, 22, 3, 4, 4, 4, 0, 'F', 0, 0, 0, FALSE, FALSE, FALSE, TRUE, TRUE),
+(3, 23, 4, 4, 4, 4, 0, 'F', 0, 0, 0, FALSE, FALSE, FALSE, TRUE, TRUE), (4, 14, 1, 2, 3, 4, 0, NULL, 0, 0, 0, FALSE, FALSE, FALSE, FALSE, TRUE), (5, 3, 0, 1, 2, 3, 1, NULL, 2, 0, 0, FALSE, FALSE, FALSE, TRUE, FALSE),
+(6, 2, 0, 1, 3, 3, 1, 'G', 3, 6, 0, FALSE, FALSE, FALSE, TRUE, TRUE), (7, 2, 0, 0, 2, 3, 2, 'G', 4, 6, 0, TRUE, FALSE, FALSE, TRUE, FALSE), (8, 2, 1, 0, 2, 3, 1, 'G', 4, 5, 0, FALSE, FALSE, FALSE, TRUE, TRUE),
+(9, 18, 1, 2, 3, 5, 0, 'G', 0, 0, 6, FALSE, FALSE, FALSE, TRUE, FALSE), (10, 4, 0, 2, 2, 3, 0, NULL, 0, 0, 0, FALSE, FALSE, FALSE, FALSE, FALSE), (11, 6, 0, 0, 2, 3, 1, NULL, 6, 2, 0, FALSE, FALSE, FALSE, FALSE, FALSE),
+(12, 19, 1, 0, 2, 3, 1, 'G', 4, 5, 0, FALSE, FALSE, FALSE, TRUE, TRUE), (13, 9, 0, 2, 3, 4, 0, NULL, 0, 0, 0, FALSE, TRUE, FALSE, FALSE, FALSE), (14, 2, 0, 1, 2, 4, 1, 'F', 8, 0, 0, FALSE, FALSE, TRUE, FALSE, TRUE),
+(15, 16, 1, 2, 3, 4, 0, NULL, 0, 0, 0, FALSE, FALSE, FALSE, FALSE, TRUE)),
+p AS (SELECT l_orderkey AS g, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey) AS n, concat('p', l_suppkey) AS bat, (l_partkey + l_linenumber) % 16 AS k FROM lineitem),
+w AS (SELECT DISTINCT g, 0::BIGINT AS n, NULL::VARCHAR AS s1, NULL::VARCHAR AS s2, NULL::VARCHAR AS s3, 0 AS s_outs, NULL::VARCHAR AS b1, NULL::VARCHAR AS b2, NULL::VARCHAR AS b3, 0 AS outs, 0::BIGINT AS k FROM p
+  UNION ALL
+  SELECT g, n, s1, s2, s3, s_outs, CASE WHEN db = 1 THEN bat WHEN d1 = 1 THEN s1 END,
+    coalesce(CASE WHEN db = 2 THEN bat END, CASE WHEN d1 = 2 THEN s1 END, CASE WHEN d2 = 2 THEN s2 END),
+    coalesce(CASE WHEN db = 3 THEN bat END, CASE WHEN d1 = 3 THEN s1 END, CASE WHEN d2 = 3 THEN s2 END, CASE WHEN d3 = 3 THEN s3 END), s_outs + o, k
+  FROM (SELECT w.g, p.n, p.bat, p.k, ev.db, ev.d1, ev.d2, ev.d3, ev.o, CASE WHEN p.n % 4 <> 1 THEN b1 END AS s1, CASE WHEN p.n % 4 <> 1 THEN b2 END AS s2, CASE WHEN p.n % 4 <> 1 THEN b3 END AS s3, CASE WHEN p.n % 4 <> 1 THEN outs ELSE 0 END AS s_outs
+        FROM w JOIN p ON p.g = w.g AND p.n = w.n + 1 JOIN ev ON ev.k = p.k)),
+x AS (SELECT *, (n + 3) // 4 AS inn, (db = 4)::INT + (s1 IS NOT NULL AND d1 >= 4)::INT + (s2 IS NOT NULL AND d2 >= 4)::INT + (s3 IS NOT NULL AND d3 >= 4)::INT AS came FROM w JOIN ev USING (k) WHERE n > 0)
+SELECT concat('G', g) AS game_id, n::INT AS event_id, inn::INT AS inn_ct, s_outs AS outs_ct, s1 AS base1_run_id, s2 AS base2_run_id, s3 AS base3_run_id, cd AS event_cd, o AS event_outs_ct, db AS bat_dest_id,
+CASE WHEN s1 IS NULL THEN 0 ELSE d1 END AS run1_dest_id, CASE WHEN s2 IS NULL THEN 0 ELSE d2 END AS run2_dest_id, CASE WHEN s3 IS NULL THEN 0 ELSE d3 END AS run3_dest_id, came AS event_runs_ct, CASE WHEN rbi THEN came ELSE 0 END AS rbi_ct,
+coalesce(sum(came) OVER (PARTITION BY g ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS away_score_ct, coalesce(sum(came) OVER (PARTITION BY g, inn ORDER BY n ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)::INT AS fate_runs_ct,
+(s1 IS NOT NULL)::INT + 2 * (s2 IS NOT NULL)::INT + 4 * (s3 IS NOT NULL)::INT AS start_bases_cd, (b1 IS NOT NULL)::INT + 2 * (b2 IS NOT NULL)::INT + 4 * (b3 IS NOT NULL)::INT AS end_bases_cd,
+ball AS battedball_cd, po AS po1_fld_cd, ass AS ass1_fld_cd, err AS err1_fld_cd, dp AS dp_fl, wp AS wp_fl, sf AS sf_fl, ab AS ab_fl, greatest(cd - 19, 0) * (cd >= 20)::INT AS h_cd, concat('h', g % 5) AS pit_id, CASE WHEN s1 IS NOT NULL THEN concat('h', g % 5) END AS run1_resp_pit_id, n % 4 = 1 AS inn_new_fl
+FROM x""")
+def src_play_columns(t: Tables) -> DataFrame:
+    """SRC-04: event texts taken apart, and the walk of outs, runners and scores along each game's half-innings."""
+    path = snapshots.scratch(t.spark, "events")
+    plays = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey")))
+    text = F.array(*map(F.lit, EVENT_TEXTS))
+    line = lambda x, i: F.concat(F.lit("play,"), F.floor(i / 4) + 1, F.lit(",0,p"), x.l_suppkey, F.lit(",01,CX,"), F.get(text, ((x.l_partkey + x.l_linenumber) % 16).cast("int")))
+    games = t.lineitem.groupBy("l_orderkey").agg(plays.alias("plays"))
+    start = F.concat(F.lit("id,G"), "l_orderkey", F.lit("\nversion,2\nstart,h"), F.col("l_orderkey") % 5, F.lit(',"A pitcher",1,0,1\n'))
+    games.select(F.concat(start, F.array_join(F.transform("plays", line), "\n")).alias("value")).write.text(path)
+    rows = plays_source.play_rows(readers.event_records(t.spark, path))
+    return rows.select(
+        "game_id", "event_id", "inn_ct", "outs_ct", "base1_run_id", "base2_run_id", "base3_run_id", "event_cd", "event_outs_ct", "bat_dest_id", "run1_dest_id", "run2_dest_id", "run3_dest_id", "event_runs_ct", "rbi_ct", "away_score_ct",
+        "fate_runs_ct", "start_bases_cd", "end_bases_cd", "battedball_cd", "po1_fld_cd", "ass1_fld_cd", "err1_fld_cd", "dp_fl", "wp_fl", "sf_fl", "ab_fl", "h_cd", "pit_id", "run1_resp_pit_id", "inn_new_fl",
+    )
