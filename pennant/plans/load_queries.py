@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,8 +18,8 @@ from pyspark.sql.types import StructType
 from pennant.functions import clean
 from pennant.operators import quality
 from pennant.plans.registry import Tables, query
+from pennant.sources import keyed, readers, sinks
 from pennant.sources import plays as plays_source
-from pennant.sources import readers, sinks
 from pennant.streaming import snapshots
 
 
@@ -296,26 +297,54 @@ def str_first_wins(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out).select("user_id", "event_type")
 
 
+def in_parts(t: Tables, rows: DataFrame, part: str, parts: Sequence[int], folder: str) -> None:
+    """Write the rows of each part as a file of its own, one after the other."""
+    for k in parts:
+        rows.filter(F.col(part) == k).drop(part).coalesce(1).write.mode("append").parquet(folder)
+
+
+#: Which of five parts of six days an event arrives in, up to 18 hours late.
+ARRIVAL = "CAST(least(4, floor((unix_timestamp(at) - unix_timestamp(began) + event_id % 7 * 10800) / 518400)) AS INT)"
+
+
+@query("""WITH e AS (SELECT event_id, user_id, ts, event_type FROM events WHERE epoch_ms(ts) <= (SELECT max(epoch_ms(ts)) FROM events) - 86400000),
+c AS (SELECT event_id, user_id, event_type, lag(event_type) OVER w AS l, row_number() OVER w AS n FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT event_id, user_id, event_type FROM c WHERE n = 1 OR event_type IS DISTINCT FROM l""")
+def str_change_stream(t: Tables) -> DataFrame:
+    """STR-02: the stream of changes by keyed state and timers, over events that come up to 18 hours late in several batches, stopped and started again."""
+    folder, out, seen = (snapshots.scratch(t.spark, x) for x in ("arrivals", "stream", "progress"))
+    rows = t.events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("at"), "event_type")
+    rows = rows.crossJoin(F.broadcast(rows.agg(F.min("at").alias("began")))).withColumn("part", F.expr(ARRIVAL)).drop("began")
+    for parts in ((0, 1, 2), (3, 4)):
+        in_parts(t, rows, "part", parts, folder)
+        stream = snapshots.ordered_changes(snapshots.read(t.spark, folder, rows.drop("part").schema, 1), ["user_id"], "at", "event_type", "1 day", order=["event_id"])
+        snapshots.append(stream, out, seen).awaitTermination()
+    return t.spark.read.parquet(out).select("event_id", "user_id", "event_type")
+
+
 @query("SELECT user_id, max(ts) AS ts, arg_max(value, ts) AS value FROM events GROUP BY 1")
 def str_latest(t: Tables) -> DataFrame:
-    """STR-04: the latest snapshot of each key, each batch's keys replaced by key."""
-    out, seen = snapshots.scratch(t.spark, "stream"), snapshots.scratch(t.spark, "progress")
-    rows = snapshots.latest(arriving(t), ["user_id"], "ts", ["value"])
-    writer = rows.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
-    writer.option("checkpointLocation", seen).trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.parquet(out)
+    """STR-04: the latest snapshot of each key; a batch rewrites only the buckets of its keys, and one that is sent again changes nothing."""
+    path, seen = snapshots.scratch(t.spark, "table"), snapshots.scratch(t.spark, "progress")
+    rows = arriving(t).select("user_id", "ts", "value")
+    table = keyed.KeyedTable(t.spark, path, rows.schema, ["user_id"], 8)
+    merge = table.sink("snapshots", keyed.latest(["user_id"], ["ts"]))
+    rows.writeStream.foreachBatch(lambda batch, n: (merge(batch, n), merge(batch, n)) and None).option("checkpointLocation", seen).trigger(availableNow=True).start().awaitTermination()
+    return table.read()
 
 
 @query("SELECT n_nationkey AS id, n_regionkey AS scope, concat(n_name, CASE WHEN n_regionkey < 2 THEN '-late' ELSE '' END) AS name FROM nation WHERE n_regionkey >= 2 OR n_nationkey % 2 = 0")
 def str_corrections(t: Tables) -> DataFrame:
-    """STR-05: a late correction replaces its scope."""
-    folder, out, seen = (snapshots.scratch(t.spark, x) for x in ("arrivals", "table", "progress"))
+    """STR-05: a late correction replaces its scope; buckets of other scopes keep their files."""
+    folder, path, seen = (snapshots.scratch(t.spark, x) for x in ("arrivals", "table", "progress"))
     rows = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_regionkey").alias("scope"), F.col("n_name").alias("name"))
     late = rows.filter("scope < 2 and id % 2 = 0").withColumn("name", F.concat("name", F.lit("-late")))
+    table = keyed.KeyedTable(t.spark, path, rows.schema, ["scope"], 16)
     for part in (rows, late):
         part.coalesce(1).write.mode("append").parquet(folder)
-        snapshots.replace_scopes(snapshots.read(t.spark, folder, rows.schema), out, seen, "scope").awaitTermination()
-    return sinks.read_version(t.spark, out)
+        stream = snapshots.read(t.spark, folder, rows.schema).writeStream.foreachBatch(table.sink("corrections", keyed.scopes(["scope"])))
+        stream.option("checkpointLocation", seen).trigger(availableNow=True).start().awaitTermination()
+    return table.read()
 
 
 @query("""SELECT 'events' AS tab, 'props' AS field, count(*) AS n, count(props) AS filled, count(DISTINCT props) AS kinds, min(props) AS least, max(props) AS most FROM events

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -9,8 +10,8 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -38,32 +39,86 @@ def first_wins(df: DataFrame, keys: Sequence[str], at: str, delay: str = "1 day"
     return df.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def changes(df: DataFrame, keys: Sequence[str], at: str, value: str, delay: str = "1 day", ttl_hours: float = 24 * 30) -> DataFrame:
-    """Rows whose value differs from their key's last one, null being a value.
+class _Changes(StatefulProcessor):
+    """Rows of a key against its last value. wait: rows stay in the state until the watermark has passed them."""
+
+    def __init__(self, schema: StructType, at: str, order: Sequence[str], value: str, ttl_ms: int | None, wait: bool):
+        self.schema, self.at, self.ttl_ms, self.wait = schema, schema.names.index(at), ttl_ms, wait
+        self.order, self.value = [schema.names.index(c) for c in (at, *order)], schema.names.index(value)
+        self.kept = StructType([StructField(f.name, LongType() if f.name == at else f.dataType) for f in schema])
+        self.last_type = StructType([StructField("value", schema[value].dataType), StructField("at", LongType())])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.early = handle.getListState("early", self.kept)
+        self.last = handle.getValueState("last", self.last_type)
+
+    def _changed(self, rows: list[tuple], now: int) -> pd.DataFrame:
+        """Of final rows those that change the value; the state after them."""
+        held, out = self.last.get() if self.last.exists() else None, []
+        for r in sorted(rows, key=lambda r: [(r[c] is not None, r[c]) for c in self.order]):
+            if held is None or r[self.value] != held[0]:
+                out.append(r)
+            held = (r[self.value], max(r[self.at], held[1]) if held else r[self.at])
+        if rows:
+            self.last.update(held)
+            if self.ttl_ms is not None:
+                self.handle.registerTimer(max(held[1] // 1000 + self.ttl_ms, now + 1))
+        frame = pd.DataFrame(out, columns=self.schema.names)
+        at = self.schema.names[self.at]
+        frame[at] = pd.to_datetime(frame[at].astype("int64"), unit="us")
+        return frame
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        at, come = self.schema.names[self.at], []
+        for frame in rows:
+            frame = frame.assign(**{at: frame[at].astype("datetime64[us]").astype("int64")})[self.schema.names]
+            come += [tuple(None if pd.isna(v) else v for v in r) for r in frame.astype(object).itertuples(index=False, name=None)]
+        if self.wait:
+            self.early.appendList(come)
+            self.handle.registerTimer(min(r[self.at] for r in come) // 1000)
+            come = []
+        yield self._changed(come, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        early = [tuple(r) for r in self.early.get()] if self.early.exists() else []
+        due, rest = ([r for r in early if (r[self.at] // 1000 <= now) == final] for final in (True, False))
+        if due and rest:
+            self.early.put(rest)
+            self.handle.registerTimer(min(r[self.at] for r in rest) // 1000)
+        elif due:
+            self.early.clear()
+        if not due and not rest and self.ttl_ms is not None and self.last.exists() and self.last.get()[1] // 1000 + self.ttl_ms <= now:
+            self.last.clear()
+        yield self._changed(due, now)
+
+
+def _by_state(df: DataFrame, keys: Sequence[str], at: str, value: str, delay: str, ttl_hours: float | None, order: Sequence[str], wait: bool) -> DataFrame:
+    processor = _Changes(df.schema, at, order, value, None if ttl_hours is None else int(ttl_hours * 3_600_000), wait)
+    return df.withWatermark(at, delay).groupBy(*keys).transformWithStateInPandas(processor, df.schema, "Append", "EventTime", eventTimeColumnName=at)
+
+
+def changes(df: DataFrame, keys: Sequence[str], at: str, value: str, delay: str = "1 day", ttl_hours: float | None = 24 * 30, order: Sequence[str] = ()) -> DataFrame:
+    """Rows whose value differs from their key's last one, null being a value, as soon as they come.
+
+    Rows of one batch are taken in order of time; a row that comes after a later
+    one of an earlier batch is compared with that. State is one value per key and
+    is dropped when a key has been silent for ttl_hours of event time.
+    """
+    return _by_state(df, keys, at, value, delay, ttl_hours, order, wait=False)
+
 
-    State is one value per key and is dropped when a key has been silent for
-    ttl_hours of event time, so it follows the active keys.
+def ordered_changes(df: DataFrame, keys: Sequence[str], at: str, value: str, delay: str = "1 day", ttl_hours: float | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """Rows whose value differs from their key's last one in event time, null being a value.
+
+    Rows may come out of order by up to `delay`: they wait in the state until the
+    watermark has passed their time and are then taken in order of time (ties: by
+    `order`), so what comes out doesn't depend on how rows fell into batches. Rows
+    later than that are dropped; rows that the watermark hasn't passed when a run
+    ends wait for the next run from the same checkpoint.
     """
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    state = f"value {kinds[value].simpleString()}, seen boolean"
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        if held.hasTimedOut:
-            held.remove()
-            return
-        last, seen = held.get if held.exists else (None, False)
-        rows = pd.concat(list(frames)).sort_values(at, kind="stable")
-        keep = []
-        for v in rows[value]:
-            v = None if pd.isna(v) else v
-            keep.append(not seen or v != last)
-            last, seen = v, True
-        held.update((last, seen))
-        silent = int(rows[at].max().timestamp() * 1000 + ttl_hours * 3.6e6)
-        held.setTimeoutTimestamp(max(silent, held.getCurrentWatermarkMs() + 1))
-        yield rows[keep]
-
-    return df.withWatermark(at, delay).groupBy(*keys).applyInPandasWithState(step, df.schema, state, "append", GroupStateTimeout.EventTimeTimeout)
+    return _by_state(df, keys, at, value, delay, ttl_hours, order, wait=True)
 
 
 def latest(df: DataFrame, keys: Sequence[str], at: str, values: Sequence[str]) -> DataFrame:
@@ -83,8 +138,25 @@ def sessions(df: DataFrame, at: str, gap: str, keys: Sequence[str], delay: str,
     return df.withWatermark(at, delay).groupBy(F.session_window(at, gap).alias("w"), *keys).agg(*[a.alias(n) for n, a in aggregates.items()])
 
 
+@contextlib.contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that are started inside keep their state in RocksDB, which transformWithState asks for."""
+    name, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, store)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
 def append(df: DataFrame, path: str, checkpoint: str):
     """Write a stream as Parquet until its source is read to the end."""
+    with keyed_state(df.sparkSession):
+        return _append(df, path, checkpoint)
+
+
+def _append(df: DataFrame, path: str, checkpoint: str):
     return df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
