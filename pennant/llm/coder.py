@@ -143,23 +143,31 @@ def _table(history: np.ndarray) -> np.ndarray:
     return (ids.astype(U64) << U64(32)) | np.repeat(run, size).reshape(ids.shape)
 
 
-def _ranks(grid: np.ndarray) -> np.ndarray:
-    """Each id's rank among the distinct ids of its block."""
-    order = np.argsort(grid, axis=1, kind="stable")
-    ids = np.take_along_axis(grid, order, axis=1)
-    new = np.zeros(ids.shape, np.int32)
-    new[:, 1:] = ids[:, 1:] != ids[:, :-1]
-    ranks = np.empty(ids.shape, np.int32)
-    np.put_along_axis(ranks, order, np.cumsum(new, axis=1, dtype=np.int32), axis=1)
-    return ranks + (np.arange(len(grid), dtype=np.int32) * grid.shape[1])[:, None]
-
-
-def _places(ranks: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """For the ids after the first n, as many: begin and length of the id's run among the first n in order; length 0 if it isn't there."""
-    count = np.bincount(ranks[:, :n].ravel(), minlength=ranks.size)
-    begin = (np.cumsum(count) - count).astype(np.int32)
-    asked = np.ascontiguousarray(ranks[:, n : 2 * n].T)
-    return begin.take(asked) - np.arange(len(ranks), dtype=np.int32) * n, count.astype(np.int32).take(asked)
+class Places:
+    """Where the ids of blocks stand among the first n ids of their block in order."""
+
+    def __init__(self, grid: np.ndarray):
+        lanes, steps = grid.shape
+        order = np.argsort(grid, axis=1, kind="stable")
+        ids = np.take_along_axis(grid, order, axis=1)
+        new = np.ones((lanes, steps), bool)
+        new[:, 1:] = ids[:, 1:] != ids[:, :-1]
+        first = np.flatnonzero(new)
+        size = np.diff(first, append=new.size)
+        at = order + (np.arange(lanes) * steps)[:, None]
+        row = (np.arange(lanes) * (steps + 1)).repeat(np.add.reduce(new, axis=1)) + first % steps
+        self.begin, self.end = np.empty(new.size, np.int32), np.empty(new.size, np.int32)
+        self.begin[at.ravel()] = np.repeat(row.astype(np.int32), size)
+        self.end[at.ravel()] = np.repeat((row + size).astype(np.int32), size)
+        self.order = order.astype(np.int32)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For the ids from n to 2 n: begin and length of the id's run among the first n; length 0 if it isn't there."""
+        lanes, steps = self.order.shape
+        upto = np.zeros((lanes, steps + 1), np.int32)
+        np.cumsum(self.order < n, axis=1, dtype=np.int32, out=upto[:, 1:])
+        begin, end = (upto.take(x.reshape(lanes, steps)[:, n : 2 * n].T) for x in (self.begin, self.end))
+        return begin, end - begin
 
 
 def _due(i: int, first: int) -> bool:
@@ -176,7 +184,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[list[bytes], bool]:
     grid = np.zeros((lanes, steps), U32 if wide else np.uint16)
     grid.ravel()[: len(ids)] = ids
     by_step = np.ascontiguousarray(grid.T).astype(U32)
-    c, ranks, who, what = Coder(lanes, steps), _ranks(grid), [], []
+    c, places, who, what = Coder(lanes, steps), Places(grid), [], []
 
     def words(idx: np.ndarray, low: np.ndarray) -> None:
         who.append(idx.astype(np.int32))
@@ -189,7 +197,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[list[bytes], bool]:
             c.cut(live)
         if _due(i, FIRST_TABLE):
             c.n = i
-            begin, size = _places(ranks, i)
+            begin, size = places(i)
         if _due(i, FIRST_UPDATE):
             c.learn(i, live)
         x = by_step[i, :live]

@@ -24,7 +24,7 @@ SLOT_BITS = 22
 #: Chunks are joined to strings of about so many bytes for the tokenizer.
 JOINED = 1 << 16
 #: Texts are taken together up to so many bytes.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 
 
 def vocabulary(name: str) -> str:
