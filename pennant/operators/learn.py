@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
@@ -14,8 +17,10 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pennant.operators import quantile
+
 EPS = 1e-6
-#: Families with a pyspark.ml estimator; RBF machines, extra trees, splines and Bayesian ridge have none here.
+#: Families with a pyspark.ml estimator; operators.linear and operators.trees have RBF machines, extra trees, splines and Bayesian ridge.
 CLASSIFIERS = {
     "gbt": lambda: GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.05, seed=1), "logistic": lambda: LogisticRegression(maxIter=50), "forest": lambda: RandomForestClassifier(numTrees=20, maxDepth=5, seed=1),
     "bayes": lambda: NaiveBayes(modelType="gaussian"), "svm": lambda: LinearSVC(maxIter=20), "mlp": lambda: MultilayerPerceptronClassifier(maxIter=30, seed=1),
@@ -51,7 +56,7 @@ def with_flags(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def walk_forward(df: DataFrame, season: str, features: Sequence[str], label: str, make: Callable, keys: Sequence[str], first: int = 1) -> DataFrame:
     """Predictions for each season from a model of the seasons before."""
-    rows = with_flags(df.withColumn(label, F.col(label).cast("double")), features).cache()
+    rows = with_flags(df.withColumn(label, F.col(label).cast("double")), features)
     out = None
     for train, test in folds([r[0] for r in rows.select(season).distinct().collect()], first):
         fitted = model(make(), features, label).fit(rows.filter(F.col(season).isin(train)))
@@ -89,23 +94,54 @@ def calibration(df: DataFrame, keys: Sequence[str], label: str, p: str, bins: in
     return df.groupBy(*keys, bin_).agg(F.count("*").alias("n"), F.avg(p).alias("mean_p"), F.avg(F.col(label).cast("double")).alias("mean_y"))
 
 
+#: Modulus of the draws, and the shares below which a Poisson(1) number is at most 0, 1, 2, ...
+PRIME = (1 << 31) - 1
+POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(11)]
+
+
 def bootstrap(df: DataFrame, keys: Sequence[str], identity: str, value: Column, replicates: int = 200) -> DataFrame:
     """95 % interval of the mean of value: lo, mean, hi at indexes int(.025 (n-1)) and int(.975 (n-1)) of the sorted replicates.
 
     Every row comes a Poisson(1) number of times in a replicate, drawn from a hash
-    of its identity and the replicate, so the draw needs no total and no order.
+    of its identity: the first 28 bits of its md5 plus one, times a multiplier of
+    the replicate plus another, modulo 2**31-1. So the draw needs no total and no
+    order, and one pass suffices: a task sums all replicates of its rows as arrays
+    and hands on one row for each key and replicate. Rows without a value or an
+    identity are left out.
     """
-    rows = df.select(*keys, F.col(identity).alias("_i"), value.alias("_v")).withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    u = F.pmod(F.xxhash64("_i", "_r"), F.lit(1 << 53)).cast("double") / float(1 << 53)
-    term, upto, times = 0.36787944117144233, 0.0, F.lit(0)
-    for k in range(1, 12):
-        upto += term
-        times = times + (u >= F.lit(upto)).cast("int")
-        term /= k
-    means = rows.groupBy(*keys, "_r").agg((F.sum(F.col("_v") * times) / F.nullif(F.sum(times), F.lit(0))).alias("_m"))
-    ordered = means.groupBy(*keys).agg(F.array_sort(F.collect_list("_m")).alias("_all"), F.avg("_m").alias("mean"))
+    rows = df.select(*keys, F.conv(F.substring(F.md5(F.col(identity).cast("string")), 1, 7), 16, 10).cast("long").alias("_i"), value.cast("double").alias("_v")).filter("_v IS NOT NULL AND _i IS NOT NULL")
+    names = [f"_k{k}" for k in range(len(keys))]
+    rows = rows.select(*[F.col(c).alias(n) for c, n in zip(keys, names, strict=True)], "_i", "_v")
+    times, plus = (np.array([(a * r + b) % PRIME for r in range(replicates)], np.int64) for a, b in ((1_103_515_245, 12_345), (69_069, 362_437)))
+    ends = np.floor(np.array(POISSON) * PRIME)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+        kinds: dict[str, pa.DataType] = {}
+        for batch in batches:
+            kinds = {name: batch.schema.field(name).type for name in names}
+            table = pa.Table.from_batches([batch])
+            groups = table.select(names).to_pylist() if names else [{}] * batch.num_rows
+            of: dict[tuple, list[int]] = {}
+            for i, g in enumerate(groups):
+                of.setdefault(tuple(g.values()), []).append(i)
+            seed, v = batch.column("_i").to_numpy() + 1, batch.column("_v").to_numpy()
+            for key, own in of.items():
+                n, s = held.setdefault(key, (np.zeros(replicates, np.int64), np.zeros(replicates)))
+                for at in range(0, len(own), 4096):
+                    part = own[at : at + 4096]
+                    drawn = np.searchsorted(ends, (seed[part][:, None] * times + plus) % PRIME, side="right")
+                    n += drawn.sum(axis=0)
+                    s += v[part] @ drawn
+        for key, (n, s) in held.items():
+            columns = {name: pa.array([k] * replicates, kinds[name]) for name, k in zip(names, key, strict=True)}
+            yield pa.RecordBatch.from_pydict(columns | {"_r": pa.array(np.arange(replicates)), "_n": pa.array(n), "_s": pa.array(s)})
+
+    schema = rows.select(*names).schema.add("_r", "long").add("_n", "long").add("_s", "double")
+    means = rows.mapInArrow(sums, schema).groupBy(*names, "_r").agg((F.sum("_s") / F.nullif(F.sum("_n"), F.lit(0))).alias("_m"))
+    ordered = means.groupBy(*names).agg(F.array_sort(F.collect_list("_m")).alias("_all"), F.avg("_m").alias("mean"))
     at = lambda share: F.get("_all", F.floor(F.lit(share) * (F.size("_all") - 1)).cast("int"))
-    return ordered.select(*keys, at(0.025).alias("lo"), "mean", at(0.975).alias("hi"))
+    return ordered.select(*[F.col(n).alias(c) for c, n in zip(keys, names, strict=True)], at(0.025).alias("lo"), "mean", at(0.975).alias("hi"))
 
 
 def common_sample(df: DataFrame, keys: Sequence[str], name: str, names: Sequence[str]) -> DataFrame:
@@ -131,12 +167,20 @@ def promoted(candidate: float, baselines: Sequence[float], gain: float = 0.002)
     return all(b - candidate >= gain for b in baselines)
 
 
+def ranked(df: DataFrame, order: Column, name: str) -> DataFrame:
+    """df with the rank (from 0) of each row in the order of a hash value; counts of ranges of the hash stand before ranks inside of them, so no task sorts all rows."""
+    rows = df.withColumn("_h", order).withColumn("_q", F.shiftrightunsigned(F.col("_h"), 52))
+    before = rows.groupBy("_q").agg(F.count("*").alias("_c")).select("_q", (F.sum("_c").over(Window.orderBy("_q")) - F.col("_c")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_q").orderBy("_h", *[c for c in df.columns]))
+    return rows.withColumn("_in", inside).join(F.broadcast(before), "_q").withColumn(name, F.col("_before") + F.col("_in") - 1).drop("_h", "_q", "_in", "_before")
+
+
 def dealt(rows: DataFrame, feature: str, features: Sequence[str], seed: int = 1) -> DataFrame:
-    """rows with a feature's values moved to the row with the next rank in a hashed order, bucket by bucket."""
-    bucket = F.pmod(F.xxhash64(*[F.col(f) for f in features]), F.lit(64))
-    w = Window.partitionBy("_b").orderBy(F.xxhash64(*[F.col(f) for f in features], F.lit(seed)))
-    moved = rows.withColumn("_b", bucket).withColumn("_v", F.coalesce(F.lead(feature).over(w), F.first(feature).over(w)))
-    return moved.withColumn(feature, F.col("_v")).drop("_v", "_b")
+    """rows with a feature's values dealt anew over all rows: the row of rank r in one hashed order gets the value of rank r in another."""
+    key = lambda s: F.xxhash64(*[F.col(f) for f in features], F.lit(s))
+    numbered = ranked(rows, key(seed), "_to")
+    values = ranked(rows.select(*features), key(seed + 1_000_003), "_from").select("_from", F.col(feature).alias("_v"))
+    return numbered.join(values, F.col("_to") == F.col("_from")).withColumn(feature, F.col("_v")).drop("_v", "_to", "_from")
 
 
 def loss(fitted, data: DataFrame, label: str) -> float:
@@ -213,7 +257,7 @@ def stack(df: DataFrame, inputs: Sequence[str], label: str, order: str, keys: Se
     filled = {f"{c}__given": F.coalesce(F.col(c).cast("double"), F.lit(0.5)) for c in inputs}
     flags = {f"{c}__there": F.col(c).isNotNull().cast("double") for c in inputs}
     rows = df.withColumns({**filled, **flags, label: F.col(label).cast("double")})
-    cut = rows.agg(F.percentile(F.unix_micros(F.col(order).cast("timestamp")), F.lit(share))).first()[0]
+    cut = quantile.quantiles(rows.select(F.unix_micros(F.col(order).cast("timestamp")).alias("_t")), "_t", [share])[0][0]
     early = F.unix_micros(F.col(order).cast("timestamp")) < F.lit(cut)
     fitted = Pipeline(stages=[VectorAssembler(inputCols=[*filled, *flags], outputCol="features"), LogisticRegression(maxIter=50, labelCol=label)]).fit(rows.filter(early))
     return fitted.transform(rows.filter(~early)).select(*keys, label, vector_to_array("probability")[1].alias("p"))

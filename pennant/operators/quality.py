@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DateType, MapType, NumericType, StructType, TimestampNTZType, TimestampType
 
 
 def finding(df: DataFrame, name: str, failed: Column, detail: Column, warn: bool = False) -> DataFrame:
@@ -96,22 +97,61 @@ def suite(*findings: DataFrame) -> DataFrame:
     return stacked(findings)
 
 
+#: Longer values are told apart by their SHA-256.
+SHORT = 64
+
+
+def _as_text(df: DataFrame, c: str) -> Column:
+    kind = df.schema[c].dataType
+    return F.when(F.col(c).isNotNull(), F.to_json(F.struct(F.col(c)))) if isinstance(kind, ArrayType | MapType | StructType) else F.col(c).cast("string")
+
+
 def census(tables: dict[str, DataFrame]) -> DataFrame:
-    """tab, field, n, filled, kinds, least, most of all fields (as text); one pass over each table."""
+    """tab, field, n, filled, kinds, least, most of all fields (as text), and low, high of those that are numbers, dates or times (seconds).
+
+    Distinct values are the groups of one aggregate over (field, value), so rows
+    aren't multiplied by the number of fields in a shuffle: what is exchanged is
+    one row for each value and task.
+    """
     out = None
     for tab, df in tables.items():
-        names = df.columns
-        facts = [
-            F.struct(
-                F.lit(c).alias("field"), F.count("*").alias("n"), F.count(c).alias("filled"), F.countDistinct(c).alias("kinds"), F.min(F.col(c).cast("string")).alias("least"), F.max(F.col(c).cast("string")).alias("most")
-            ).alias(f"f{k}")
-            for k, c in enumerate(names)
-        ]
-        one = df.agg(*facts).select(F.lit(tab).alias("tab"), F.explode(F.array(*[f"f{k}" for k in range(len(names))])).alias("x")).select("tab", "x.*")
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), _as_text(df, c).alias("value")) for c in df.columns])).alias("x")
+        short = F.when(F.length("x.value") > SHORT, F.sha2("x.value", 256)).otherwise(F.col("x.value")).alias("value")
+        values = df.select(pairs).select("x.field", short).groupBy("field", "value").agg(F.count("*").alias("n"))
+        kinds = values.groupBy("field").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("filled"), F.count("value").alias("kinds"))
+        ends = []
+        for c in df.columns:
+            kind = df.schema[c].dataType
+            number = F.col(c).cast("double") if isinstance(kind, NumericType) else F.unix_micros(F.col(c).cast("timestamp")) / 1e6 if isinstance(kind, DateType | TimestampType | TimestampNTZType) else F.lit(None).cast("double")
+            ends.append(F.struct(F.lit(c).alias("field"), F.min(_as_text(df, c)).alias("least"), F.max(_as_text(df, c)).alias("most"), F.min(number).alias("low"), F.max(number).alias("high")))
+        edges = df.agg(F.array(*ends).alias("x")).select(F.inline("x"))
+        zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+        one = edges.join(kinds, "field", "left").select(F.lit(tab).alias("tab"), "field", zero("n"), zero("filled"), zero("kinds"), "least", "most", "low", "high")
         out = one if out is None else out.unionByName(one)
     return out
 
 
+def sketches(df: DataFrame) -> DataFrame:
+    """field, n, filled and a sketch of the distinct values: what is kept of a part of a table, to be merged with that of others."""
+    facts = [F.struct(F.lit(c).alias("field"), F.count("*").alias("n"), F.count(c).alias("filled"), F.hll_sketch_agg(_as_text(df, c)).alias("sketch")) for c in df.columns]
+    return df.agg(F.array(*facts).alias("x")).select(F.inline("x"))
+
+
+def merged_sketches(parts: DataFrame) -> DataFrame:
+    """field, n, filled and the estimated number of distinct values over all parts."""
+    return parts.groupBy("field").agg(F.sum("n").alias("n"), F.sum("filled").alias("filled"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("kinds"))
+
+
+def classified(census_rows: DataFrame, wide: int = 100) -> DataFrame:
+    """census_rows with the part each field plays, by the first rule that its values fit: empty, constant, key (all there, all different), reference, measure (numbers of more than `wide` values), category."""
+    number = F.col("low").isNotNull()
+    rules = ((F.col("filled") == 0, "empty"), (F.col("kinds") == 1, "constant"), ((F.col("kinds") == F.col("n")) & (F.col("filled") == F.col("n")), "key"), (F.col("field").rlike("(key|_id)$"), "reference"), (number & (F.col("kinds") > wide), "measure"))
+    part = F.lit("category")
+    for fits, name in reversed(rules):
+        part = F.when(fits, name).otherwise(part)
+    return census_rows.withColumn("part", part)
+
+
 def lineage(spark: SparkSession, tables: dict[str, DataFrame], rules: Sequence[tuple[str, str]], otherwise: str = "unmapped") -> DataFrame:
     """tab, field, lineage of all fields, by the first rule (name, pattern) that the field's name fits."""
     fields = spark.createDataFrame([(tab, c) for tab, df in tables.items() for c in df.columns], "tab string, field string")

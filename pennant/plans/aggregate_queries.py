@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pennant.functions import clean
-from pennant.operators import aggregates, quality
+from pennant.operators import aggregates, quality, quantile
 from pennant.plans.registry import Tables, query
 
 #: Weights of event types, as the linear weights of plate appearances are.
@@ -145,7 +145,8 @@ def ext_rollup(t: Tables) -> DataFrame:
 @query("""SELECT round(avg(value), 6) AS mean, quantile_cont(value, 0.5) AS median, quantile_disc(value, 0.9) AS p90, max(value) AS top FROM events""")
 def seq_summary(t: Tables) -> DataFrame:
     """SEQ-07: mean, median, nearest-rank p90, maximum."""
-    return t.events.agg(F.round(F.avg("value"), 6).alias("mean"), F.expr("percentile(value, 0.5)").alias("median"), F.expr("percentile_disc(0.9) WITHIN GROUP (ORDER BY value)").alias("p90"), F.max("value").alias("top"))
+    (median,), (p90,) = quantile.quantiles(t.events, "value", [0.5], [0.9])
+    return t.events.agg(F.round(F.avg("value"), 6).alias("mean"), F.lit(median).cast("double").alias("median"), F.lit(p90).cast("double").alias("p90"), F.max("value").alias("top"))
 
 
 @query(r"""WITH x AS (SELECT event_id, json_extract_string(props, '$.k') AS k, value::VARCHAR AS v FROM events)

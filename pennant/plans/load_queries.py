@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pennant.functions import clean
-from pennant.operators import quality
+from pennant.operators import frozen, intervals, quality
 from pennant.plans.registry import Tables, query
-from pennant.sources import keyed, readers, sinks
+from pennant.sources import evolve, keyed, readers, sinks
 from pennant.sources import plays as plays_source
 from pennant.streaming import snapshots
 
@@ -126,10 +126,18 @@ def src_pages(t: Tables) -> DataFrame:
     return readers.last_page_wins([t.orders.filter(f"o_orderkey % {m} = 0").select("o_orderkey", F.lit(k).alias("page")) for k, m in enumerate((1, 2, 4))], "o_orderkey")
 
 
-@query("SELECT d::DATE AS start, least(d::DATE + 6, DATE '2024-12-01') AS \"end\" FROM range(DATE '2024-02-01', DATE '2024-12-02', INTERVAL 7 DAY) r(d)")
-def src_chunks(t: Tables) -> DataFrame:
-    """SRC-14, SRC-19: a season in ranges of seven days."""
-    return readers.time_chunks(t.spark, "2024-02-01", "2024-12-01", 7)
+@query("""WITH b AS (SELECT date_trunc('day', min(ts)) AS lo, date_trunc('day', max(ts)) + INTERVAL 1 DAY AS hi FROM events),
+x AS (SELECT user_id, ts AS s, least(ts + INTERVAL 3 HOUR, hi) AS e FROM events, b UNION ALL SELECT DISTINCT user_id, lo, lo FROM events, b UNION ALL SELECT DISTINCT user_id, hi, hi FROM events, b),
+g AS (SELECT user_id, max(e) OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS a, s AS z FROM x),
+k AS (SELECT user_id, a, z, unnest(range(ceil(epoch_us(z) / 172800000000 - epoch_us(a) / 172800000000)::BIGINT + 1)) AS k FROM g WHERE a < z)
+SELECT user_id, a + k * INTERVAL 2 DAY AS "start", least(a + (k + 1) * INTERVAL 2 DAY, z) AS "end" FROM k WHERE a + k * INTERVAL 2 DAY < z""")
+def src_missing_windows(t: Tables) -> DataFrame:
+    """SRC-14, SRC-19: what is still to be fetched of a range, in windows of at most two days: each user's time without an event in the three hours before."""
+    rows = t.events.select("user_id", F.col("ts").alias("start"), (F.col("ts") + F.expr("INTERVAL 3 HOURS")).alias("end"))
+    asked = t.events.agg(F.date_trunc("day", F.min("ts")).alias("start"), (F.date_trunc("day", F.max("ts")) + F.expr("INTERVAL 1 DAY")).alias("end"))
+    wanted = t.events.select("user_id").distinct().crossJoin(F.broadcast(asked))
+    found = intervals.missing(wanted, rows, ["user_id"], "start", "end", 2 * intervals.DAY)
+    return found.select("user_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("start", "end")])
 
 
 @query("SELECT event_type AS dataset, count(*) AS n FROM events WHERE event_type IN ('view', 'click') GROUP BY 1")
@@ -352,7 +360,85 @@ UNION ALL SELECT 'events', 'event_type', count(*), count(event_type), count(DIST
 UNION ALL SELECT 'orders', 'o_orderstatus', count(*), count(o_orderstatus), count(DISTINCT o_orderstatus), min(o_orderstatus), max(o_orderstatus) FROM orders""")
 def dq_census(t: Tables) -> DataFrame:
     """DQ-15: what each field of each table holds, one pass per table."""
-    return quality.census({"events": t.events.select("props", "event_type"), "orders": t.orders.select("o_orderstatus")})
+    return quality.census({"events": t.events.select("props", "event_type"), "orders": t.orders.select("o_orderstatus")}).drop("low", "high")
+
+
+#: Columns of the driver's tables by kind: n numbers, t times, s texts and lists.
+FIELDS = {
+    "region": {"n": "r_regionkey", "s": "r_name"}, "nation": {"n": "n_nationkey n_regionkey", "s": "n_name"}, "customer": {"n": "c_custkey c_nationkey c_acctbal", "s": "c_name c_mktsegment"},
+    "supplier": {"n": "s_suppkey s_nationkey s_acctbal", "s": "s_name"}, "part": {"n": "p_partkey p_size p_retailprice", "s": "p_name p_brand p_type"},
+    "orders": {"n": "o_orderkey o_custkey o_totalprice", "t": "o_orderdate", "s": "o_orderstatus o_orderpriority"},
+    "lineitem": {"n": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax", "t": "l_shipdate", "s": "l_returnflag l_linestatus"},
+    "events": {"n": "event_id user_id value", "t": "ts", "s": "event_type props"},
+    "documents": {"n": "doc_id n_chars", "s": "text lang source"}, "pages": {"n": "page_id", "s": "url html"}, "benchmark": {"n": "item_id", "s": "text"}, "labels": {"n": "doc_id quality toxic"}, "conversations": {"n": "conv_id turn", "s": "role text"}, "embeddings": {"n": "vec_id label", "s": "embedding"},
+}
+EDGES = {"n": "min({c})::DOUBLE AS low, max({c})::DOUBLE AS high", "t": "epoch_us(min({c})) / 1e6 AS low, epoch_us(max({c})) / 1e6 AS high", "s": "NULL::DOUBLE AS low, NULL::DOUBLE AS high"}
+CENSUS_SQL = " UNION ALL ".join(
+    f"SELECT '{tab}' AS tab, '{c}' AS field, count(*) AS n, count({c}) AS filled, count(DISTINCT {c}) AS kinds, {EDGES[kind].format(c=c)} FROM {tab}" for tab, kinds in FIELDS.items() for kind, names in kinds.items() for c in names.split()
+)
+
+
+def all_tables(t: Tables) -> DataFrame:
+    found = {tab: getattr(t, tab) for tab in FIELDS}
+    return quality.census({tab: df.select(*[c for names in FIELDS[tab].values() for c in names.split()]) for tab, df in found.items()}).drop("least", "most")
+
+
+@query(CENSUS_SQL)
+def dq_census_all(t: Tables) -> DataFrame:
+    """DQ-15: what every field of every table holds, distinct values counted exactly."""
+    return all_tables(t)
+
+
+@query(f"""SELECT tab, field, CASE WHEN filled = 0 THEN 'empty' WHEN kinds = 1 THEN 'constant' WHEN kinds = n AND filled = n THEN 'key' WHEN regexp_matches(field, '(key|_id)$') THEN 'reference'
+WHEN low IS NOT NULL AND kinds > 100 THEN 'measure' ELSE 'category' END AS part FROM ({CENSUS_SQL})""")
+def dq_field_parts(t: Tables) -> DataFrame:
+    """DQ-20: the part each field plays, by ordered rules over its values."""
+    return quality.classified(all_tables(t)).select("tab", "field", "part")
+
+
+@query("""SELECT n_nationkey AS id, n_regionkey::VARCHAR AS v, NULL::VARCHAR AS name, NULL::BIGINT AS keys FROM nation
+UNION ALL SELECT n_nationkey + 3000000000, concat(n_regionkey, '.5'), NULL, NULL FROM nation UNION ALL SELECT n_nationkey, concat('r', n_regionkey), n_name, n_nationkey + 1 FROM nation WHERE n_regionkey < 3""")
+def snk_evolve(t: Tables) -> DataFrame:
+    """SNK-05: rows of three appends under the widest schema: whole numbers become decimals and then text, columns come in later."""
+    table = evolve.EvolvingTable(t.spark, snapshots.scratch(t.spark, "evolving"))
+    table.append(t.nation.select(F.col("n_nationkey").cast("int").alias("id"), F.col("n_regionkey").cast("int").alias("v")))
+    table.append(t.nation.select((F.col("n_nationkey") + F.lit(3000000000)).cast("bigint").alias("id"), (F.col("n_regionkey") + F.lit(0.5)).cast("double").alias("V")))
+    table.append(t.nation.filter("n_regionkey < 3").select(F.col("n_name").alias("name"), F.concat(F.lit("r"), "n_regionkey").alias("v"), F.col("n_nationkey").cast("int").alias("id"), F.struct((F.col("n_nationkey") + 1).cast("bigint").alias("key")).alias("more")))
+    return table.read().select("id", "v", "name", F.col("more.key").alias("keys"))
+
+
+@query("""WITH c AS (SELECT *, CASE WHEN o_orderkey % 1000 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS later FROM orders)
+SELECT 0 AS side, o_orderkey, o_totalprice FROM c WHERE later <> o_totalprice OR o_orderkey % 1000 = 2 UNION ALL SELECT 1, o_orderkey, later FROM c WHERE later <> o_totalprice AND o_orderkey % 1000 <> 2""")
+def ml_snapshots(t: Tables) -> DataFrame:
+    """ML-04: two frozen states of the orders and the rows that differ, read from the buckets whose digests do."""
+    store = frozen.Store(t.spark, snapshots.scratch(t.spark, "frozen"))
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    later = rows.filter("o_orderkey % 1000 <> 2").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 1000 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    one, other = store.freeze(rows, ["o_orderkey"]), store.freeze(later.repartition(3, "o_totalprice"), ["o_orderkey"])
+    return store.changed_rows(one, other)
+
+
+@query("SELECT year(o_orderdate) AS season, count(*) AS n, round(avg(o_totalprice), 6) AS mean, k = 1 AS found FROM orders, range(2) r(k) GROUP BY 1, k")
+def ml_reuse(t: Tables) -> DataFrame:
+    """ML-16: one experiment asked for twice, the second time from a snapshot written anew in another order: computed, then found."""
+    store = frozen.Store(t.spark, snapshots.scratch(t.spark, "frozen"))
+    out = None
+    for rows in (t.orders, t.orders.repartition(5, "o_custkey")):
+        digest = store.freeze(rows, ["o_orderkey"])
+        _, result, found = store.once(digest, {"by": "season"}, lambda df: df.groupBy(F.year("o_orderdate").cast("long").alias("season")).agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 6).alias("mean")))
+        part = result.withColumn("found", F.lit(found))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("""WITH x AS (SELECT n_regionkey AS region, string_agg(concat('{"id":', n_nationkey, ',"name":"', n_name, '"}'), chr(10) ORDER BY n_nationkey) AS body FROM nation GROUP BY 1)
+SELECT region, concat(sha256(body), '.json') AS name, strlen(body)::BIGINT AS size, region <> 1 AS written FROM x""")
+def snk_artifacts(t: Tables) -> DataFrame:
+    """SNK-11: artifacts named by the digest of what they hold, written once: those of one region are there already."""
+    path = snapshots.scratch(t.spark, "artifacts")
+    rows = t.nation.select(F.col("n_regionkey").alias("region"), "n_nationkey", F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")).alias("row"))
+    sinks.write_artifacts(rows.filter("region = 1"), ["region"], ["n_nationkey"], "row", path)
+    return sinks.write_artifacts(rows, ["region"], ["n_nationkey"], "row", path)
 
 
 @query("""SELECT 'c_custkey' AS field, 'key' AS lineage UNION ALL SELECT 'c_nationkey', 'key' UNION ALL SELECT 'c_name', 'mapped' UNION ALL SELECT 'c_acctbal', 'measure' UNION ALL SELECT 'c_mktsegment', 'unmapped'""")

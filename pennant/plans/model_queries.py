@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pennant.operators import learn, sequence
+from pennant.operators import learn, linear, sequence, trees
+from pennant.operators.sets import stacked
 from pennant.plans.join_queries import games
 from pennant.plans.registry import Tables, query
 
@@ -55,10 +57,91 @@ def ml_common_sample(t: Tables) -> DataFrame:
     return learn.common_sample(latest, ["game"], "model", ["F", "P"]).select("game", "model", F.to_date("made_at").alias("day"))
 
 
-@query()
+@query(f"""WITH {SCORED_SQL}, r AS (SELECT i AS r, (1103515245 * i + 12345) % 2147483647 AS a, (69069 * i + 362437) % 2147483647 AS b FROM range(200) t(i)),
+q(k, upto) AS (SELECT k, floor(sum(exp(-1) / CASE k WHEN 0 THEN 1 ELSE factorial(k::INTEGER) END) OVER (ORDER BY k) * 2147483647) FROM range(11) t(k)),
+d AS (SELECT event_type, r, power(p - y, 2) AS v, ((('0x' || substr(md5(event_id::VARCHAR), 1, 7))::BIGINT + 1) * a + b) % 2147483647 AS u FROM s, r),
+n AS (SELECT event_type, r, v, (SELECT count(*) FROM q WHERE upto <= u) AS times FROM d),
+m AS (SELECT event_type, r, sum(v * times) / nullif(sum(times), 0) AS m FROM n GROUP BY 1, 2),
+o AS (SELECT event_type, list_sort(list(m)) AS l, avg(m) AS mean FROM m GROUP BY 1)
+SELECT event_type, round(l[1 + floor(0.025 * (len(l) - 1))::INT], 9) AS lo, round(mean, 9) AS mean, round(l[1 + floor(0.975 * (len(l) - 1))::INT], 9) AS hi FROM o""")
 def ml_bootstrap(t: Tables) -> DataFrame:
-    """ML-10: intervals of the Brier score."""
-    return learn.bootstrap(scored(t), ["event_type"], "event_id", F.pow(F.col("p") - F.col("y"), F.lit(2.0)), 200)
+    """ML-10: intervals of the Brier score, all replicates summed in one pass."""
+    found = learn.bootstrap(scored(t), ["event_type"], "event_id", F.pow(F.col("p") - F.col("y"), F.lit(2.0)), 200)
+    return found.withColumns({n: F.round(n, 9) for n in ("lo", "mean", "hi")})
+
+
+@query(f"""WITH {SCORED_SQL}, c AS (SELECT quantile_disc(p, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS cuts FROM s),
+d AS (SELECT p, y, len(list_filter(cuts, lambda x: x < p)) AS part FROM s, c)
+SELECT part, count(*) AS n, round(avg(p), 8) AS mean_p, round(avg(y), 8) AS mean_y, round(avg(y - p), 8) AS residual FROM d GROUP BY 1""")
+def ml_deciles(t: Tables) -> DataFrame:
+    """ML-09: residuals by tenths of the prediction, cut at exact quantiles."""
+    return _rounded(linear.decile_residuals(scored(t), "y", "p"), "mean_p", "mean_y", "residual")
+
+
+@query(f"""WITH RECURSIVE {SCORED_SQL}, z AS MATERIALIZED (SELECT ln(q / (1 - q)) AS z, y FROM (SELECT least(1 - 1e-6, greatest(1e-6, p)) AS q, y FROM s)),
+it(k, a, b) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL
+  SELECT k + 1, a + (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), b + (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12)
+  FROM (SELECT k, a, b, sum(y - e) AS g1, sum((y - e) * z) AS g2, sum(e * (1 - e)) AS h11, sum(e * (1 - e) * z) AS h12, sum(e * (1 - e) * z * z) AS h22
+        FROM (SELECT it.k, it.a, it.b, z.z, z.y, 1 / (1 + exp(-(it.a + it.b * z.z))) AS e FROM it, z WHERE it.k < 25) GROUP BY k, a, b))
+SELECT round(b, 5) AS slope, round(a, 5) AS intercept FROM it WHERE k = 25""")
+def ml_calibration_line(t: Tables) -> DataFrame:
+    """ML-09: slope and intercept of the labels on the predictions' log odds, by Newton steps on sums."""
+    slope, intercept = linear.calibration_line(scored(t), "y", "p")
+    return t.spark.createDataFrame([(round(slope, 5), round(intercept, 5))], "slope double, intercept double")
+
+
+@query("""WITH x AS (SELECT 1.0 AS x0, l_quantity / 50 AS x1, l_discount * 10 AS x2, l_tax * 10 AS x3, l_extendedprice / 100000 AS x4 FROM lineitem),
+u AS (SELECT i, j FROM range(5) a(i), range(5) b(j))
+SELECT i, j, round(CASE i WHEN 0 THEN CASE j WHEN 0 THEN s00 WHEN 1 THEN s01 WHEN 2 THEN s02 WHEN 3 THEN s03 ELSE s04 END WHEN 1 THEN CASE j WHEN 0 THEN s01 WHEN 1 THEN s11 WHEN 2 THEN s12 WHEN 3 THEN s13 ELSE s14 END
+  WHEN 2 THEN CASE j WHEN 0 THEN s02 WHEN 1 THEN s12 WHEN 2 THEN s22 WHEN 3 THEN s23 ELSE s24 END WHEN 3 THEN CASE j WHEN 0 THEN s03 WHEN 1 THEN s13 WHEN 2 THEN s23 WHEN 3 THEN s33 ELSE s34 END
+  ELSE CASE j WHEN 0 THEN s04 WHEN 1 THEN s14 WHEN 2 THEN s24 WHEN 3 THEN s34 ELSE s44 END END, 8) AS v
+FROM u, (SELECT avg(x0*x0) s00, avg(x0*x1) s01, avg(x0*x2) s02, avg(x0*x3) s03, avg(x0*x4) s04, avg(x1*x1) s11, avg(x1*x2) s12, avg(x1*x3) s13, avg(x1*x4) s14, avg(x2*x2) s22, avg(x2*x3) s23, avg(x2*x4) s24, avg(x3*x3) s33, avg(x3*x4) s34, avg(x4*x4) s44 FROM x)""")
+def ml_gram(t: Tables) -> DataFrame:
+    """ML-06: the sums of products that closed-form models are solved from, for each row of lineitem on average."""
+    made = linear.Design(["l_quantity", "l_discount", "l_tax"], np.zeros(3), np.array([50.0, 0.1, 0.1]))
+    g = linear.gram(t.lineitem.withColumn("label", F.col("l_extendedprice") / 100000), made, "label")
+    g = g / g[0, 0]
+    return t.spark.createDataFrame([(i, j, round(float(g[i, j]), 8)) for i in range(5) for j in range(5)], "i long, j long, v double")
+
+
+def _split(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Line items of earlier and of later orders: what is known of an item, and whether it is returned."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit"), F.col("l_extendedprice").alias("price"), (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    return rows.filter("l_orderkey % 4 <> 3"), rows.filter("l_orderkey % 4 = 3")
+
+
+FEATURES = ("quantity", "discount", "tax", "unit")
+
+
+@query()
+def ml_families(t: Tables) -> DataFrame:
+    """ML-06: classifiers by spline basis, random Fourier machine and extra trees, on the later fourth of the orders, beside the share of the label."""
+    early, late = _split(t)
+    share = early.agg(F.avg("y")).first()[0]
+    models = {"gam": linear.newton(early, linear.design(early, FEATURES, "spline"), "y", penalty=1.0), "svm": linear.machine(early, FEATURES, "y"), "extra_trees": trees.extra_trees(early, FEATURES, "y", trees=16)}
+    found = [m.predict(late).select("y", "p", F.lit(n).alias("family")) for n, m in models.items()]
+    rows = stacked([*found, late.select("y", F.lit(share).alias("p"), F.lit("share").alias("family"))])
+    return learn.classification_metrics(rows, ["family"], "y", "p")
+
+
+@query()
+def ml_regressors(t: Tables) -> DataFrame:
+    """ML-06: regressors of the price by Bayesian ridge, splines, random Fourier features and extra trees, on the later fourth, beside the mean."""
+    early, late = (x.withColumn("label", F.col("price") / 1000) for x in _split(t))
+    names, mean = ("quantity", "discount", "unit"), early.agg(F.avg("label")).first()[0]
+    plain, spline, waves = (linear.design(early, names, k) for k in ("plain", "spline", "fourier"))
+    models = {"bayesian": linear.bayesian_ridge(early, plain, "label"), "ridge": linear.ridge(early, plain, "label"), "gam": linear.ridge(early, spline, "label"), "svm": linear.newton(early, waves, "label", "insensitive", 1.0), "extra_trees": trees.extra_trees(early, names, "label", trees=16)}
+    found = [m.predict(late).select("label", "p", F.lit(n).alias("family")) for n, m in models.items()]
+    rows = stacked([*found, late.select("label", F.lit(mean).alias("p"), F.lit("mean").alias("family"))])
+    return learn.regression_metrics(rows, ["family"], "label", "p")
+
+
+@query()
+def ml_stability(t: Tables) -> DataFrame:
+    """ML-12: what splits on each feature gained in forests of the seasons before each season, and in how many of them it beat a column of noise."""
+    rows = orders_of_customers(t).withColumn("noise", F.xxhash64("o_orderkey") % 1000)
+    found = trees.stability(rows, "season", ["o_totalprice", "c_acctbal", "c_nationkey"], "y", "noise", first=3, trees=8, depth=4)
+    return t.spark.createDataFrame(found, "feature string, importance double, folds_over_noise long, folds long")
 
 
 @query()

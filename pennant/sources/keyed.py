@@ -15,7 +15,6 @@ that the newest manifests don't name.
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -23,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
+from pennant.sources.files import Files
+
 BUCKET = "_bucket"
 
 
@@ -41,10 +42,7 @@ class KeyedTable:
         if BUCKET in schema.names:
             raise ValueError(f"{BUCKET} is the name of the bucket's folder")
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-        self._stream = jvm.org.apache.commons.io.IOUtils
+        self.own = Files(spark, self.path)
         if self._number() is None:
             try:
                 self._commit(1, {"buckets": buckets, "keys": self.keys, "files": {}, "seen": {}, "n": 0})
@@ -54,33 +52,18 @@ class KeyedTable:
             raise ValueError(f"the table is kept by {held}, not by {self.keys}")
 
     def _numbers(self) -> list[int]:
-        folder = self._path(f"{self.path}/manifest")
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
-        return sorted((int(n[:-5]) for n in names if n.endswith(".json")), reverse=True)
+        return self.own.numbers("manifest")
 
     def _read(self, number: int) -> dict | None:
         """A manifest, or none while its writer hasn't finished (or never will)."""
-        source = self._fs.open(self._path(f"{self.path}/manifest/{number}.json"))
-        try:
-            text = self._stream.toString(source, "UTF-8")
-        finally:
-            source.close()
-        return json.loads(text) if text.endswith("\n") else None
+        return self.own.read(f"manifest/{number}.json")
 
     def _number(self) -> int | None:
         return next((n for n in self._numbers() if self._read(n)), None)
 
     def _commit(self, number: int, manifest: dict) -> None:
-        try:
-            out = self._fs.create(self._path(f"{self.path}/manifest/{number}.json"), False)
-        except Exception as e:
-            if "exist" in str(e).lower():
-                raise Conflict(f"{self.path}: manifest {number} is there already") from None
-            raise
-        try:
-            out.write(bytearray((json.dumps(manifest) + "\n").encode()))
-        finally:
-            out.close()
+        if not self.own.create(f"manifest/{number}.json", manifest):
+            raise Conflict(f"{self.path}: manifest {number} is there already")
 
     def manifest(self) -> tuple[int, dict]:
         for n in self._numbers():
@@ -139,7 +122,7 @@ class KeyedTable:
             rows = self._bucketed(combine(old, batch).select(*self.schema.names), n).hint("rebalance", BUCKET)
             to = f"data/{uuid.uuid4().hex}"
             rows.write.partitionBy(BUCKET).parquet(f"{self.path}/{to}")
-            made = {s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.path}/{to}"))}
+            made = self.own.names(to)
             for k in touched:
                 folder = f"{BUCKET}={k}"
                 files[str(k)] = [f"{to}/{folder}"] if folder in made else []
@@ -153,7 +136,7 @@ class KeyedTable:
         """Remove manifests that were begun but never finished; only while nobody writes."""
         broken = [n for n in self._numbers() if not self._read(n)]
         for n in broken:
-            self._fs.delete(self._path(f"{self.path}/manifest/{n}.json"), False)
+            self.own.delete(f"manifest/{n}.json")
         return len(broken)
 
     def sink(self, writer: str, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
@@ -164,14 +147,14 @@ class KeyedTable:
         """Remove data that none of the `keep` newest manifests names, and older manifests; only while nobody writes. How many folders went."""
         numbers = [n for n in self._numbers() if self._read(n)]
         named = {f for n in numbers[:keep] for v in self._read(n)["files"].values() for f in v}
-        folder, gone = self._path(f"{self.path}/data"), 0
-        for merge in self._fs.listStatus(folder) if self._fs.exists(folder) else []:
-            for s in self._fs.listStatus(merge.getPath()):
-                if s.isDirectory() and f"data/{merge.getPath().getName()}/{s.getPath().getName()}" not in named:
-                    self._fs.delete(s.getPath(), True)
+        gone = 0
+        for merge in self.own.names("data", folders=True):
+            for bucket in self.own.names(f"data/{merge}", folders=True):
+                if f"data/{merge}/{bucket}" not in named:
+                    self.own.delete(f"data/{merge}/{bucket}")
                     gone += 1
         for n in numbers[keep:]:
-            self._fs.delete(self._path(f"{self.path}/manifest/{n}.json"), False)
+            self.own.delete(f"manifest/{n}.json")
         return gone
 
 

@@ -8,6 +8,7 @@ is never overwritten.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -144,6 +145,30 @@ def write_artifact(df: DataFrame, path: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("digest"))
 
 
+def write_artifacts(df: DataFrame, by: Sequence[str], order: Sequence[str], row: str, path: str) -> DataFrame:
+    """One artifact for each group: its rows (a struct column) as JSON lines in order, under the SHA-256 of the text. by, name, size in bytes, and whether it was written now.
+
+    Artifacts that the folder has are not written again. A group is one text, so it must fit a task; group by a scope that is bounded.
+    """
+    spark = df.sparkSession
+    lines = F.array_sort(F.collect_list(F.struct(*order, F.to_json(row, {"ignoreNullFields": "false"}).alias("_line"))))
+    made = df.groupBy(*by).agg(F.array_join(F.transform(lines, lambda x: x["_line"]), "\n").alias("body"))
+    made = made.select(*by, F.concat(F.sha2("body", 256), F.lit(".json")).alias("name"), F.octet_length("body").cast("long").alias("size"), "body")
+    try:
+        there = spark.read.schema("name string, body string").parquet(path).select(F.col("name").alias("_there")).distinct()
+    except Exception as e:  # a folder without artifacts
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        there = spark.createDataFrame([], "_there string")
+    told = made.join(there, made["name"] == there["_there"], "left").withColumn("written", F.col("_there").isNull()).drop("_there")
+    # The rows told are those of one evaluation, also after the folder has changed.
+    batch = f"{path.rstrip('/')}-told/{uuid.uuid4().hex}"
+    told.write.parquet(batch)
+    told = spark.read.schema(told.schema).parquet(batch)
+    told.filter("written").select("name", "body").dropDuplicates(["name"]).write.mode("append").parquet(path)
+    return told.drop("body")
+
+
 def record_loads(ledger: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The ledger with a batch's rows by key: one row for each loaded scope, the batch's where both have it."""
     loaded = batch.groupBy(*keys).agg(F.count("*").alias("n"))
