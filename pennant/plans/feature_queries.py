@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pennant.plans import features
+from pennant.plans import features, upcoming
 from pennant.plans.fixtures import GAMES_SQL, PLAYS_SQL, games, half_up, plays
 from pennant.plans.registry import Tables, query
 
@@ -191,3 +191,120 @@ def fea_market_predictions(t: Tables) -> DataFrame:
     markets = games(t).select(F.col("id").alias("game"), "home_team_id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), F.lit("2024-01-01").alias("as_of"), F.explode(F.array(side("home_team_id"), side("away_team_id"))).alias("s"))
     markets = markets.select("game", "home_team_id", "source", "as_of", "s.team_id", F.when(F.col("game") % 100 != 7, F.col("s.implied_probability")).alias("implied_probability"))
     return features.outcomes(features.market_predictions(markets), games(t)).select("game", "model", "p", "home_won")
+
+
+#: Games from this day on count as not yet played.
+TODAY = "2001-05-01"
+
+
+def games_so_far(t: Tables) -> DataFrame:
+    """The games, those from TODAY on without a result."""
+    open_ = F.col("game_date") >= F.lit(TODAY).cast("date")
+    return games(t).withColumns({c: F.when(~open_, F.col(c)) for c in ("home_score", "away_score")})
+
+
+#: Games to come (u), plays of those that were played (x), in twins that write every constant out.
+SO_FAR_SQL = f"""{GAMES_SQL}, {PLAYS_SQL}, u AS (SELECT id AS game, season, game_date, home_team_id, away_team_id FROM g WHERE game_type = 'regular' AND game_date >= DATE '{TODAY}'),
+s AS (SELECT game, season, game_date, 'home' AS side, home_team_id AS entity FROM u UNION ALL SELECT game, season, game_date, 'away', away_team_id FROM u),
+x AS (SELECT e.*, id AS game, season, game_date, home_team_id, away_team_id FROM e JOIN g ON e.game_id = g.retro_game_id WHERE game_type = 'regular' AND game_date < DATE '{TODAY}')"""
+PITCHED_SQL = """count(*) FILTER (bat_event_fl = 'T') AS pa, count(*) FILTER (bat_event_fl = 'T' AND event_cd = '3') AS so, count(*) FILTER (bat_event_fl = 'T' AND event_cd IN ('14', '15')) AS bb,
+count(*) FILTER (bat_event_fl = 'T' AND event_cd = '16') AS hbp, count(*) FILTER (bat_event_fl = 'T' AND event_cd = '23') AS hr, sum(event_outs_ct::INT) AS outs"""
+LIVE_SQL = """round(CASE WHEN sum(pa) > 0 THEN sum(so) / sum(pa) END, 6) AS k_pct, round(CASE WHEN sum(pa) > 0 THEN sum(bb) / sum(pa) END, 6) AS bb_pct,
+round(CASE WHEN sum(outs) > 0 THEN (13 * sum(hr) + 3 * sum(bb) - 2 * sum(so)) / (sum(outs) / 3) + 3.10 END, 6) AS fip"""
+
+
+@query(half_up(f"""WITH {SO_FAR_SQL},
+n AS (SELECT game, season, game_date, side, concat('P', (game + CASE side WHEN 'home' THEN 0 ELSE 3 END + CASE WHEN game % 5 = 0 THEN 7 ELSE 0 END) % 40) AS pitcher FROM s WHERE game % 11 <> 0),
+c AS (SELECT resp_pit_id AS pitcher, season, game_date, bool_or(resp_pit_start_fl = 'T') AS started, {PITCHED_SQL} FROM x GROUP BY ALL)
+SELECT n.game, n.side, n.pitcher, {LIVE_SQL}, round(CASE WHEN sum(pa) > 0 THEN sum(hr) / sum(pa) END, 6) AS hr_pct, (n.game_date - max(c.game_date) FILTER (started))::BIGINT AS rest_days,
+  (sum(outs) FILTER (c.game_date >= n.game_date - 7))::BIGINT AS outs_7d, round(CASE WHEN substr(n.pitcher, 2)::INT % 7 > 0 THEN date_diff('day', DATE '1970-01-01' + substr(n.pitcher, 2)::INT * 97, n.game_date) / 365.25 END, 6) AS age
+FROM n LEFT JOIN c ON c.pitcher = n.pitcher AND c.season = n.season AND c.game_date < n.game_date GROUP BY n.game, n.side, n.pitcher, n.game_date"""))
+def fea_starter_to_come(t: Tables) -> DataFrame:
+    """FEA-11, FEA-12, FEA-13: quality, rest, load and age of announced starters of games to come; a later announcement wins, one without a name doesn't."""
+    side = lambda n, k: F.struct(F.lit(n).alias("side"), F.lit(k).alias("k"))
+    named = games_so_far(t).filter("home_score is null and id % 11 <> 0").select(F.col("id").alias("game"), F.explode(F.array(side("home", 0), side("away", 3))).alias("s")).select("game", "s.*")
+    first = named.select("game", "side", F.concat(F.lit("P"), (F.col("game") + F.col("k") + 7) % 40).alias("pitcher"), F.lit("2001-01-01").alias("captured_at"))
+    then = named.select("game", "side", F.when(F.col("game") % 5 != 0, F.concat(F.lit("P"), (F.col("game") + F.col("k")) % 40)).alias("pitcher"), F.lit("2001-02-01").alias("captured_at"))
+    born = plays(t).select(F.col("resp_pit_id").alias("pitcher")).distinct().withColumn("_k", F.substring("pitcher", 2, 9).cast("int"))
+    born = born.select("pitcher", F.when(F.col("_k") % 7 != 0, F.date_add(F.lit("1970-01-01").cast("date"), F.col("_k") * 97)).alias("birth_date"))
+    rows = upcoming.starters_to_come(games_so_far(t), first.unionByName(then), plays(t), born)
+    return rounded(rows, "k_pct", "bb_pct", "fip", "hr_pct", "age").select("game", "side", F.col("entity").alias("pitcher"), "k_pct", "bb_pct", "fip", "hr_pct", F.col("rest_days").cast("long").alias("rest_days"), "outs_7d", "age")
+
+
+@query(half_up(f"""WITH {SO_FAR_SQL},
+c AS (SELECT CASE WHEN bat_home_id = '0' THEN home_team_id ELSE away_team_id END AS entity, season, game_date, {PITCHED_SQL} FROM x WHERE resp_pit_start_fl = 'F' GROUP BY ALL)
+SELECT s.game, s.side, s.entity, {LIVE_SQL}, (sum(outs) FILTER (c.game_date >= s.game_date - 3))::BIGINT AS fatigue
+FROM s LEFT JOIN c ON c.entity = s.entity AND c.season = s.season AND c.game_date < s.game_date GROUP BY s.game, s.side, s.entity"""))
+def fea_bullpen_to_come(t: Tables) -> DataFrame:
+    """FEA-14: relief of both teams of games to come."""
+    rows = upcoming.relief_to_come(games_so_far(t), plays(t))
+    return rounded(rows, "k_pct", "bb_pct", "fip").select("game", "side", "entity", "k_pct", "bb_pct", "fip", "fatigue")
+
+
+@query(half_up(f"""WITH {GAMES_SQL}, {PLAYS_SQL}, v AS (SELECT * FROM e WHERE substr(game_id, 2)::BIGINT % 9 <> 4),
+b AS (SELECT id AS game, season, game_date, game_number AS number, home_team_id AS entity, 'home' AS side FROM g WHERE game_type = 'regular' AND retro_game_id IN (SELECT game_id FROM v)
+  UNION ALL SELECT id, season, game_date, game_number, away_team_id, 'away' FROM g WHERE game_type = 'regular' AND retro_game_id IN (SELECT game_id FROM v)),
+c AS (SELECT g.id AS game, CASE WHEN bat_home_id = '0' THEN home_team_id ELSE away_team_id END AS entity, {PITCHED_SQL} FROM v JOIN g ON v.game_id = g.retro_game_id WHERE resp_pit_start_fl = 'F' GROUP BY ALL),
+z AS (SELECT b.*, coalesce(pa, 0) AS pa, coalesce(so, 0) AS so, coalesce(bb, 0) AS bb, coalesce(hbp, 0) AS hbp, coalesce(hr, 0) AS hr, coalesce(outs, 0) AS outs FROM b LEFT JOIN c USING (game, entity)),
+p AS (SELECT game, entity, side, game_date, sum(pa) OVER w AS pa, sum(so) OVER w AS so, sum(bb) OVER w AS bb, sum(hbp) OVER w AS hbp, sum(hr) OVER w AS hr, sum(outs) OVER w AS outs FROM z
+  WINDOW w AS (PARTITION BY entity, season ORDER BY game_date, number, game ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+d AS (SELECT entity, game_date, sum(outs) OVER (PARTITION BY entity ORDER BY game_date RANGE BETWEEN INTERVAL 3 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS fatigue FROM (SELECT entity, game_date, sum(outs) AS outs FROM z GROUP BY ALL))
+SELECT game, entity, side, round(CASE WHEN pa > 0 THEN so / pa END, 6) AS k_pct, round(CASE WHEN pa > 0 THEN bb / pa END, 6) AS bb_pct, round(CASE WHEN outs > 0 THEN (13 * hr + 3 * (bb + hbp) - 2 * so) / (outs / 3) + 3.10 END, 6) AS fip, fatigue::BIGINT AS fatigue
+FROM p JOIN d USING (entity, game_date)"""))
+def fea_bullpen_covered(t: Tables) -> DataFrame:
+    """FEA-14: relief entering each game that has events, games without a reliever counting as zeros and games without events not at all."""
+    rows = upcoming.covered_relief(games(t), plays(t).filter(F.substring("game_id", 2, 20).cast("long") % 9 != 4))
+    return rounded(rows, "k_pct", "bb_pct", "fip").select("game", "entity", "side", "k_pct", "bb_pct", "fip", "fatigue")
+
+
+@query(half_up(f"""WITH {SO_FAR_SQL},
+c AS (SELECT CASE WHEN bat_home_id = '1' THEN home_team_id ELSE away_team_id END AS entity, season, game_date, count(*) FILTER (bat_event_fl = 'T' AND event_cd = '14') AS ubb, count(*) FILTER (bat_event_fl = 'T' AND event_cd = '16') AS hbp,
+  count(*) FILTER (bat_event_fl = 'T' AND event_cd = '20') AS b1, count(*) FILTER (bat_event_fl = 'T' AND event_cd = '21') AS b2, count(*) FILTER (bat_event_fl = 'T' AND event_cd = '22') AS b3, count(*) FILTER (bat_event_fl = 'T' AND event_cd = '23') AS hr,
+  count(*) FILTER (ab_fl = 'T') AS ab, count(*) FILTER (sf_fl = 'T') AS sf FROM x GROUP BY ALL),
+o AS (SELECT s.game, s.side, s.entity, s.season, s.game_date, (0.69 * sum(ubb) + 0.722 * sum(hbp) + 0.878 * sum(b1) + 1.242 * sum(b2) + 1.569 * sum(b3) + 2.015 * sum(hr))::DOUBLE / nullif(sum(ab) + sum(ubb) + sum(sf) + sum(hbp), 0) AS woba
+  FROM s LEFT JOIN c ON c.entity = s.entity AND c.season = s.season AND c.game_date < s.game_date GROUP BY ALL),
+l AS (SELECT d.season, d.game_date, (0.69 * sum(ubb) + 0.722 * sum(hbp) + 0.878 * sum(b1) + 1.242 * sum(b2) + 1.569 * sum(b3) + 2.015 * sum(hr))::DOUBLE / nullif(sum(ab) + sum(ubb) + sum(sf) + sum(hbp), 0) AS league
+  FROM (SELECT DISTINCT season, game_date FROM s) d JOIN c ON c.season = d.season AND c.game_date < d.game_date GROUP BY ALL),
+k AS (SELECT home_team_id AS entity, season, home_score + away_score AS total, TRUE AS home FROM g WHERE game_type = 'regular' AND game_date < DATE '{TODAY}' UNION ALL SELECT away_team_id, season, home_score + away_score, FALSE FROM g WHERE game_type = 'regular' AND game_date < DATE '{TODAY}'),
+r AS (SELECT entity, season, avg(total) FILTER (home) / nullif(avg(total) FILTER (NOT home), 0) * 100 AS ratio FROM k GROUP BY ALL),
+f AS (SELECT d.entity, d.season, avg(ratio) AS park FROM (SELECT DISTINCT entity, season FROM s) d JOIN r ON r.entity = d.entity AND r.season BETWEEN d.season - 3 AND d.season - 1 GROUP BY ALL)
+SELECT game, side, o.entity, round(woba, 6) AS woba, round(league, 6) AS league_woba, round(park, 4) AS park_factor, round(((woba - league) / 1.2 + 1) / (coalesce(park, 100) / 100) * 100, 4) AS wrc_plus
+FROM o LEFT JOIN l USING (season, game_date) LEFT JOIN f ON f.entity = o.entity AND f.season = o.season"""))
+def fea_offense_to_come(t: Tables) -> DataFrame:
+    """FEA-09, FEA-10: wOBA and wRC+ of both teams of games to come, by the park of up to three seasons before."""
+    rows = upcoming.offense_to_come(games_so_far(t), plays(t))
+    rows = rows.withColumns({"woba": F.round("woba", 6), "league_woba": F.round("league_woba", 6), "park_factor": F.round("park_factor", 4), "wrc_plus": F.round("wrc_plus", 4)})
+    return rows.select("game", "side", "entity", "woba", "league_woba", "park_factor", "wrc_plus")
+
+
+_HAND = lambda h: f"""count(*) FILTER (bat_hand_cd = '{h}') AS pa_{h}, count(*) FILTER (bat_hand_cd = '{h}' AND event_cd = '3') AS so_{h}, (0.69 * count(*) FILTER (bat_hand_cd = '{h}' AND event_cd = '14') + 0.72 * count(*) FILTER (bat_hand_cd = '{h}' AND event_cd = '16')
+  + 0.89 * count(*) FILTER (bat_hand_cd = '{h}' AND event_cd = '20') + 1.27 * count(*) FILTER (bat_hand_cd = '{h}' AND event_cd = '21') + 1.62 * count(*) FILTER (bat_hand_cd = '{h}' AND event_cd = '22') + 2.10 * count(*) FILTER (bat_hand_cd = '{h}' AND (event_cd = '23' OR h_cd = '4'))) AS w_{h}"""
+
+
+@query(half_up(f"""WITH {GAMES_SQL}, {PLAYS_SQL}, c AS (SELECT g.id AS game, season, game_date, game_number AS number, resp_pit_id AS entity, {_HAND('L')}, {_HAND('R')} FROM e JOIN g ON e.game_id = g.retro_game_id
+  WHERE game_type = 'regular' AND resp_pit_start_fl = 'T' AND bat_event_fl = 'T' GROUP BY ALL),
+p AS (SELECT game, entity, {', '.join(f'sum({n}_{h}) OVER w AS {n}_{h}' for h in 'LR' for n in ('pa', 'so', 'w'))} FROM c WINDOW w AS (PARTITION BY entity, season ORDER BY game_date, number, game ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT game, entity, {', '.join(f"round(CASE WHEN pa_{h} >= 15 THEN so_{h} / pa_{h} END, 6) AS vs_{n}_k_pct, round(CASE WHEN pa_{h} >= 15 THEN w_{h}::DOUBLE / pa_{h} END, 6) AS vs_{n}_woba" for h, n in (('L', 'lhb'), ('R', 'rhb')))} FROM p"""))
+def fea_platoon(t: Tables) -> DataFrame:
+    """FEA-19: starters against left- and right-handed batters entering each game."""
+    names = [f"vs_{h}_{v}" for h in ("lhb", "rhb") for v in ("k_pct", "woba")]
+    return rounded(upcoming.platoon(plays(t), games(t)), *names).select("game", "entity", *names)
+
+
+@query(half_up(f"""WITH {GAMES_SQL}, m AS (SELECT o_custkey % 30 AS team_id, year(o_orderdate) AS season, sum((20 + o_custkey % 13) * (o_orderkey % 5)) / sum(o_orderkey % 5) AS speed FROM orders WHERE o_orderkey % 5 > 0 GROUP BY ALL),
+w AS (SELECT DISTINCT o_custkey AS player, year(o_orderdate) AS season, concat('T', o_custkey % 30) AS code, o_custkey % 4 = 0 AS is_pitcher FROM orders),
+q AS (SELECT o_custkey AS player, year(o_orderdate) AS season, count(*) AS runs FROM orders WHERE o_custkey % 3 <> 2 GROUP BY ALL),
+r AS (SELECT substr(code, 2)::INT AS team_id, season, sum(runs) AS framing FROM q JOIN w USING (player, season) WHERE NOT is_pitcher AND (substr(code, 2)::INT <> 5 OR season <= 1999) GROUP BY ALL)
+SELECT g.id, round(hs.speed, 6) AS home_speed, round(aw.speed, 6) AS away_speed, hf.framing::BIGINT AS home_framing, af.framing::BIGINT AS away_framing FROM g
+LEFT JOIN m hs ON hs.team_id = home_team_id AND hs.season = g.season - 1 LEFT JOIN m aw ON aw.team_id = away_team_id AND aw.season = g.season - 1
+LEFT JOIN r hf ON hf.team_id = home_team_id AND hf.season = g.season - 1 LEFT JOIN r af ON af.team_id = away_team_id AND af.season = g.season - 1"""))
+def fea_speed_framing(t: Tables) -> DataFrame:
+    """FEA-21: weighted sprint speed and catchers' framing of each side's season before."""
+    o = t.orders.withColumn("season", F.year("o_orderdate"))
+    speed = upcoming.weighted_season(o.select((F.col("o_custkey") % 30).alias("team_id"), "season", (20 + F.col("o_custkey") % 13).alias("speed"), (F.col("o_orderkey") % 5).alias("runs")), ["team_id", "season"], "speed", "runs", "speed")
+    clubs = o.select(F.col("o_custkey").alias("player"), "season", F.concat(F.lit("T"), F.col("o_custkey") % 30).alias("code"), (F.col("o_custkey") % 4 == 0).alias("is_pitcher")).distinct()
+    catchers = o.filter("o_custkey % 3 <> 2").groupBy(F.col("o_custkey").alias("player"), "season").agg(F.count("*").alias("runs"))
+    teams = clubs.select("code").distinct().select("code", F.substring("code", 2, 9).cast("int").alias("team_id"), F.lit(1900).alias("first_year"), F.when(F.col("code") == "T5", 1999).otherwise(9999).alias("last_year"))
+    seasons = speed.join(upcoming.framing(catchers, clubs, teams), ["team_id", "season"], "full_outer")
+    rows = features.prior_season(games(t), seasons, ["speed", "framing"])
+    return rows.select("id", F.round("home_speed", 6).alias("home_speed"), F.round("away_speed", 6).alias("away_speed"), "home_framing", "away_framing")

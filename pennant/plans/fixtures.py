@@ -27,6 +27,7 @@ PLAY = {
     "resp_pit_id": "concat('P', l_suppkey % 40)", "resp_pit_start_fl": "case when l_linenumber <= 3 then 'T' else 'F' end",
     "pitch_seq_tx": "translate(concat('', cast(floor(l_extendedprice) as bigint)), '0123456789', 'BCFKSXMTL*')",
     "run1_sb_fl": "case when l_partkey % 13 = 0 then 'T' else 'F' end", "run2_sb_fl": "'F'", "run3_sb_fl": "'F'", "run1_cs_fl": "case when l_partkey % 29 = 0 then 'T' else 'F' end", "run2_cs_fl": "'F'", "run3_cs_fl": "'F'",
+    "bat_hand_cd": "case l_suppkey % 4 when 0 then 'L' when 1 then 'R' when 2 then 'R' else '' end",
 }
 
 

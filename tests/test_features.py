@@ -89,3 +89,34 @@ def test_run_expectancy_has_all_states(spark):
 def test_wrc_plus_of_an_average_team(spark):
     row = spark.range(1).select(X.wrc_plus(F.lit(0.32), F.lit(0.32), F.lit(100.0)).alias("w")).first()
     assert row.w == pytest.approx(100)
+
+
+def test_targets_see_only_days_before(spark):
+    """A target takes no figure of its own day; what was announced last, with a name, counts."""
+    from pennant.plans import upcoming
+
+    day = lambda d: dt.date(2024, 5, d)
+    history = spark.createDataFrame([("p", day(1), 3, 1), ("p", day(1), 2, 0), ("p", day(9), 5, 0), ("p", day(10), 7, 1), ("q", day(2), 1, 1)], "k string, game_date date, outs long, started int")
+    targets = spark.createDataFrame([(1, "p", day(1)), (2, "p", day(10)), (3, "p", day(11)), (4, "r", day(11)), (5, "p", day(31))], "game int, k string, game_date date")
+    rows = upcoming.entering_targets(targets, history, ["k"], "game_date", ["outs"], {"week": ("outs", 7)}, {"rest": "started"})
+    assert {r.game: (r.outs, r.week, r.rest) for r in rows.collect()} == {1: (None, None, None), 2: (10, 5, 9), 3: (17, 12, 1), 4: (None, None, None), 5: (17, None, 21)}
+    said = spark.createDataFrame([(1, "a", "1"), (1, "b", "2"), (1, None, "3"), (2, None, "1")], "game int, pitcher string, at string")
+    assert [tuple(r) for r in upcoming.latest_announced(said, ["game"], "pitcher", "at").collect()] == [(1, "b")]
+
+
+def test_covered_games_without_relief_are_zeros(spark):
+    from pennant.plans import upcoming
+
+    games = spark.createDataFrame([(i, f"G{i}", 2024, dt.date(2024, 5, i), 0, 1, 2, 5, 4, "regular") for i in (1, 2, 3, 4)], "id int, retro_game_id string, season int, game_date date, game_number int, home_team_id int, away_team_id int, home_score int, away_score int, game_type string")
+    play = lambda g, half, start, code, outs: (f"G{g}", half, start, code, "T", str(outs))
+    events = [play(1, "0", "T", "3", 1), play(1, "0", "F", "3", 1), play(1, "0", "F", "14", 0), play(2, "1", "T", "2", 1), play(4, "0", "F", "23", 0)]
+    events = spark.createDataFrame(events, "game_id string, bat_home_id string, resp_pit_start_fl string, event_cd string, bat_event_fl string, event_outs_ct string")
+    rows = {(r.game, r.entity): (r.pa, r.so, r.k_pct, r.fatigue) for r in upcoming.covered_relief(games, events).collect()}
+    assert rows == {(1, 1): (None, None, None, None), (1, 2): (None, None, None, None), (2, 1): (2, 1, 0.5, 1), (2, 2): (0, 0, None, 0), (4, 1): (2, 1, 0.5, 1), (4, 2): (0, 0, None, 0)}
+
+
+def test_weighted_speed(spark):
+    from pennant.plans import upcoming
+
+    rows = spark.createDataFrame([(1, 30.0, 10), (1, 20.0, 30), (1, 99.0, 0), (2, 25.0, 0)], "team int, speed double, runs int")
+    assert [tuple(r) for r in upcoming.weighted_season(rows, ["team"], "speed", "runs", "speed").collect()] == [(1, 22.5)]
