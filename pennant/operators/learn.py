@@ -248,6 +248,28 @@ def promote(registry: DataFrame, name: str, model: str) -> DataFrame:
     return registry.withColumn("status", status)
 
 
+def promotions(runs: DataFrame, names: Sequence[str], order: str, loss: str, baseline: str, gain: float = 0.002) -> DataFrame:
+    """status of every run of a model, its versions in order: a run becomes champion if its loss beats the baseline and the champion before by the gain; that one retires, all others stay candidates.
+
+    So a model has one champion at most. Runs without a loss stay candidates. The
+    versions of one model stand in one row meanwhile.
+    """
+    steps = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(loss).cast("double").alias("l"), F.col(baseline).cast("double").alias("b"))))
+    kind = dict(runs.dtypes)[order]
+
+    def step(held: Column, x: Column) -> Column:
+        better = (x["b"] - x["l"] >= gain) & F.coalesce(held["l"] - x["l"] >= gain, held["l"].isNull())
+        wins = F.coalesce(better, F.lit(False))
+        return F.struct(F.when(wins, x["l"]).otherwise(held["l"]).alias("l"), F.when(wins, F.array_append(held["won"], x["o"])).otherwise(held["won"]).alias("won"))
+
+    state = f"struct<l:double,won:array<{kind}>>"
+    first = F.struct(F.lit(None).cast("double").alias("l"), F.array().cast(f"array<{kind}>").alias("won")).cast(state)
+    won = runs.groupBy(*names).agg(F.aggregate(steps, first, lambda held, x: step(held, x).cast(state), lambda held: held["won"]).alias("_won"))
+    place = F.array_position("_won", F.col(order))
+    status = F.when(place == 0, "candidate").when(place == F.size("_won"), "champion").otherwise("retired")
+    return runs.join(won, list(names)).withColumn("status", status).drop("_won")
+
+
 def stack(df: DataFrame, inputs: Sequence[str], label: str, order: str, keys: Sequence[str], share: float = 0.8) -> DataFrame:
     """A logistic model over base predictions, learnt from the first `share` of rows by `order`; predictions of the rest.
 

@@ -41,7 +41,7 @@ def src_leaders(t: Tables) -> DataFrame:
 
 @query("""SELECT n_regionkey AS team_id, n_nationkey::BIGINT AS person_id, n_name AS full_name, CASE WHEN n_nationkey % 4 > 0 THEN concat('P', n_nationkey % 4) END AS position_code, 'Active' AS status FROM nation""")
 def src_rosters(t: Tables) -> DataFrame:
-    """SRC-21c, SRC-21e, SRC-21g, SRC-21k: nested person, position and status; what a row lacks is null."""
+    """SRC-21c: nested person, position and status; what a row lacks is null."""
     docs = document(
         t.nation, F.col("n_regionkey"), "roster", F.struct(sql("n_nationkey", "id"), sql("n_name", "fullName")).alias("person"),
         F.struct(sql("case when n_nationkey % 4 > 0 then concat('P', n_nationkey % 4) end", "code")).alias("position"), F.struct(F.lit("Active").alias("description")).alias("status"),
@@ -134,3 +134,57 @@ def src_box_lists(t: Tables) -> DataFrame:
     games.agg(sql("concat('<games>', concat_ws('', collect_list(game)), '</games>')", "value")).write.text(path)
     tables = readers.xml_lists(t.spark, path, "boxscore", {"batting.player": "id:string,n:int", "pitching.player": "id:string,n:int"}, {"game_id": "string"})
     return stacked([df.select("game_id", F.lit(name).alias("list"), "id", "n") for name, df in tables.items()])
+
+
+def in_batches(rows: DataFrame, key: str, size: int, path: str, *columns: Column) -> DataFrame:
+    """Documents of at most `size` elements each, as a provider answers batches of ids."""
+    return document(rows, F.floor(F.col(key) / size), path, *columns)
+
+
+@query("""SELECT s_suppkey AS id, s_name AS name, concat('city', s_nationkey) AS location_city, s_nationkey::BIGINT AS location_nation, CASE WHEN s_suppkey % 3 > 0 THEN 300.0 + s_suppkey % 50 END AS field_info_left_line,
+CASE WHEN s_suppkey % 2 = 0 THEN 'Grass' END AS field_info_turf_type, concat('tz', s_nationkey % 4) AS time_zone_id FROM supplier""")
+def src_venues(t: Tables) -> DataFrame:
+    """SRC-21e: a catalog of places asked for in batches of ids, with nested location, field and time zone."""
+    docs = in_batches(
+        t.supplier, "s_suppkey", 25, "venues", sql("s_suppkey", "id"), sql("s_name", "name"), F.struct(sql("concat('city', s_nationkey)", "city"), sql("s_nationkey", "nation")).alias("location"),
+        F.struct(sql("case when s_suppkey % 3 > 0 then cast(300.0 + s_suppkey % 50 as double) end", "leftLine"), sql("case when s_suppkey % 2 = 0 then 'Grass' end", "turfType")).alias("fieldInfo"), F.struct(sql("concat('tz', s_nationkey % 4)", "id")).alias("timeZone"),
+    )
+    schema = "struct<venues:array<struct<id:bigint,name:string,location:struct<city:string,nation:bigint>,fieldInfo:struct<leftLine:double,turfType:string>,timeZone:struct<id:string>>>>"
+    fields = {"id": "id", "name": "name", "location_city": "location.city", "location_nation": "location.nation", "field_info_left_line": "fieldInfo.leftLine", "field_info_turf_type": "fieldInfo.turfType", "time_zone_id": "timeZone.id"}
+    return readers.flatten(docs, "body", schema, "venues", fields, []).drop("_position")
+
+
+@query("""SELECT c_custkey AS id, c_name AS full_name, CASE WHEN c_custkey % 5 > 0 THEN (DATE '1980-01-01' + (c_custkey % 9000)::INT)::VARCHAR END AS birth_date, CASE c_custkey % 3 WHEN 0 THEN 'L' WHEN 1 THEN 'R' END AS bat_side, c_custkey IN (SELECT o_custkey FROM orders) AS active
+FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""")
+def src_people(t: Tables) -> DataFrame:
+    """SRC-21g: biographies of the distinct persons that another table names, asked for in batches."""
+    wanted = t.orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    docs = in_batches(
+        t.customer.join(wanted, "c_custkey", "left_semi"), "c_custkey", 50, "people", sql("c_custkey", "id"), sql("c_name", "fullName"), sql("case when c_custkey % 5 > 0 then cast(date_add(date'1980-01-01', cast(c_custkey % 9000 as int)) as string) end", "birthDate"),
+        F.struct(sql("case c_custkey % 3 when 0 then 'L' when 1 then 'R' end", "code")).alias("batSide"), F.lit(True).alias("active"),
+    )
+    schema = "struct<people:array<struct<id:bigint,fullName:string,birthDate:string,batSide:struct<code:string>,active:boolean>>>"
+    return readers.flatten(docs, "body", schema, "people", {"id": "id", "full_name": "fullName", "birth_date": "birthDate", "bat_side": "batSide.code", "active": "active"}, []).drop("_position")
+
+
+@query("""SELECT DISTINCT c_nationkey::BIGINT AS team_id, year(o_orderdate)::BIGINT AS season, concat('name', c_nationkey, '-', year(o_orderdate)) AS name, concat('v', c_nationkey % 7) AS venue_name FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE c_nationkey % 6 <> 5""")
+def src_team_history(t: Tables) -> DataFrame:
+    """SRC-21f: the seasons of every distinct team of the rosters, one document a team; a team's rows replace those that were there, and a team without an answer keeps none."""
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("c_nationkey", F.year("o_orderdate").alias("season")).distinct()
+    docs = document(rows, F.col("c_nationkey"), "teams", sql("c_nationkey", "id"), sql("season", "season"), sql("concat('name', c_nationkey, '-', season)", "name"), F.struct(sql("concat('v', c_nationkey % 7)", "name")).alias("venue"))
+    schema = "struct<teams:array<struct<id:bigint,season:bigint,name:string,venue:struct<name:string>>>>"
+    found = readers.flatten(docs.filter("doc % 6 <> 5"), "body", schema, "teams", {"team_id": "id", "season": "season", "name": "name", "venue_name": "venue.name"}, []).drop("_position")
+    stale = found.select("team_id", "season", F.lit("stale").alias("name"), "venue_name").unionByName(t.nation.select(F.col("n_nationkey").cast("long").alias("team_id"), F.lit(1900).cast("long").alias("season"), F.lit("stale").alias("name"), F.lit(None).cast("string").alias("venue_name")))
+    return sinks.scoped_replace(stale, found, "team_id", list(range(25)))
+
+
+@query("""SELECT c_nationkey::BIGINT AS team_id, year(o_orderdate)::BIGINT AS season, count(*) AS openings_total, sum(o_custkey)::BIGINT AS attendance_total, max(o_custkey)::BIGINT AS attendance_high, CASE WHEN c_nationkey % 4 > 0 THEN concat('R', c_nationkey) END AS game_type_id
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""")
+def src_attendance(t: Tables) -> DataFrame:
+    """SRC-21k: yearly records of each team, one document a team, with scalar fields and a nested type that may be absent."""
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_nationkey", F.year("o_orderdate").alias("season")).agg(F.count("*").alias("n"), F.sum("o_custkey").alias("total"), F.max("o_custkey").alias("high"))
+    docs = document(rows, F.col("c_nationkey"), "records", sql("season", "year"), sql("n", "openingsTotal"), sql("total", "attendanceTotal"), sql("high", "attendanceHigh"), sql("case when c_nationkey % 4 > 0 then named_struct('id', concat('R', c_nationkey)) end", "gameType"))
+    schema = "struct<records:array<struct<year:bigint,openingsTotal:bigint,attendanceTotal:bigint,attendanceHigh:bigint,gameType:struct<id:string>>>>"
+    fields = {"season": "year", "openings_total": "openingsTotal", "attendance_total": "attendanceTotal", "attendance_high": "attendanceHigh", "game_type_id": "gameType.id"}
+    return readers.flatten(docs, "body", schema, "records", fields, ["doc"]).drop("_position").withColumn("team_id", F.col("doc").cast("long")).drop("doc")

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pennant.functions import clean
-from pennant.operators import frozen, intervals, quality
-from pennant.plans.registry import Tables, query
+from pennant.operators import frozen, intervals, quality, sequence
+from pennant.plans.registry import ORACLE_SQL, Tables, query
 from pennant.sources import evolve, keyed, readers, sinks
 from pennant.sources import plays as plays_source
 from pennant.streaming import snapshots
@@ -491,3 +491,10 @@ def src_play_columns(t: Tables) -> DataFrame:
         "game_id", "event_id", "inn_ct", "outs_ct", "base1_run_id", "base2_run_id", "base3_run_id", "event_cd", "event_outs_ct", "bat_dest_id", "run1_dest_id", "run2_dest_id", "run3_dest_id", "event_runs_ct", "rbi_ct", "away_score_ct",
         "fate_runs_ct", "start_bases_cd", "end_bases_cd", "battedball_cd", "po1_fld_cd", "ass1_fld_cd", "err1_fld_cd", "dp_fl", "wp_fl", "sf_fl", "ab_fl", "h_cd", "pit_id", "run1_resp_pit_id", "inn_new_fl",
     )
+
+
+@query(f"""SELECT event_cd, count(*) AS n, count(*) FILTER (bit_count(start_bases_cd) + (event_cd IN (2, 3, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23))::INT <> bit_count(end_bases_cd) + event_outs_ct + event_runs_ct) AS broken,
+sum(event_runs_ct)::BIGINT AS runs, sum(event_outs_ct)::BIGINT AS outs FROM ({ORACLE_SQL['src_play_columns']}) GROUP BY 1""")
+def seq_conservation(t: Tables) -> DataFrame:
+    """SEQ-03: of the transitions of all plays, those that lose or make a runner: who was on base or at bat is after the play on base, out or in."""
+    return sequence.conservation(src_play_columns(t), "event_cd")

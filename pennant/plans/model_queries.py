@@ -146,7 +146,7 @@ def ml_stability(t: Tables) -> DataFrame:
 
 @query()
 def ml_walk_forward(t: Tables) -> DataFrame:
-    """ML-01, ML-05, ML-06, ML-07: models of earlier seasons on each season, with baselines."""
+    """ML-05, ML-06, ML-07: models of earlier seasons on each season, with baselines."""
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.year("o_orderdate").alias("season"), "c_acctbal", "c_nationkey", F.month("o_orderdate").alias("month"), (F.col("o_totalprice") > 200000).cast("int").alias("y"))
     found = learn.walk_forward(o, "season", ["c_acctbal", "c_nationkey", "month"], "y", learn.CLASSIFIERS["logistic"], ["o_orderkey"], first=4)
     return learn.classification_metrics(learn.baselines(found, "season", "y"), ["season"], "y", "p")
@@ -177,7 +177,7 @@ def ml_stepwise(t: Tables) -> DataFrame:
 
 @query()
 def ml_boosted(t: Tables) -> DataFrame:
-    """ML-01, ML-15: boosted trees learnt up to 1999 and judged on later seasons, with what the baselines lose there."""
+    """ML-01: boosted trees learnt up to 1999 and judged on later seasons, with what the baselines lose there."""
     o = orders_of_customers(t).withColumn("part", F.when(F.col("season") <= 1999, 0).otherwise(1))
     found = learn.walk_forward(o, "part", ["c_acctbal", "c_nationkey", "month"], "y", learn.CLASSIFIERS["gbt"], ["o_orderkey"])
     rows = learn.baselines(found.unionByName(o.filter("part = 0").select("o_orderkey", "part", F.col("y").cast("double").alias("y"), F.lit(None).cast("double").alias("p"))), "part", "y").filter("part = 1")
@@ -202,6 +202,23 @@ def ml_stack(t: Tables) -> DataFrame:
     return learn.classification_metrics(learn.stack(rows, ["p", "other"], "y", "ts", ["event_id"]), [], "y", "p")
 
 
+@query(f"""WITH RECURSIVE {SCORED_SQL}, v AS (SELECT user_id % 5 AS model, k AS version, y, CASE k WHEN 0 THEN 0.5 WHEN 1 THEN least(1 - 1e-6, greatest(1e-6, p)) WHEN 2 THEN 0.3 WHEN 3 THEN 0.25 ELSE 0.2 END AS p FROM s, range(5) t(k)),
+b AS (SELECT model, avg(y) AS share FROM v WHERE version = 0 GROUP BY 1), m AS (SELECT model, version, avg(-(y * ln(p) + (1 - y) * ln(1 - p))) AS loss, avg(-(y * ln(share) + (1 - y) * ln(1 - share))) + 0.1 AS baseline FROM v JOIN b USING (model) GROUP BY ALL),
+w(model, version, held, won) AS (SELECT model, -1::BIGINT, NULL::DOUBLE, -1::BIGINT FROM b UNION ALL
+  SELECT m.model, m.version, CASE WHEN ok THEN loss ELSE held END, CASE WHEN ok THEN m.version ELSE won END FROM (SELECT m.*, w.held, w.won, baseline - loss >= 0.002 AND (held IS NULL OR held - loss >= 0.002) AS ok FROM w JOIN m ON m.model = w.model AND m.version = w.version + 1) m),
+l AS (SELECT model, arg_max(won, version) AS champion FROM w GROUP BY 1)
+SELECT m.model, m.version, round(loss, 8) AS loss, CASE WHEN m.version = champion THEN 'champion' WHEN w.won = m.version THEN 'retired' ELSE 'candidate' END AS status FROM m JOIN w ON w.model = m.model AND w.version = m.version JOIN l ON l.model = m.model""")
+def ml_registry(t: Tables) -> DataFrame:
+    """ML-15: versions of five models judged against the label's share and the champion before, one champion each."""
+    p = F.when(F.col("version") == 1, F.col("p")).otherwise(F.get(F.array(*map(F.lit, (0.5, 0.0, 0.3, 0.25, 0.2))), F.col("version").cast("int")))
+    rows = scored(t).select((F.col("user_id") % 5).alias("model"), "y", "p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("version")).withColumn("p", p)
+    share = rows.filter("version = 0").groupBy("model").agg(F.avg("y").alias("share"))
+    rows = rows.join(F.broadcast(share), "model")
+    found = learn.classification_metrics(rows, ["model", "version"], "y", "p").select("model", "version", F.col("log_loss").alias("loss"))
+    base = learn.classification_metrics(rows.filter("version = 0"), ["model"], "y", "share").select("model", (F.col("log_loss") + 0.1).alias("baseline"))
+    return learn.promotions(found.join(base, "model"), ["model"], "version", "loss", "baseline").select("model", "version", F.round("loss", 8).alias("loss"), "status")
+
+
 @query("""WITH c AS (SELECT c_nationkey AS n, avg((o_orderstatus = 'F')::INTEGER) AS w FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
 SELECT a.n AS home, b.n AS away, round(CASE WHEN a.w * (1 - b.w) + b.w * (1 - a.w) = 0 THEN 0.5 ELSE a.w * (1 - b.w) / (a.w * (1 - b.w) + b.w * (1 - a.w)) END, 8) AS p FROM c a JOIN c b ON b.n = a.n + 1""")
 def seq_log5(t: Tables) -> DataFrame:

@@ -104,3 +104,10 @@ def test_nested_stepwise(spark):
     assert learn.nested_stepwise(df, "season", ["noise"], "y", learn.CLASSIFIERS["logistic"], margin=0.02)[0] == []
     with pytest.raises(ValueError):
         learn.nested_stepwise(df.filter("season < 2"), "season", ["noise"], "y", learn.CLASSIFIERS["logistic"])
+
+
+def test_one_champion_a_model(spark):
+    runs = [("a", 1, 0.70, 0.69), ("a", 2, 0.68, 0.69), ("a", 3, 0.679, 0.69), ("a", 4, 0.60, 0.69), ("a", 5, None, 0.69), ("b", 1, 0.688, 0.69), ("c", 1, 0.6885, 0.69), ("d", 2, 0.5, 0.69), ("d", 1, 0.6, None)]
+    df = spark.createDataFrame(runs, "name string, version int, loss double, base double")
+    got = {(r.name, r.version): r.status for r in learn.promotions(df, ["name"], "version", "loss", "base").collect()}
+    assert got == {("a", 1): "candidate", ("a", 2): "retired", ("a", 3): "candidate", ("a", 4): "champion", ("a", 5): "candidate", ("b", 1): "champion", ("c", 1): "candidate", ("d", 2): "champion", ("d", 1): "candidate"}
