@@ -76,3 +76,42 @@ def test_stray_quotes():
     assert X.Page('<a href="x"">one</a><p>two three</p><p class="y">four</p>').text(None) == "one\n\ntwo three\n\nfour"
     assert X.Page("<p title=it's>one</p><p title=\"open>two</p><p>three > 2</p>").text(None) == "one\n\ntwo\n\nthree > 2"
     assert X.Page('<p title="a > b" class=\'c"d\'>one</p><p').text(None) == "one"
+
+
+def of_host(spark, page, n=8, url="http://h.example/{0}", values=lambda i: {}):
+    rows = [(i, url.format(i), page.format(i, f"body {i} " * 30, **values(i))) for i in range(n)]
+    return {r.page_id: r.text for r in X.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_headings_leads_and_lists_beside_the_body(spark):
+    """Without an article the slot is where own text stands beside own text; names alone take nothing out."""
+    page = (
+        "<html><body><div class='bar'><ul><li>Home</li><li>News</li><li>About us</li><li>Visits: {0}</li></ul></div><div class='wrap'><h1>Title {0}</h1><div class='lead'><p>Lead {0}</p></div>"
+        "<div class='text'><p>{1}</p><p>More of {0}</p><h2>Part {0}</h2><ul class='share'><li>Share {0} of it</li><li>rest {0}</li></ul></div></div><div class='imprint'>All rights of the host</div></body></html>"
+    )
+    got = of_host(spark, page)
+    assert got[3] == "\n\n".join(["Title 3", "Lead 3", ("body 3 " * 30).strip(), "More of 3", "Part 3", "Share 3 of it", "rest 3"])
+
+
+def test_one_paragraph_without_article(spark):
+    page = "<html><body><div class='links'><a>Home</a> <a>About us</a></div><div class='x'><h1>Title {0}</h1><p>{1}</p><p class='share-note'>Note {0}</p><section class='related-work'><p>Work {0}</p></section></div></body></html>"
+    assert of_host(spark, page)[5] == "\n\n".join(["Title 5", ("body 5 " * 30).strip(), "Note 5", "Work 5"])
+
+
+def test_an_article_keeps_its_header_and_odd_names(spark):
+    page = (
+        "<html><body><header><h2>Site {0}</h2></header><article><header><h1>Title {0}</h1></header><p>{1}</p><div class='ad-hoc'><p>Ad hoc {0}</p></div><div class='comment-worthy'><p>Worthy {0}</p></div>"
+        "<div class='ad-slot'><p>Buy {0}</p></div><div class='comments'><p>First! {0}</p></div></article></body></html>"
+    )
+    assert of_host(spark, page)[2] == "\n\n".join(["Title 2", ("body 2 " * 30).strip(), "Ad hoc 2", "Worthy 2"])
+
+
+def test_classes_take_the_template_out(spark, monkeypatch):
+    """An independent reading of made hosts: own texts of a page are those that no other page of its host has. Without classes the template's texts would stay."""
+    parts = ["<div class='a'><p>Always here</p></div>", "<div class='b'>Menu <a>one</a></div>", "<div class='c'><h1>T{0}</h1><p>{1}</p><ul><li>L{0}</li></ul></div>", "<div class='d'><p>Same below</p></div>"]
+    for order in ((0, 1, 2, 3), (2, 3, 0, 1), (1, 2, 0, 3)):
+        for frame in ("<html><body>{}</body></html>", "<html><body><div class='all'>{}</div></body></html>", "<html><body><article>{}</article></body></html>"):
+            page = frame.replace("{}", "".join(parts[k] for k in order))
+            assert of_host(spark, page, 6)[4] == "\n\n".join(["T4", ("body 4 " * 30).strip(), "L4"])
+    monkeypatch.setattr(X, "SUPPORT", 2.0)
+    assert "Always here" in of_host(spark, page, 6)[4]
