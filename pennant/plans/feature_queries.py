@@ -79,16 +79,18 @@ def counts_sql(entity: str) -> str:
     ]
     value = lambda v: f"sum(CASE WHEN NOT ({pa}) THEN 0.0 WHEN {homer} THEN {v[0]} WHEN battedball_cd = 'L' THEN {v[1]} WHEN battedball_cd = 'F' THEN {v[2]} WHEN battedball_cd = 'G' THEN {v[3]} WHEN battedball_cd = 'P' THEN {v[4]} ELSE 0.0 END::DECIMAL(12, 3))"
     state = "concat(CASE WHEN coalesce(base1_run_id, '') <> '' THEN '1' ELSE '_' END, CASE WHEN coalesce(base2_run_id, '') <> '' THEN '2' ELSE '_' END, CASE WHEN coalesce(base3_run_id, '') <> '' THEN '3' ELSE '_' END)"
-    cells = " ".join(f"WHEN '{o}{b}' THEN {v}" for o, row in features.LEVERAGE.items() for b, v in zip(features.BASES, row, strict=True))
-    pitched = f"regexp_replace(pitch_seq_tx, '[^{features.PITCHES}]', '', 'g')"
+    cells = """WHEN '0___' THEN 0.85 WHEN '01__' THEN 1.15 WHEN '0_2_' THEN 1.25 WHEN '0__3' THEN 1.45 WHEN '012_' THEN 1.55 WHEN '01_3' THEN 1.65 WHEN '0_23' THEN 1.80 WHEN '0123' THEN 2.10
+      WHEN '1___' THEN 0.70 WHEN '11__' THEN 1.05 WHEN '1_2_' THEN 1.20 WHEN '1__3' THEN 1.40 WHEN '112_' THEN 1.50 WHEN '11_3' THEN 1.60 WHEN '1_23' THEN 1.75 WHEN '1123' THEN 2.05
+      WHEN '2___' THEN 0.50 WHEN '21__' THEN 0.85 WHEN '2_2_' THEN 1.05 WHEN '2__3' THEN 1.25 WHEN '212_' THEN 1.35 WHEN '21_3' THEN 1.45 WHEN '2_23' THEN 1.60 WHEN '2123' THEN 1.90"""
+    pitched = "regexp_replace(pitch_seq_tx, '[^BCFKLMOPSTUVWXI]', '', 'g')"
     kind = lambda members: f"length(regexp_replace({pitched}, '[^{members}]', '', 'g'))"
     seen = [
-        f"sum(length({pitched})) AS pitches", f"sum({kind(features.CALLED_OR_SWINGING)}) AS csw", f"sum({kind(features.WHIFF)}) AS whiffs", f"sum({kind(features.SWING)}) AS swings",
-        n(f"regexp_matches({pitched}, '^[{features.FIRST_STRIKE}]')", "fstrikes"), n(f"length({pitched}) > 0 AND {pa}", "seen_pa"),
+        f"sum(length({pitched})) AS pitches", f"sum({kind('CSM')}) AS csw", f"sum({kind('SM')}) AS whiffs", f"sum({kind('SMFLTOX')}) AS swings",
+        n(f"regexp_matches({pitched}, '^[CSFKTMLOX]')", "fstrikes"), n(f"length({pitched}) > 0 AND {pa}", "seen_pa"),
     ]
     rest = [
         n(pa, "pa"), n("ab_fl = 'T'", "ab"), n("sf_fl = 'T'", "sf"), n("run1_sb_fl = 'T'", "sb"), n("run1_cs_fl = 'T'", "cs"), "sum(event_outs_ct::INT) AS outs", "sum(event_runs_ct::INT) AS runs",
-        *[f"{value(v)} AS {k}" for k, v in features.EXPECTED.items()], f"sum(CASE WHEN {pa} THEN CASE concat(outs_ct, {state}) {cells} END ELSE 0.0 END::DECIMAL(12, 3)) AS li",
+        *[f"{value(v)} AS {k}" for k, v in (("xba", (1.000, 0.685, 0.210, 0.235, 0.020)), ("xslg", (4.000, 0.880, 0.560, 0.260, 0.020)), ("xwoba", (2.100, 0.650, 0.320, 0.220, 0.020)))], f"sum(CASE WHEN {pa} THEN CASE concat(outs_ct, {state}) {cells} END ELSE 0.0 END::DECIMAL(12, 3)) AS li",
     ]
     return f"""{GAMES_SQL}, {PLAYS_SQL}, c AS (SELECT g.id AS game, season, game_date, game_number AS number, {who} AS entity, {', '.join([*coded, *contact, *seen, *rest])}
   FROM e JOIN g ON e.game_id = g.retro_game_id WHERE game_type = 'regular' {only} GROUP BY ALL)"""
@@ -97,7 +99,7 @@ def counts_sql(entity: str) -> str:
 COUNTED = "ubb ibb hbp b1 b2 b3 hr so ab sf sb cs pa runs outs gb ld pu fb hr_hit bip hard barrel x_ab xba xslg xwoba li pitches csw whiffs swings fstrikes seen_pa".split()
 PRIOR_SQL = f"""p AS (SELECT game, entity, season, game_date, {', '.join(f'sum({c}) OVER w AS {c}' for c in COUNTED)} FROM c
   WINDOW w AS (PARTITION BY entity, season ORDER BY game_date, number, game ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
-_WOBA = lambda x: f"({' + '.join(f'{w}::DOUBLE * {x}{n}' for n, w in features.WOBA.items())}) / nullif({x}ab + {x}ubb + {x}sf + {x}hbp, 0)"
+_WOBA = lambda x: f"(0.690::DOUBLE * {x}ubb + 0.722::DOUBLE * {x}hbp + 0.878::DOUBLE * {x}b1 + 1.242::DOUBLE * {x}b2 + 1.569::DOUBLE * {x}b3 + 2.015::DOUBLE * {x}hr) / nullif({x}ab + {x}ubb + {x}sf + {x}hbp, 0)"
 _LEAGUE = ("sb", "cs", "b1", "ubb", "hbp", "ab", "sf", "b2", "b3", "hr")
 BATTING = ("obp", "slg", "iso", "babip", "bb_pct", "k_pct", "woba", "league_woba", "wsb", "re24_proxy")
 

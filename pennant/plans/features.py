@@ -145,9 +145,8 @@ def batting_rates(counts: DataFrame, min_pa: int = 10, min_ab: int = 8, min_bip:
     df = entering(counts, ["ubb", "ibb", "hbp", "b1", "b2", "b3", "hr", "so", "ab", "sf", "sb", "cs", "pa", "runs"])
     hits, bases = _sum("b1", "b2", "b3", "hr"), _p("b1") + 2 * _p("b2") + 3 * _p("b3") + 4 * _p("hr")
     pa, in_play = _sum("ab", "ubb", "ibb", "sf", "hbp"), _p("ab") - _p("so") - _p("hr") + _p("sf")
-    league = windows.prior_of_all(counts, "season", "game_date", {f"l_{n}": n for n in ("sb", "cs", "b1", "ubb", "hbp", "pa", "ab", "sf", "b2", "b3", "hr")})
-    league = league.select("season", "game_date", *[c for c in league.columns if c.startswith("l_")]).distinct()
-    df = df.join(league, ["season", "game_date"])
+    # The league's sums are joined once, by day.
+    df = windows.prior_of_all(df, "season", "game_date", {f"l_{n}": n for n in ("sb", "cs", "b1", "ubb", "hbp", "pa", "ab", "sf", "b2", "b3", "hr")})
     steals = lambda sb, cs: F.coalesce(sb, F.lit(0)) * RUN_SB + F.coalesce(cs, F.lit(0)) * RUN_CS
     chances = F.col("l_b1") + F.col("l_ubb") + F.col("l_hbp")
     rate = F.when(chances > 0, steals(F.col("l_sb"), F.col("l_cs")) / chances)

@@ -188,3 +188,34 @@ def src_attendance(t: Tables) -> DataFrame:
     schema = "struct<records:array<struct<year:bigint,openingsTotal:bigint,attendanceTotal:bigint,attendanceHigh:bigint,gameType:struct<id:string>>>>"
     fields = {"season": "year", "openings_total": "openingsTotal", "attendance_total": "attendanceTotal", "attendance_high": "attendanceHigh", "game_type_id": "gameType.id"}
     return readers.flatten(docs, "body", schema, "records", fields, ["doc"]).drop("_position").withColumn("team_id", F.col("doc").cast("long")).drop("doc")
+
+
+#: Attributes of the box scores made here, by table.
+BOX = {
+    "game": ("game_id", "date"), "linescore": ("away_runs", "home_runs"), "batting": ("ab", "h"), "fielding": ("pos", "po"), "pitching": ("id", "so"),
+    **{one: ("players",) for one in readers.BOX_LISTS.values()},
+}
+
+
+@query("""WITH l AS (SELECT *, concat('G', l_orderkey) AS game_id, CASE WHEN l_linenumber % 2 = 0 THEN '0' ELSE '1' END AS team FROM lineitem)
+SELECT 'game' AS tab, concat('G', o_orderkey) AS game_id, NULL AS team, strftime(o_orderdate, '%Y/%m/%d') AS a, (o_custkey % 9)::VARCHAR AS b FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+UNION ALL SELECT 'batting', game_id, team, (l_quantity::BIGINT % 6)::VARCHAR, (l_partkey % 4)::VARCHAR FROM l
+UNION ALL SELECT 'fielding', game_id, team, (l_suppkey % 9 + 1)::VARCHAR, '1' FROM l UNION ALL SELECT 'fielding', game_id, team, '3', NULL FROM l WHERE l_partkey % 5 = 0
+UNION ALL SELECT 'pitching', game_id, team, concat('p&', l_suppkey), (l_partkey % 7)::VARCHAR FROM l WHERE l_linenumber <= 2
+UNION ALL SELECT 'doubleplay', game_id, NULL, concat('a', l_partkey, ' b'), NULL FROM l WHERE l_partkey % 3 = 0 UNION ALL SELECT 'homerun', game_id, NULL, concat('c', l_partkey), NULL FROM l WHERE l_partkey % 4 = 1""")
+def src_box_score(t: Tables) -> DataFrame:
+    """SRC-05: box scores in XML, one a game and many to a file, as tables of games, batting, fielding, pitching and lists."""
+    path = snapshots.scratch(t.spark, "box")
+    x = t.lineitem.selectExpr(
+        "l_orderkey", "l_linenumber % 2 = 1 as home", "l_linenumber <= 2 as pitches",
+        "concat('<player id=\"b', l_linenumber, '\" lname=\"O&apos;B\"><batting ab=\"', cast(l_quantity as bigint) % 6, '\" h=\"', l_partkey % 4, '\"/><fielding pos=\"', l_suppkey % 9 + 1, '\" po=\"1\"/>', case when l_partkey % 5 = 0 then '<fielding pos=\"3\"/>' else '' end, '</player>') as player",
+        "concat('<pitcher id=\"p&', l_suppkey, '\" so=\"', l_partkey % 7, '\"/>') as pitcher", "case when l_partkey % 3 = 0 then concat('<doubleplay players=\"a', l_partkey, ' b\"/>') else '' end as dp", "case when l_partkey % 4 = 1 then concat('<homerun players=\"c', l_partkey, '\"/>') else '' end as hr",
+    )
+    side = lambda tag, value, who, only="true": f"concat('<{tag} team=\"{who}\">', concat_ws('', collect_list(case when {'home' if who else 'not home'} and {only} then {value} end)), '</{tag}>')"
+    body = ", ".join([side("players", "player", 0), side("players", "player", 1), side("pitching", "pitcher", 0, "pitches"), side("pitching", "pitcher", 1, "pitches"), "'<doubleplays>', concat_ws('', collect_list(dp)), '</doubleplays><homeruns>', concat_ws('', collect_list(hr)), '</homeruns></boxscore>'"])
+    games = x.groupBy("l_orderkey").agg(sql(f"concat({body})", "body")).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    games.selectExpr("concat('<boxscore game_id=\"G', o_orderkey, '\" date=\"', date_format(o_orderdate, 'yyyy/MM/dd'), '\"><linescore away_runs=\"', o_custkey % 9, '\" home_runs=\"1\"/>', body) as value").write.text(path)
+    found = readers.box_tables(t.spark.read.text(path), "value", BOX)
+    none = F.lit(None).cast("string")
+    parts = [("game", none, "date", "linescore_away_runs"), ("batting", F.col("team"), "ab", "h"), ("fielding", F.col("team"), "pos", "po"), ("pitching", F.col("team"), "id", "so"), ("doubleplay", none, "players", None), ("homerun", none, "players", None)]
+    return stacked([found[n].select(F.lit(n).alias("tab"), "game_id", team.alias("team"), F.col(a).alias("a"), (F.col(b) if b else none).alias("b")) for n, team, a, b in parts])

@@ -227,3 +227,37 @@ def xml_lists(spark: SparkSession, path: str, row_tag: str, lists: Mapping[str,
     fields = [f"{k} {v}" for k, v in keys.items()] + [f"{n.split('.')[0]} struct<{n.split('.')[1]}:array<struct<{s}>>>" for n, s in lists.items()]
     rows = xml_rows(spark, path, row_tag, ", ".join(fields))
     return {n.split(".")[0]: rows.select(*keys, F.posexplode(n).alias("position", "_e")).select(*keys, "position", "_e.*") for n in lists}
+
+
+#: The lists of a box score beside its players, container and element.
+BOX_LISTS = {"doubles": "double", "triples": "triple", "homeruns": "homerun", "stolenbases": "stolenbase", "doubleplays": "doubleplay", "tripleplays": "tripleplay", "sacbunts": "sacbunt"}
+PLAYER = ("id", "lname", "fname", "slot", "seq", "pos")
+
+
+def box_tables(documents: DataFrame, column: str, columns: Mapping[str, Sequence[str]], lists: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """Tables of box scores in XML: game (with linescore_ columns), batting, fielding (a player may have several), pitching, and one for each supplementary list.
+
+    A document is any number of <boxscore> elements one after the other, without a
+    root; every element becomes a row before it is parsed. An ampersand that
+    begins no entity is a character. columns names each table's attributes
+    (linescore: those of the line score); all values are text, absent ones null.
+    """
+    lists = dict(lists or BOX_LISTS)
+    text = F.regexp_replace(F.col(column), r"&(?!(?:[A-Za-z]+|#[0-9]+|#x[0-9A-Fa-f]+);)", "&amp;")
+    boxes = documents.select(F.explode(F.split(text, r"(?=<boxscore[\s>])")).alias("_x")).filter(F.col("_x").rlike(r"^<boxscore[\s>]"))
+    record = lambda names: f"struct<{','.join(f'`{n}`:string' for n in names)}>"
+    player = f"struct<{','.join(f'`{n}`:string' for n in PLAYER)},batting:array<{record(columns['batting'])}>,fielding:array<{record(columns['fielding'])}>>"
+    schema = ", ".join(
+        [
+            *[f"`{n}` string" for n in columns["game"]], f"linescore {record(columns['linescore'])}", f"players array<struct<team:string,player:array<{player}>>>",
+            f"pitching array<struct<team:string,pitcher:array<{record(columns['pitching'])}>>>", *[f"{box} struct<{one}:array<{record(columns[one])}>>" for box, one in lists.items()],
+        ]
+    )
+    rows = boxes.select(F.from_xml("_x", schema, {"attributePrefix": "", "rowTag": "boxscore"}).alias("b")).select("b.*")
+    game = rows.select(*columns["game"], *[F.col(f"linescore.{n}").alias(f"linescore_{n}") for n in columns["linescore"]])
+    sides = rows.select("game_id", F.explode("players").alias("s")).select("game_id", "s.team", F.explode("s.player").alias("p"))
+    who = ["game_id", "team", *[F.col(f"p.{n}").alias("start_pos" if n == "pos" else n) for n in PLAYER]]
+    own = lambda kind: sides.select(*who, F.explode(f"p.{kind}").alias("e")).select("game_id", "team", *["start_pos" if n == "pos" else n for n in PLAYER], *[F.col(f"e.{n}") for n in columns[kind]])
+    pitching = rows.select("game_id", F.explode("pitching").alias("s")).select("game_id", "s.team", F.explode("s.pitcher").alias("p")).select("game_id", "team", "p.*")
+    extra = {one: rows.select("game_id", F.explode(f"{box}.{one}").alias("e")).select("game_id", "e.*") for box, one in lists.items()}
+    return {"game": game, "batting": own("batting"), "fielding": own("fielding"), "pitching": pitching, **extra}

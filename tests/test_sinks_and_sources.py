@@ -133,3 +133,18 @@ def test_bad_lines_are_set_apart(spark, tmp_path):
     assert rows(good) == [(1, 2), (5, None)] and rows(good, "id") == [(1,), (5,)] and good.count() == 2
     assert rows(bad, "_corrupt_record") == [("4,n/a",), ("6,7,8",), ("x,3",)] and bad.count() == 3
     assert all(r[0].endswith("a.csv") for r in bad.select("_file").collect())
+
+
+def test_box_tables(spark):
+    """Elements without a root, bare ampersands, several fielding blocks, absent parts."""
+    box = (
+        '<boxscore game_id="A1" date="1900/04/19"><linescore away_runs="3"/><players team="X"><player id="p1" lname="Smith & Co" slot="1" pos="8"><batting ab="4" h="1"/><fielding pos="8" po="2"/><fielding pos="7" po="0"/></player>'
+        '<player id="p2"/></players><pitching team="X"><pitcher id="p9" so="2"/></pitching><homeruns><homerun players="p1"/><homerun players="p2"/></homeruns></boxscore>\n<boxscore game_id="B2"></boxscore>'
+    )
+    columns = {"game": ("game_id", "date"), "linescore": ("away_runs",), "batting": ("ab", "h"), "fielding": ("pos", "po"), "pitching": ("id", "so"), **{one: ("players",) for one in readers.BOX_LISTS.values()}}
+    tables = readers.box_tables(spark.createDataFrame([(box,), (None,), ("no box",)], "x string"), "x", columns)
+    got = {n: sorted((tuple(r) for r in df.collect()), key=repr) for n, df in tables.items()}
+    assert got["game"] == [("A1", "1900/04/19", "3"), ("B2", None, None)]
+    assert got["batting"] == [("A1", "X", "p1", "Smith & Co", None, "1", None, "8", "4", "1")]
+    assert [r[-2:] for r in got["fielding"]] == [("7", "0"), ("8", "2")] and got["pitching"] == [("A1", "X", "p9", "2")]
+    assert got["homerun"] == [("A1", "p1"), ("A1", "p2")] and got["double"] == got["sacbunt"] == [] and len(tables) == 11
