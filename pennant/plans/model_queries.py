@@ -8,8 +8,21 @@ from pyspark.sql import functions as F
 
 from pennant.operators import learn, linear, sequence, trees
 from pennant.operators.sets import stacked
+from pennant.plans import features, fixtures
 from pennant.plans.join_queries import games
 from pennant.plans.registry import Tables, query
+from pennant.streaming import snapshots
+
+
+def written(t: Tables):
+    """A function that writes a frame in the shared folder and reads it back."""
+
+    def write(df: DataFrame, label: str) -> DataFrame:
+        path = snapshots.scratch(t.spark, label)
+        df.write.parquet(path)
+        return t.spark.read.schema(df.schema).parquet(path)
+
+    return write
 
 
 def scored(t: Tables) -> DataFrame:
@@ -257,4 +270,27 @@ def seq_elo(t: Tables) -> DataFrame:
         F.col("l_orderkey").alias("game"), F.col("n_regionkey").cast("string").alias("league"), F.year("o_orderdate").alias("season"), F.to_date("o_orderdate").alias("day"), F.lit(0).cast("long").alias("number"),
         F.col("home").cast("long").alias("home"), F.col("away").cast("long").alias("away"), F.pmod(F.floor("o_totalprice"), F.lit(9)).cast("long").alias("home_score"), (F.col("n") % 8).cast("long").alias("away_score"),
     )
-    return sequence.elo(rows, lambda df, label: df.checkpoint() if t.spark.sparkContext.getCheckpointDir() else df.persist())
+    write = written(t)
+    return sequence.elo(write(rows, "games"), write)
+
+
+@query()
+def ml_opponents(t: Tables) -> DataFrame:
+    """ML-01: boosted trees on the form of both teams, learnt up to 1999 and judged on later games beside log5, Elo and the home rate; promoted if they beat every one of them by .002."""
+    write, g = written(t), fixtures.games(t)
+    rows = write(features.export_view(g, features.team_form(g), ["win_pct", "pythagenpat", "runs_for", "runs_against"]), "export")
+    rows = rows.withColumns({"y": F.col("home_won").cast("int"), "part": (F.col("season") > 1999).cast("int")})
+    played = g.filter("game_type = 'regular'").select(
+        F.col("id").cast("long").alias("game"), F.lit("all").alias("league"), F.col("season").cast("int").alias("season"), F.col("game_date").alias("day"), F.col("game_number").cast("long").alias("number"),
+        F.col("home_team_id").cast("long").alias("home"), F.col("away_team_id").cast("long").alias("away"), F.col("home_score").cast("long").alias("home_score"), F.col("away_score").cast("long").alias("away_score"),
+    )
+    elo = sequence.elo(write(played, "played"), write).select(F.col("game").alias("game_id"), (1 / (1 + F.pow(F.lit(10.0), -(F.col("home_elo") + sequence.HOME_EDGE - F.col("away_elo")) / 400))).alias("elo"))
+    names = [f"{side}_{v}" for side in ("home", "away") for v in ("win_pct", "pythagenpat", "runs_for", "runs_against")]
+    gbt = learn.walk_forward(rows, "part", names, "y", learn.CLASSIFIERS["gbt"], ["game_id"]).select("game_id", F.col("p").alias("gbt"))
+    share = rows.filter("part = 0").agg(F.avg("y").alias("home_rate"))
+    late = rows.filter("part = 1").join(gbt, "game_id").join(elo, "game_id").crossJoin(F.broadcast(share)).withColumn("log5", F.coalesce(sequence.log5(F.col("home_win_pct"), F.col("away_win_pct")), F.lit(0.5)))
+    models = ("gbt", "log5", "elo", "home_rate")
+    found = learn.classification_metrics(late.select("y", F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(n).alias("p")) for n in models])).alias("m")).select("y", "m.*"), ["model"], "y", "p").collect()
+    loss = {r["model"]: r["log_loss"] for r in found}
+    won = learn.promoted(loss["gbt"], [loss[n] for n in models[1:]])
+    return t.spark.createDataFrame([(*r, won if r["model"] == "gbt" else None) for r in found], "model string, n long, log_loss double, brier double, accuracy double, promoted boolean")
