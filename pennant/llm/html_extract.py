@@ -271,7 +271,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def templates(pages: DataFrame) -> DataFrame:
     """pages: host, html. Tokens of each host's template: host, path, mark, class_id, pages, all, and its characters of text in place (size) and set apart (aside)."""
-    different = pages.select("host", "html").mapInArrow(_tokens, TOKENS).groupBy("host", "key").agg(F.min("tokens").alias("tokens"))
+    # Written, as both the hosts' totals and the vectors read it, and a page is parsed once for them.
+    different = materialize(pages.select("host", "html").mapInArrow(_tokens, TOKENS).groupBy("host", "key").agg(F.min("tokens").alias("tokens")), "tokens")
     tokens = different.select("host", F.inline("tokens"))
     vectors = tokens.groupBy("host", "path", "mark").agg(F.expr("bit_xor(fp)").alias("fp"), F.count("*").alias("pages"), F.sum("times").alias("times"), F.sum("size").alias("size"), F.sum("aside").alias("aside"))
     total = different.groupBy("host").agg(F.count("*").alias("all"))
