@@ -1,4 +1,13 @@
-"""The corpus pipeline: documents pass through stages, each an operator of pennant.llm."""
+"""The corpus pipeline: documents pass through stages, each an operator of pennant.llm.
+
+Every stage takes all rows that the one before kept, and all but the last return
+the columns of documents, whatever they are named. Null and empty texts pass the
+filters as texts of their own (one of them stays in exact dedup); rows without a
+doc_id, or with one that comes twice, are rows like others. Without labels of
+both kinds no document is toxic; without items none is contaminated; without
+documents every stage returns none. Long texts are scored, compared and searched
+whole.
+"""
 
 from __future__ import annotations
 
