@@ -157,7 +157,7 @@ def simulate_games(spark: SparkSession, cells: DataFrame, n: int, start: str, en
     return spark.range(0, n, 1, partitions).mapInArrow(play, "game long, home_runs long, away_runs long, innings long")
 
 
-def conservation(plays: DataFrame, by: str) -> DataFrame:
+def runners_kept(plays: DataFrame, by: str) -> DataFrame:
     """by, n, broken, runs, outs: plays whose runners before, with the batter where he ends his turn, aren't those on base, out and in after it. Needs start_bases_cd, end_bases_cd (bits), bat_event codes, outs and runs of each play."""
     batter = F.col("event_cd").isin(2, 3, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23).cast("int")
     before, after = F.bit_count("start_bases_cd") + batter, F.bit_count("end_bases_cd") + F.col("event_outs_ct") + F.col("event_runs_ct")

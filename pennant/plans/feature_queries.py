@@ -227,9 +227,10 @@ def fea_starter_to_come(t: Tables) -> DataFrame:
     named = games_so_far(t).filter("home_score is null and id % 11 <> 0").select(F.col("id").alias("game"), F.explode(F.array(side("home", 0), side("away", 3))).alias("s")).select("game", "s.*")
     first = named.select("game", "side", F.concat(F.lit("P"), (F.col("game") + F.col("k") + 7) % 40).alias("pitcher"), F.lit("2001-01-01").alias("captured_at"))
     then = named.select("game", "side", F.when(F.col("game") % 5 != 0, F.concat(F.lit("P"), (F.col("game") + F.col("k")) % 40)).alias("pitcher"), F.lit("2001-02-01").alias("captured_at"))
-    born = plays(t).select(F.col("resp_pit_id").alias("pitcher")).distinct().withColumn("_k", F.substring("pitcher", 2, 9).cast("int"))
+    said = first.unionByName(then)
+    born = said.filter("pitcher is not null").select("pitcher").distinct().withColumn("_k", F.substring("pitcher", 2, 9).cast("int"))
     born = born.select("pitcher", F.when(F.col("_k") % 7 != 0, F.date_add(F.lit("1970-01-01").cast("date"), F.col("_k") * 97)).alias("birth_date"))
-    rows = upcoming.starters_to_come(games_so_far(t), first.unionByName(then), plays(t), born)
+    rows = upcoming.starters_to_come(games_so_far(t), said, plays(t), born)
     return rounded(rows, "k_pct", "bb_pct", "fip", "hr_pct", "age").select("game", "side", F.col("entity").alias("pitcher"), "k_pct", "bb_pct", "fip", "hr_pct", F.col("rest_days").cast("long").alias("rest_days"), "outs_7d", "age")
 
 

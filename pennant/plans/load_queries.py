@@ -497,4 +497,4 @@ def src_play_columns(t: Tables) -> DataFrame:
 sum(event_runs_ct)::BIGINT AS runs, sum(event_outs_ct)::BIGINT AS outs FROM ({ORACLE_SQL['src_play_columns']}) GROUP BY 1""")
 def seq_conservation(t: Tables) -> DataFrame:
     """SEQ-03: of the transitions of all plays, those that lose or make a runner: who was on base or at bat is after the play on base, out or in."""
-    return sequence.conservation(src_play_columns(t), "event_cd")
+    return sequence.runners_kept(src_play_columns(t), "event_cd")
