@@ -141,7 +141,7 @@ def in_batches(rows: DataFrame, key: str, size: int, path: str, *columns: Column
     return document(rows, F.floor(F.col(key) / size), path, *columns)
 
 
-@query("""SELECT s_suppkey AS id, s_name AS name, concat('city', s_nationkey) AS location_city, s_nationkey::BIGINT AS location_nation, CASE WHEN s_suppkey % 3 > 0 THEN 300.0 + s_suppkey % 50 END AS field_info_left_line,
+@query("""SELECT s_suppkey AS id, s_name AS name, concat('city', s_nationkey) AS location_city, s_nationkey::BIGINT AS location_nation, CASE WHEN s_suppkey % 3 > 0 THEN (300.0 + s_suppkey % 50)::DOUBLE END AS field_info_left_line,
 CASE WHEN s_suppkey % 2 = 0 THEN 'Grass' END AS field_info_turf_type, concat('tz', s_nationkey % 4) AS time_zone_id FROM supplier""")
 def src_venues(t: Tables) -> DataFrame:
     """SRC-21e: a catalog of places asked for in batches of ids, with nested location, field and time zone."""
