@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pennant.sources.files import Files
+
 
 def clean_names(names: Sequence[str]) -> list[str]:
     """Lower case, other characters than a-z, 0-9 and _ become _, a leading digit gets n; empty or equal names are refused."""
@@ -104,7 +106,7 @@ def update_from(games: DataFrame, tall: DataFrame, game: str, entity: str, sides
 
 
 def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a table as its next version and return that version's path."""
+    """Write a table as its next version and return that version's path. Numbers are claimed before they are written, so two writers never share one."""
     spark = df.sparkSession
     try:
         last = spark.read.text(f"{path}/_versions").agg(F.max(F.col("value").cast("int"))).first()[0] or 0
@@ -112,10 +114,13 @@ def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
         if "PATH_NOT_FOUND" not in str(e):
             raise
         last = 0
-    to = f"{path}/v{last + 1}"
+    number, own = last + 1, Files(spark, path)
+    while not own.create(f"_claims/{number}.json", {}):
+        number += 1
+    to = f"{path}/v{number}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(to)
-    spark.createDataFrame([(str(last + 1),)], "value string").coalesce(1).write.mode("append").text(f"{path}/_versions")
+    spark.createDataFrame([(str(number),)], "value string").coalesce(1).write.mode("append").text(f"{path}/_versions")
     return to
 
 

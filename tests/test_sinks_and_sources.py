@@ -148,3 +148,19 @@ def test_box_tables(spark):
     assert got["batting"] == [("A1", "X", "p1", "Smith & Co", None, "1", None, "8", "4", "1")]
     assert [r[-2:] for r in got["fielding"]] == [("7", "0"), ("8", "2")] and got["pitching"] == [("A1", "X", "p9", "2")]
     assert got["homerun"] == [("A1", "p1"), ("A1", "p2")] and got["double"] == got["sacbunt"] == [] and len(tables) == 11
+
+
+def test_two_writers_take_two_versions(spark, tmp_path, monkeypatch):
+    """A writer that another one overtakes writes a version of its own."""
+    path, inner = str(tmp_path / "t"), []
+    create = sinks.Files.create
+
+    def overtaken(self, name, value):
+        if not inner:
+            inner.append(1)
+            sinks.write_version(spark.createDataFrame([("other",)], "v string"), path)
+        return create(self, name, value)
+
+    monkeypatch.setattr(sinks.Files, "create", overtaken)
+    assert sinks.write_version(spark.createDataFrame([("one",)], "v string"), path).endswith("/v2")
+    assert {spark.read.parquet(f"{path}/v{n}").first().v for n in (1, 2)} == {"one", "other"} and sinks.read_version(spark, path).first().v == "one"
