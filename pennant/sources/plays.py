@@ -136,7 +136,7 @@ def grammar(df: DataFrame, event: str = "event") -> DataFrame:
     return df.withColumns(listed).drop("_head", "_runs", "_basic", "_main", "_also", "_moves", "_steps", "_errors", "_put", "_helped", "_mods")
 
 
-STATE = "struct<b1:string,b2:string,b3:string,p1:string,p2:string,p3:string,outs:int,runs:int,rows:array<struct<line:int,b1:string,b2:string,b3:string,p1:string,p2:string,p3:string,outs:int,runs:int,came:int,e1:string,e2:string,e3:string>>>"
+STATE = "struct<b1:string,b2:string,b3:string,p1:string,p2:string,p3:string,outs:int,runs:int,rows:array<struct<line:long,b1:string,b2:string,b3:string,p1:string,p2:string,p3:string,outs:int,runs:int,came:int,e1:string,e2:string,e3:string>>>"
 
 
 def _walk(steps: Column) -> Column:
@@ -169,7 +169,7 @@ def _walk(steps: Column) -> Column:
 
 def play_rows(records: DataFrame) -> DataFrame:
     """records: game_id, line, kind and c1.. as event_records gives them. One row per play, with typed columns under the names that such files are known by."""
-    r = records.filter(F.col("kind").isin("start", "sub", "play", "radj") & F.col("game_id").isNotNull()).withColumn("line", F.col("line").cast("int"))
+    r = records.filter(F.col("kind").isin("start", "sub", "play", "radj") & F.col("game_id").isNotNull()).withColumn("line", F.col("line").cast("long"))
     play, joins = F.col("kind") == "play", F.col("kind").isin("start", "sub")
     r = r.select(
         "game_id", "line", "kind", F.when(play, F.col("c1").try_cast("int")).alias("inning"), F.when(play, F.col("c2").try_cast("int")).when(joins, F.col("c3").try_cast("int")).alias("side"),

@@ -9,7 +9,10 @@ import io
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
@@ -76,15 +79,51 @@ def many_files(spark: SparkSession, pattern: str, fields: Sequence[str]) -> Data
     return csv_without_header(spark, pattern, fields).withColumn("_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
 
 
+#: What stands before every game of an event file but the first.
+GAME_START = "\nid,"
+
+
 def event_records(spark: SparkSession, pattern: str) -> DataFrame:
-    """Record-typed event files: game, line, kind and fields, games apart by their id records."""
-    text = spark.read.text(pattern, wholetext=True)
-    lines = text.select(F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("line", "row"), F.input_file_name().alias("_file"))
-    lines = lines.filter("row <> ''").select("_file", "line", F.from_csv(F.col("row"), ", ".join(f"c{k} string" for k in range(12))).alias("c")).select("_file", "line", "c.*")
-    from pyspark.sql import Window
+    """Record-typed event files: _file, line, kind, fields c1.. and game_id, games apart by their id records.
 
-    w = Window.partitionBy("_file").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return lines.withColumn("game_id", F.last(F.when(F.col("c0") == "id", F.col("c1")), ignorenulls=True).over(w)).withColumnRenamed("c0", "kind")
+    A file is read in parts that end where an id record begins, so no row holds
+    more than one game and many tasks share a large file. line grows along a file;
+    in its first split it is the number of the line. An id record without an id
+    begins a game without one.
+    """
+    text = spark.read.text(pattern, lineSep=GAME_START).select(F.input_file_name().alias("_file"), F.input_file_block_start().alias("block"), "value")
+    games = text.mapInArrow(_games, "_file string, first long, value string").withColumn("value", F.regexp_replace("value", "\r", ""))
+    record = lambda c: F.from_csv(c, ", ".join(f"c{k} string" for k in range(12)))
+    games = games.withColumn("_id", record(F.substring_index("value", "\n", 1)))
+    games = games.select("_file", "first", F.when(F.col("_id.c0") == "id", F.col("_id.c1")).alias("game_id"), "value")
+    lines = games.select("_file", "first", "game_id", F.posexplode(F.split("value", "\n")).alias("at", "row")).filter("row <> ''")
+    lines = lines.select("_file", (F.col("first") + F.col("at")).alias("line"), record(F.col("row")).alias("c"), "game_id")
+    return lines.select("_file", "line", F.col("c.c0").alias("kind"), *[f"c.c{k}" for k in range(1, 12)], "game_id")
+
+
+def _games(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of files (_file, block: where their split begins, value) with the id record's name that cutting took, and first: numbers of their first lines, 256 apart for each byte before the split."""
+    held, upto = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        files, block = batch.column(0).dictionary_encode(), batch.column(1).to_numpy()
+        name = files.indices.to_numpy()
+        here = [(files.dictionary[int(name[k])].as_py(), int(block[k])) for k in (0, -1)]
+        fresh = np.concatenate([[here[0] != held], (name[1:] != name[:-1]) | (block[1:] != block[:-1])])
+        cut = pc.if_else(pa.array(fresh & (block == 0)), batch.column(2), pc.binary_join_element_wise(GAME_START[1:], batch.column(2), ""))
+        # A quoted id record begins a game, too.
+        parts = pc.split_pattern(cut, '\n"id"')
+        row, value = pc.list_parent_indices(parts).to_numpy(), parts.flatten()
+        inner = np.concatenate([[False], row[1:] == row[:-1]])
+        value = pc.if_else(pa.array(inner), pc.binary_join_element_wise('"id"', value, ""), value)
+        lines = pc.count_substring(value, "\n").to_numpy().astype(np.int64) + 1
+        before = np.cumsum(lines) - lines
+        begins = np.flatnonzero(fresh[row] & ~inner)
+        of = np.searchsorted(begins, np.arange(len(row)), side="right")
+        first = before - np.concatenate([[-upto], before[begins]])[of]
+        held, upto = here[1], int(first[-1] + lines[-1])
+        yield pa.RecordBatch.from_arrays([pc.take(batch.column(0), pa.array(row)), pa.array((block[row] << 8) + first), value], names=["_file", "first", "value"])
 
 
 def plays_of(records: DataFrame) -> DataFrame:

@@ -95,6 +95,25 @@ def test_feeds_and_event_files(spark, tmp_path):
     assert rows(plays, "game_id", "play", "event") == [("G1", 1, "S8"), ("G1", 2, "K"), ("G2", 1, "NP")]
 
 
+def test_event_files_are_read_in_parts(spark, tmp_path):
+    """No row holds a file, whatever its splits; texts before the first id, other line ends, quoted ids and a game in two places included."""
+    text = "com,before\nid,G1\nplay,1,0,a,00,X,S8\n\nplay,1,0,b,00,X,K\nid,G2\r\nplay,1,1,c,00,X,W\r\n\"id\",G3\nplay,1,0,d,00,X,W\nid,G1\nplay,2,0,e,00,X,HR\n"
+    more = "".join(f"id,H{k}\nversion,2\n" + "".join(f"play,1,0,p{k}-{j},00,X,K\n" for j in range(k % 7)) for k in range(40))
+    (tmp_path / "a.EVA").write_text(text + more, newline="")
+    (tmp_path / "b.EVA").write_text("id,B1\nplay,1,0,z,00,X,S8", newline="")
+    want = [("G1", 1, "a"), ("G1", 2, "b"), ("G1", 3, "e"), ("G2", 1, "c"), ("G3", 1, "d"), ("B1", 1, "z")] + [(f"H{k}", j + 1, f"p{k}-{j}") for k in range(40) for j in range(k % 7)]
+    name, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "97", "31", "7"):
+            spark.conf.set(name, size)
+            records = readers.event_records(spark, str(tmp_path))
+            assert rows(readers.plays_of(records), "game_id", "play", "batter") == sorted(want, key=repr), size
+            assert rows(records.filter("game_id IS NULL"), "kind", "c1") == [("com", "before")]
+            assert size != "128m" or [r.line for r in records.filter("_file LIKE '%a.EVA'").orderBy("line").limit(5).collect()] == [0, 1, 2, 4, 5]
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_verified_artifacts(spark, tmp_path):
     path = tmp_path / "a.ndjson.gz"
     path.write_bytes(gzip.compress(b'{"k":1}\n{"k":2}\n'))
