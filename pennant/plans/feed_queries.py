@@ -215,7 +215,7 @@ def src_box_score(t: Tables) -> DataFrame:
     body = ", ".join([side("players", "player", 0), side("players", "player", 1), side("pitching", "pitcher", 0, "pitches"), side("pitching", "pitcher", 1, "pitches"), "'<doubleplays>', concat_ws('', collect_list(dp)), '</doubleplays><homeruns>', concat_ws('', collect_list(hr)), '</homeruns></boxscore>'"])
     games = x.groupBy("l_orderkey").agg(sql(f"concat({body})", "body")).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     games.selectExpr("concat('<boxscore game_id=\"G', o_orderkey, '\" date=\"', date_format(o_orderdate, 'yyyy/MM/dd'), '\"><linescore away_runs=\"', o_custkey % 9, '\" home_runs=\"1\"/>', body) as value").write.text(path)
-    found = readers.box_tables(t.spark.read.text(path), "value", BOX)
+    found = readers.box_tables(t.spark.read.text(path), "value", BOX, keep=lambda rows: snapshots.kept(rows, "boxes"))
     none = F.lit(None).cast("string")
     parts = [("game", none, "date", "linescore_away_runs"), ("batting", F.col("team"), "ab", "h"), ("fielding", F.col("team"), "pos", "po"), ("pitching", F.col("team"), "id", "so"), ("doubleplay", none, "players", None), ("homerun", none, "players", None)]
     return stacked([found[n].select(F.lit(n).alias("tab"), "game_id", team.alias("team"), F.col(a).alias("a"), (F.col(b) if b else none).alias("b")) for n, team, a, b in parts])

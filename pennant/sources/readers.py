@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -273,13 +273,15 @@ BOX_LISTS = {"doubles": "double", "triples": "triple", "homeruns": "homerun", "s
 PLAYER = ("id", "lname", "fname", "slot", "seq", "pos")
 
 
-def box_tables(documents: DataFrame, column: str, columns: Mapping[str, Sequence[str]], lists: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+def box_tables(documents: DataFrame, column: str, columns: Mapping[str, Sequence[str]], lists: Mapping[str, str] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """Tables of box scores in XML: game (with linescore_ columns), batting, fielding (a player may have several), pitching, and one for each supplementary list.
 
     A document is any number of <boxscore> elements one after the other, without a
     root; every element becomes a row before it is parsed. An ampersand that
     begins no entity is a character. columns names each table's attributes
     (linescore: those of the line score); all values are text, absent ones null.
+    keep writes the parsed rows and reads them back: without it every table that is
+    used parses all documents anew.
     """
     lists = dict(lists or BOX_LISTS)
     text = F.regexp_replace(F.col(column), r"&(?!(?:[A-Za-z]+|#[0-9]+|#x[0-9A-Fa-f]+);)", "&amp;")
@@ -293,6 +295,7 @@ def box_tables(documents: DataFrame, column: str, columns: Mapping[str, Sequence
         ]
     )
     rows = boxes.select(F.from_xml("_x", schema, {"attributePrefix": "", "rowTag": "boxscore"}).alias("b")).select("b.*")
+    rows = keep(rows) if keep else rows
     game = rows.select(*columns["game"], *[F.col(f"linescore.{n}").alias(f"linescore_{n}") for n in columns["linescore"]])
     sides = rows.select("game_id", F.explode("players").alias("s")).select("game_id", "s.team", F.explode("s.player").alias("p"))
     who = ["game_id", "team", *[F.col(f"p.{n}").alias("start_pos" if n == "pos" else n) for n in PLAYER]]

@@ -24,6 +24,13 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{base}/pennant-{label}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """df, written once in a new shared folder and read back from there."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 8) -> DataFrame:
     """Stream of the Parquet files that arrive in a folder."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)

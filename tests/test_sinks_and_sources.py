@@ -5,6 +5,7 @@ import zipfile
 import pytest
 
 from pennant.functions import clean
+from pennant.plans.registry import QUERIES
 from pennant.sources import readers, sinks
 
 
@@ -169,6 +170,12 @@ def test_box_tables(spark):
     assert got["homerun"] == [("A1", "p1"), ("A1", "p2")] and got["double"] == got["sacbunt"] == [] and len(tables) == 11
 
 
+def test_box_scores_are_parsed_once(spark, sf):
+    """All tables of the box scores read rows that are parsed already."""
+    plan = QUERIES["src_box_score"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_xml" not in plan and "XmlToStructs" not in plan
+
+
 def test_two_writers_take_two_versions(spark, tmp_path, monkeypatch):
     """A writer that another one overtakes writes a version of its own."""
     path, inner = str(tmp_path / "t"), []
