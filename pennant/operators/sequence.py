@@ -30,12 +30,10 @@ def rate_game(home: float, away: float, home_score: int, away_score: int) -> tup
     return home + move, away - move
 
 
-def _walk(key: tuple, games: pa.Table, ratings: pa.Table) -> Iterator[pa.Table] | pa.Table:
-    """One league's season in order, from the ratings before it."""
-    held = dict(zip(ratings.column("team").to_pylist(), ratings.column("rating").to_pylist(), strict=True))
-    fresh: set = set()
-    rows = games.sort_by([("day", "ascending"), ("number", "ascending"), ("game", "ascending")]).to_pylist()
-    out = {c: [] for c in ("game", "home_elo", "away_elo", "team", "rating")}
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leagues one after the other, each with its ratings so far and then its season in order; what is held is one league's ratings."""
+    league, held, fresh = None, {}, set()
+    names = ("league", "game", "home_elo", "away_elo", "team", "rating")
 
     def now(team):
         # A team moves towards the mean when it first plays in a season.
@@ -44,31 +42,47 @@ def _walk(key: tuple, games: pa.Table, ratings: pa.Table) -> Iterator[pa.Table]
             fresh.add(team)
         return held[team]
 
-    for r in rows:
-        home, away = now(r["home"]), now(r["away"])
-        for c, v in zip(out, (r["game"], home, away, None, None), strict=True):
-            out[c].append(v)
-        if r["home_score"] is not None and r["away_score"] is not None and r["home_score"] != r["away_score"]:
-            held[r["home"]], held[r["away"]] = rate_game(home, away, r["home_score"], r["away_score"])
-    for team, rating in sorted(held.items()):
-        for c, v in zip(out, (None, None, None, team, rating), strict=True):
-            out[c].append(v)
-    return pa.table({"league": pa.array([key[0].as_py()] * len(out["game"]), pa.string()), **{c: pa.array(v, pa.float64() if c.endswith("elo") or c == "rating" else pa.int64()) for c, v in out.items()}})
+    def left(league):
+        return [(league[0], None, None, None, team, rating) for team, rating in sorted(held.items())] if league else []
+
+    def as_batch(rows):
+        kinds = (pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], names=names)
+
+    for batch in batches:
+        out = []
+        for name, team, rating, game, home_team, away_team, home_score, away_score in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if league != (name,):
+                out += left(league)
+                league, held, fresh = (name,), {}, set()
+            if game is None:
+                held[team] = rating
+                continue
+            home, away = now(home_team), now(away_team)
+            out.append((name, game, home, away, None, None))
+            if home_score is not None and away_score is not None and home_score != away_score:
+                held[home_team], held[away_team] = rate_game(home, away, home_score, away_score)
+        yield as_batch(out)
+    yield as_batch(left(league))
 
 
 def elo(games: DataFrame, materialize) -> DataFrame:
     """games: game, league, season, day, number, home, away, home_score, away_score. Ratings before each game.
 
     Ratings depend on all games before, so seasons follow each other; within one
-    a task walks a season of one league, which is what bounds it. `materialize`
-    writes a frame between seasons.
+    a task walks a season of one league in batches of its sorted rows, so time
+    grows with a league's season but memory doesn't. `materialize` writes a frame
+    between seasons.
     """
     spark = games.sparkSession
     ratings = spark.createDataFrame([], "league string, team long, rating double")
     done = None
     for row in games.select("season").distinct().orderBy("season").collect():
         season = games.filter(F.col("season") == row["season"]).select("game", "league", "day", "number", "home", "away", "home_score", "away_score")
-        walked = season.groupBy("league").cogroup(ratings.groupBy("league")).applyInArrow(_walk, "league string, game long, home_elo double, away_elo double, team long, rating double")
+        rows = ratings.unionByName(season, allowMissingColumns=True).repartition("league")
+        order = [F.col("game").isNotNull(), *[F.col(c).asc_nulls_last() for c in ("day", "number", "game")]]
+        rows = rows.sortWithinPartitions("league", *order).select("league", "team", "rating", "game", "home", "away", "home_score", "away_score")
+        walked = rows.mapInArrow(_walk, "league string, game long, home_elo double, away_elo double, team long, rating double")
         walked = materialize(walked, "elo")
         ratings = walked.filter("team is not null").select("league", "team", "rating")
         part = walked.filter("game is not null").select("game", "home_elo", "away_elo")

@@ -111,3 +111,29 @@ def test_one_champion_a_model(spark):
     df = spark.createDataFrame(runs, "name string, version int, loss double, base double")
     got = {(r.name, r.version): r.status for r in learn.promotions(df, ["name"], "version", "loss", "base").collect()}
     assert got == {("a", 1): "candidate", ("a", 2): "retired", ("a", 3): "candidate", ("a", 4): "champion", ("a", 5): "candidate", ("b", 1): "champion", ("c", 1): "candidate", ("d", 2): "champion", ("d", 1): "candidate"}
+
+
+def test_a_season_is_walked_in_batches(spark):
+    """Ratings don't depend on how many rows of a season reach the walk at once; leagues without a name and games without a day included."""
+    games = [(k, None if k % 3 == 0 else f"L{k % 3}", 1990 + k // 40, None if k % 11 == 0 else k % 13, k % 2, k % 4, (k + 1 + k % 3) % 4, k % 5 if k % 7 else None, k % 3) for k in range(80)]
+    df = spark.createDataFrame(games, "game long, league string, season int, day int, number long, home long, away long, home_score long, away_score long")
+    want, held = {}, {}
+    for season in (1990, 1991):
+        fresh = set()
+        for g in sorted((g for g in games if g[2] == season), key=lambda g: (g[3] is None, g[3] or 0, g[4], g[0])):
+            for side in (g[5], g[6]):
+                if (g[1], side) not in fresh:
+                    fresh.add((g[1], side))
+                    held[g[1], side] = held[g[1], side] + sequence.REVERT * (sequence.START - held[g[1], side]) if (g[1], side) in held else sequence.START
+            home, away = held[g[1], g[5]], held[g[1], g[6]]
+            want[g[0]] = (home, away)
+            if g[7] is not None and g[7] != g[8]:
+                held[g[1], g[5]], held[g[1], g[6]] = sequence.rate_game(home, away, g[7], g[8])
+    name, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("10000", "3"):
+            spark.conf.set(name, size)
+            found = {r.game: (r.home_elo, r.away_elo) for r in sequence.elo(df, lambda x, _: x.localCheckpoint()).collect()}
+            assert found == want
+    finally:
+        spark.conf.set(name, before)
