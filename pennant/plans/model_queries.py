@@ -16,13 +16,7 @@ from pennant.streaming import snapshots
 
 def written(t: Tables):
     """A function that writes a frame in the shared folder and reads it back."""
-
-    def write(df: DataFrame, label: str) -> DataFrame:
-        path = snapshots.scratch(t.spark, label)
-        df.write.parquet(path)
-        return t.spark.read.schema(df.schema).parquet(path)
-
-    return write
+    return snapshots.kept
 
 
 def scored(t: Tables) -> DataFrame:
@@ -160,15 +154,15 @@ def ml_stability(t: Tables) -> DataFrame:
 @query()
 def ml_walk_forward(t: Tables) -> DataFrame:
     """ML-05, ML-06, ML-07: models of earlier seasons on each season, with baselines."""
-    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.year("o_orderdate").alias("season"), "c_acctbal", "c_nationkey", F.month("o_orderdate").alias("month"), (F.col("o_totalprice") > 200000).cast("int").alias("y"))
-    found = learn.walk_forward(o, "season", ["c_acctbal", "c_nationkey", "month"], "y", learn.CLASSIFIERS["logistic"], ["o_orderkey"], first=4)
+    found = learn.walk_forward(orders_of_customers(t), "season", ["c_acctbal", "c_nationkey", "month"], "y", learn.CLASSIFIERS["logistic"], ["o_orderkey"], first=4)
     return learn.classification_metrics(learn.baselines(found, "season", "y"), ["season"], "y", "p")
 
 
 def orders_of_customers(t: Tables) -> DataFrame:
-    """Orders with what is known of their customer before."""
+    """Orders with what is known of their customer before, joined once: a model passes over its rows many times, and a join in each pass would send the customers to the driver each time."""
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return o.select("o_orderkey", "o_orderdate", "o_totalprice", F.year("o_orderdate").alias("season"), "c_acctbal", "c_nationkey", F.month("o_orderdate").alias("month"), (F.col("o_totalprice") > 200000).cast("int").alias("y"))
+    rows = o.select("o_orderkey", "o_orderdate", "o_totalprice", F.year("o_orderdate").alias("season"), "c_acctbal", "c_nationkey", F.month("o_orderdate").alias("month"), (F.col("o_totalprice") > 200000).cast("int").alias("y"))
+    return snapshots.kept(rows, "orders")
 
 
 @query()

@@ -137,3 +137,11 @@ def test_a_season_is_walked_in_batches(spark):
             assert found == want
     finally:
         spark.conf.set(name, before)
+
+
+def test_models_join_their_rows_once(spark, sf):
+    """Rows that a model passes over many times are read, not joined."""
+    from pennant.plans import model_queries
+    from pennant.plans.registry import Tables
+
+    assert "Join" not in model_queries.orders_of_customers(Tables(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
