@@ -60,45 +60,50 @@ class _Changes(StatefulProcessor):
         self.early = handle.getListState("early", self.kept)
         self.last = handle.getValueState("last", self.last_type)
 
-    def _changed(self, rows: list[tuple], now: int) -> pd.DataFrame:
-        """Of final rows those that change the value; the state after them."""
-        held, out = self.last.get() if self.last.exists() else None, []
+    def _changed(self, rows: list[tuple], now: int) -> Iterator[pd.DataFrame]:
+        """Of final rows those that change the value, if any; the state after them. Every call on the state is a round trip, every frame costs about as much."""
+        if not rows:
+            return
+        held, out = self.last.get(), []
         for r in sorted(rows, key=lambda r: [(r[c] is not None, r[c]) for c in self.order]):
             if held is None or r[self.value] != held[0]:
                 out.append(r)
             held = (r[self.value], max(r[self.at], held[1]) if held else r[self.at])
-        if rows:
-            self.last.update(held)
-            if self.ttl_ms is not None:
-                self.handle.registerTimer(max(held[1] // 1000 + self.ttl_ms, now + 1))
-        frame = pd.DataFrame(out, columns=self.schema.names)
-        at = self.schema.names[self.at]
-        frame[at] = pd.to_datetime(frame[at].astype("int64"), unit="us")
-        return frame
+        self.last.update(held)
+        if self.ttl_ms is not None:
+            self.handle.registerTimer(max(held[1] // 1000 + self.ttl_ms, now + 1))
+        if out:
+            frame = pd.DataFrame(out, columns=self.schema.names)
+            at = self.schema.names[self.at]
+            frame[at] = pd.to_datetime(frame[at].astype("int64"), unit="us")
+            yield frame
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         at, come = self.schema.names[self.at], []
         for frame in rows:
-            frame = frame.assign(**{at: frame[at].astype("datetime64[us]").astype("int64")})[self.schema.names]
-            come += [tuple(None if pd.isna(v) else v for v in r) for r in frame.astype(object).itertuples(index=False, name=None)]
+            times = frame[at].astype("datetime64[us]").astype("int64")
+            columns = [times if n == at else frame[n] for n in self.schema.names]
+            come += [tuple(None if pd.isna(v) else v for v in r) for r in zip(*(c.tolist() for c in columns), strict=True)]
         if self.wait:
             self.early.appendList(come)
             self.handle.registerTimer(min(r[self.at] for r in come) // 1000)
-            come = []
-        yield self._changed(come, timerValues.getCurrentWatermarkInMs())
+        else:
+            yield from self._changed(come, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
-        early = [tuple(r) for r in self.early.get()] if self.early.exists() else []
+        early = [tuple(r) for r in self.early.get()] if self.wait else []
         due, rest = ([r for r in early if (r[self.at] // 1000 <= now) == final] for final in (True, False))
         if due and rest:
             self.early.put(rest)
             self.handle.registerTimer(min(r[self.at] for r in rest) // 1000)
         elif due:
             self.early.clear()
-        if not due and not rest and self.ttl_ms is not None and self.last.exists() and self.last.get()[1] // 1000 + self.ttl_ms <= now:
-            self.last.clear()
-        yield self._changed(due, now)
+        if not due and not rest and self.ttl_ms is not None:
+            held = self.last.get()
+            if held is not None and held[1] // 1000 + self.ttl_ms <= now:
+                self.last.clear()
+        yield from self._changed(due, now)
 
 
 def _by_state(df: DataFrame, keys: Sequence[str], at: str, value: str, delay: str, ttl_hours: float | None, order: Sequence[str], wait: bool) -> DataFrame:

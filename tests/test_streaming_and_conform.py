@@ -81,3 +81,10 @@ def test_standings_and_instances(spark):
 def test_optional_source(spark, tmp_path):
     empty = spark.createDataFrame([], "a int")
     assert conform.optional(lambda: spark.read.parquet(str(tmp_path / "none")), empty) is empty
+
+
+def test_nothing_final_asks_for_no_state(spark):
+    """Keys without final rows cost no frame and no call on the state."""
+    schema = spark.createDataFrame([], "k long, at timestamp, v string").schema
+    changes = snapshots._Changes(schema, "at", [], "v", None, True)
+    assert list(changes._changed([], 0)) == []
