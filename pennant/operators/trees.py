@@ -33,11 +33,11 @@ class Forest:
     value: np.ndarray
     gain: dict[str, float] = field(default_factory=dict)
 
-    def leaves(self, x: np.ndarray) -> np.ndarray:
-        """rows x trees: the node each row ends in."""
+    def leaves(self, x: np.ndarray, levels: int | None = None) -> np.ndarray:
+        """rows x trees: the node each row ends in; levels: how deep the trees are so far, if less than they may be."""
         at = np.ones((len(x), len(self.feature)), np.int64)
         tree = np.arange(len(self.feature))
-        for _ in range(int(math.log2(self.feature.shape[1]))):
+        for _ in range(int(math.log2(self.feature.shape[1])) - 1 if levels is None else levels):
             f, t = self.feature[tree, at], self.threshold[tree, at]
             v = np.take_along_axis(x, np.maximum(f, 0), axis=1)
             at = np.where(f < 0, at, 2 * at + (v > t))
@@ -80,7 +80,7 @@ def extra_trees(df: DataFrame, features: Sequence[str], label: str, trees: int =
         of = {key: [] for key in asked}
         for i, (t, node, _, _) in enumerate(flat):
             of[t, node].append(i)
-        left = _sums(rows, forest, names, flat, of)
+        left = _sums(rows, forest, names, flat, of, level)
         for key, own in of.items():
             n, total = facts[key]
             best, chosen = 0.0, None
@@ -102,14 +102,14 @@ def extra_trees(df: DataFrame, features: Sequence[str], label: str, trees: int =
     return forest
 
 
-def _sums(rows: DataFrame, forest: Forest, names: list[str], flat: list[tuple], of: dict[tuple, list[int]]) -> dict[int, tuple[int, int]]:
+def _sums(rows: DataFrame, forest: Forest, names: list[str], flat: list[tuple], of: dict[tuple, list[int]], level: int) -> dict[int, tuple[int, int]]:
     """For each candidate split (tree, node, feature, threshold): rows that go left, and the sum of their labels in units."""
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count, label = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
         for frame in frames:
             x, y = frame[names].to_numpy(dtype=float, na_value=np.nan), np.round(frame["_y"].to_numpy(dtype=float) * UNIT).astype(np.int64)
-            at = forest.leaves(x)
+            at = forest.leaves(x, level)
             for (t, node), own in of.items():
                 here = np.flatnonzero(at[:, t] == node)
                 for i in own:

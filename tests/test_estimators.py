@@ -156,3 +156,11 @@ def test_values_are_dealt_over_all_rows(spark):
 def test_missing_features_count_as_the_mean():
     made = linear.Design(["a"], np.array([5.0]), np.array([2.0]))
     assert made(pd.DataFrame({"a": [None, 7.0]})).tolist() == [[1.0, 0.0], [1.0, 1.0]]
+
+
+def test_rows_go_down_grown_levels_only():
+    """Leaves are the same however many more steps there could be; a level of growing costs its own depth."""
+    forest = trees.Forest(["a"], np.array([[-1, 0, -1, 0, -1, -1, -1, -1]]), np.array([[0, 0.5, 0, 0.8, 0, 0, 0, 0]]), np.zeros((1, 8)))
+    x = np.array([[0.1], [0.6], [0.9], [np.nan]])
+    assert forest.leaves(x).tolist() == forest.leaves(x, 2).tolist() == forest.leaves(x, 5).tolist() == [[2], [6], [7], [2]]
+    assert forest.leaves(x, 0).tolist() == [[1]] * 4 and forest.leaves(x, 1).tolist() == [[2], [3], [3], [2]]
