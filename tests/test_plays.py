@@ -117,3 +117,10 @@ def test_outs_and_runners_are_kept(spark):
 def test_nothing(spark, tmp_path):
     (tmp_path / "x.EVA").write_text("id,X\nversion,2\n")
     assert plays.play_rows(readers.event_records(spark, str(tmp_path))).collect() == []
+
+
+def test_records_need_no_whole_file(spark, tmp_path):
+    """Records of a file are neither one row nor one window: no exchange stands before those by game."""
+    (tmp_path / "x.EVA").write_text(GAME)
+    plan = readers.event_records(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
