@@ -124,3 +124,12 @@ def test_records_need_no_whole_file(spark, tmp_path):
     (tmp_path / "x.EVA").write_text(GAME)
     plan = readers.event_records(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Exchange" not in plan
+
+
+def test_games_are_dealt_once(spark, tmp_path):
+    """All windows, groups and sums of a game come behind one exchange over as many partitions as asked for, and give the same rows."""
+    (tmp_path / "x.EVA").write_text(GAME)
+    records = readers.event_records(spark, str(tmp_path))
+    plan = plays.play_rows(records, 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "game_id" in plan.split("Exchange hashpartitioning(")[1].split(")")[0] and "Join" not in plan
+    assert sorted(map(tuple, plays.play_rows(records, 7).collect()), key=repr) == sorted(map(tuple, plays.play_rows(records).collect()), key=repr)
