@@ -94,7 +94,7 @@ def cnf_spring_games(t: Tables) -> DataFrame:
     """CNF-05: one era of each team that the season lies in."""
     rows = t.orders.filter("o_orderpriority = '5-LOW'").selectExpr("o_orderkey as id", "concat('T', o_custkey % 28) as code", "year(o_orderdate) as season")
     e = eras(t)
-    found = conform.in_era(rows, e, "code", "season", ["id"]).join(e.select(F.col("id").alias("team_id"), F.col("first_year")).distinct(), "team_id", "left")
+    found = conform.in_era(rows, e, "code", "season", ["id"]).join(F.broadcast(e.select(F.col("id").alias("team_id"), F.col("first_year")).distinct()), "team_id", "left")
     return found.select("id", "code", "first_year", F.col("team_id").isNotNull().alias("found"))
 
 

@@ -88,3 +88,30 @@ def test_nothing_final_asks_for_no_state(spark):
     schema = spark.createDataFrame([], "k long, at timestamp, v string").schema
     changes = snapshots._Changes(schema, "at", [], "v", None, True)
     assert list(changes._changed([], 0)) == []
+
+
+def test_eras_are_looked_up_once_for_each_team_and_season(spark):
+    """A register that repeats an era many times makes no pair of each of them with each of the team's rows."""
+    eras = spark.range(500).selectExpr("'A' as team_code", "1990 as first_year", "cast(if(id % 2 = 0, 1999, 9999) as int) as last_year", "id + 7 as id")
+    rows = spark.range(400).selectExpr("id as k", "case id % 4 when 0 then 'A' when 1 then 'B' when 2 then null else 'A' end as code", "cast(if(id % 8 = 7, null, 1995) as int) as season")
+    out = conform.in_era(rows, eras, "code", "season", ["k"])
+    got = {r.k: r.team_id for r in out.collect()}
+    assert len(got) == 400 and all(got[k] == (7 if k % 4 == 0 or k % 8 == 3 else None) for k in got)
+    assert max(_rows_of_joins(out)) <= 400
+
+
+def _rows_of_joins(df):
+    """Rows that each join of a frame that has run put out."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        if "QueryStage" in name:
+            todo.append(node.plan())
+        if name.endswith("Join"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
