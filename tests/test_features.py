@@ -120,3 +120,15 @@ def test_weighted_speed(spark):
 
     rows = spark.createDataFrame([(1, 30.0, 10), (1, 20.0, 30), (1, 99.0, 0), (2, 25.0, 0)], "team int, speed double, runs int")
     assert [tuple(r) for r in upcoming.weighted_season(rows, ["team"], "speed", "runs", "speed").collect()] == [(1, 22.5)]
+
+
+def test_partitions_grow_with_the_events(spark, sf, monkeypatch):
+    """A task joins and adds up no more events in a larger table."""
+    from pennant.plans import fixtures
+    from pennant.plans.registry import Tables
+
+    t = Tables(spark, sf)
+    n = fixtures.plays(t).count()
+    monkeypatch.setattr(X, "EVENTS_A_TASK", n // 9)
+    plan = X.counted(fixtures.plays(t), fixtures.games(t), "batting")._jdf.queryExecution().optimizedPlan().toString()
+    assert any(f"RepartitionByExpression [game_id#{line.split('game_id#')[1].split(']')[0]}], {-(-n // (n // 9))}" in line for line in plan.split("\n") if "RepartitionByExpression" in line)
