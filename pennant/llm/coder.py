@@ -3,15 +3,21 @@
 Every block is coded by itself: its model begins empty. Three predictions share
 an interval of 2**20 for each id: the id that last followed the last two ids,
 the one that last followed the last id, and order 0, the block's ids so far. An
-id that none of them holds takes the escape's share and two bytes (four where an
-id of the block needs more), equally likely. The shares are those that each has
-earned in the block in the same cell: how often both contexts have just been
-right, and whether they agree. Order 0 and the shares are brought up to date
-whenever the number of ids has doubled, the contexts with every id. Intervals
-drive a carryless range coder with 64-bit registers and words of 16 bits.
+id that none of them holds takes the escape's share and stands as it is, in two
+bytes (four where an id of the call needs more), behind the block's words. The
+shares are those that each has earned in the block in the same cell: how often
+both contexts have just been right, and whether they agree. Order 0 and the
+shares are brought up to date whenever the number of ids has doubled, the
+contexts with every id. Intervals drive a range coder with a window of 48 bits
+and words of 16 bits, which passes carries on to the words before.
+
+A block is its words, then its escaped ids, the last one first.
 
 Blocks don't depend on each other, so the blocks of a call go in step: step i
-codes the i-th id of all of them as array operations.
+codes the i-th id of all of them as array operations. Only the intervals need
+that when coding: what the contexts and order 0 hold at each id is found for
+whole blocks by sorting. The registers are doubles: sums and products below
+2**53 are exact, and so is the whole part of the quotients here.
 """
 
 from __future__ import annotations
@@ -23,255 +29,289 @@ U32, U64 = np.uint32, np.uint64
 BLOCK = 1024
 TOTAL_BITS = 20
 TOTAL = 1 << TOTAL_BITS
-#: What order 0 and the escape have at least.
-FLOOR = 1 << 12
+#: What order 0 and the escape have at least: no interval is so narrow that a step settles more than one word.
+FLOOR = 1 << 13
 WEIGHTS = TOTAL - 2 * FLOOR
 #: Sizes of the hashed tables of one block, as powers of two.
-ONE_BITS, TWO_BITS = 9, 10
+ONE_BITS, TWO_BITS = 7, 8
 CELLS = 32
-FIRST_UPDATE, FIRST_TABLE = 16, 64
-TOP, LEAST = U64(1 << 48), U64(1 << 32)
-WORD = U64(16)
-
-
-class Coder:
-    """Registers and models of all blocks of a call."""
-
-    def __init__(self, lanes: int, steps: int):
-        self.low, self.span = np.zeros(lanes, U64), np.full(lanes, (1 << 64) - 1, U64)
-        lane = np.arange(lanes)
-        self.lane, self.base1, self.base2, self.base = lane, lane << ONE_BITS, lane << TWO_BITS, lane * CELLS
-        self.one, self.two = np.zeros(lanes << ONE_BITS, U32), np.zeros(lanes << TWO_BITS, U32)
-        self.first = self.second = np.zeros(lanes, U32)
-        self.came = np.zeros((steps, lanes), np.uint8)
-        self.counts = np.zeros((lanes, CELLS, 4), np.int64)
-        self.n = self.seen = 0
-        self.shares()
-
-    def shares(self) -> None:
-        """Ends of the first and second context's shares and the unit of order 0, by cell."""
-        of = self.counts.sum(axis=1)
-        earned = 256 * self.counts + ((1024 * of) // np.maximum(1, of.sum(axis=1))[:, None])[:, None, :] + 16
-        two, one, zero = ((WEIGHTS * earned[..., k] // earned.sum(axis=2)).astype(np.int32).ravel() for k in (2, 1, 0))
-        self.end2, self.end1 = two, two + one
-        self.unit0 = (zero + FLOOR) >> max(0, self.n.bit_length() - 1)
-
-    def learn(self, i: int, live: int) -> None:
-        """Count what the steps since the last update came by."""
-        at = self.came[self.seen : i, :live] + self.lane[:live] * (4 * CELLS)
-        self.counts += np.bincount(at.ravel(), minlength=self.counts.size).reshape(self.counts.shape)
-        self.seen = i
-        self.shares()
-
-    def predict(self) -> None:
-        live = len(self.first)
-        a = self.first * U32(0x9E3779B1)
-        b = (self.first * U32(0x85EBCA77)) ^ (self.second * U32(0xC2B2AE3D))
-        b *= U32(0x9E3779B1)
-        self.at1, self.at2 = self.base1[:live] + (a >> U32(32 - ONE_BITS)), self.base2[:live] + (b >> U32(32 - TWO_BITS))
-        e1, e2 = self.one.take(self.at1), self.two.take(self.at2)
-        self.p1, self.p2 = e1 >> U32(2), e2 >> U32(2)
-        self.c1, self.c2 = e1 & U32(3), e2 & U32(3)
-        self.agree = self.p1 == self.p2
-        self.cell = ((self.c2 << U32(3)) | (self.c1 << U32(1)) | self.agree).astype(np.uint8)
-        at = self.base[:live] + self.cell
-        self.e2, self.e1, self.u = self.end2.take(at), self.end1.take(at), self.unit0.take(at)
-        self.own2 = np.where(self.agree, self.e1, self.e2)
-
-    def update(self, ids: np.ndarray) -> None:
-        for table, at, p, c in ((self.one, self.at1, self.p1, self.c1), (self.two, self.at2, self.p2, self.c2)):
-            hit = p == ids
-            new = ids << U32(2)
-            new |= np.minimum(c + U32(1), U32(3)) * hit
-            table[at] = new
-        self.second, self.first = self.first, ids
-
-    def interval(self, i: int, is2: np.ndarray, is1: np.ndarray, is0: np.ndarray | None, begin: np.ndarray | None, size: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Begin and width of what came, and which came by the escape. is0, begin, size: of the table, if there is one."""
-        start = self.e1 + self.u * self.n if self.n else self.e1.copy()
-        width = TOTAL - start
-        kind = np.full(len(start), 3, np.uint8)
-        if self.n:
-            np.copyto(start, self.e1 + self.u * begin, where=is0)
-            np.copyto(width, self.u * size, where=is0)
-            np.copyto(kind, 0, where=is0)
-        np.copyto(start, self.e2, where=is1)
-        np.copyto(width, self.e1 - self.e2, where=is1)
-        np.copyto(kind, 1, where=is1)
-        np.copyto(start, 0, where=is2)
-        np.copyto(width, self.own2, where=is2)
-        np.copyto(kind, 2, where=is2)
-        self.came[i, : len(kind)] = (self.cell << np.uint8(2)) | kind
-        return start, width, np.flatnonzero(kind == 3)
-
-    def narrow(self, who: np.ndarray | None, begin: np.ndarray, size: np.ndarray | U64, unit: np.ndarray, words) -> None:
-        """Narrow the interval of the blocks `who` (None: all live ones) and pass on the words that are settled."""
-        if who is None:
-            live = len(unit)
-            low, span = self.low[:live], self.span[:live]
-            low += unit * begin
-            np.multiply(unit, size, out=span)
-            idx = np.flatnonzero(((low ^ (low + span)) < TOP) | (span < LEAST))
-        else:
-            low, span = self.low[who] + unit * begin, unit * size
-            self.low[who], self.span[who] = low, span
-            idx = who[((low ^ (low + span)) < TOP) | (span < LEAST)]
-        while idx.size:
-            low, span = self.low[idx], self.span[idx]
-            forced = (low ^ (low + span)) >= TOP
-            if forced.any():
-                span[forced] = (~low[forced] + U64(1)) & (LEAST - U64(1))
-            words(idx, low)
-            low <<= WORD
-            span <<= WORD
-            self.low[idx], self.span[idx] = low, span
-            idx = idx[((low ^ (low + span)) < TOP) | (span < LEAST)]
-
-    def cut(self, n: int) -> None:
-        self.first, self.second = self.first[:n], self.second[:n]
-
-
-def _table(history: np.ndarray) -> np.ndarray:
-    """history: blocks x ids. Per block the ids in order, each with where its run begins and how long it is, packed."""
-    ids = np.sort(history, axis=1, kind="stable")
-    n = ids.shape[1]
-    new = np.ones(ids.shape, bool)
-    new[:, 1:] = ids[:, 1:] != ids[:, :-1]
-    flat = np.flatnonzero(new)
-    size = np.diff(flat, append=ids.size)
-    run = ((flat % n) << 16 | size).astype(U64)
-    return (ids.astype(U64) << U64(32)) | np.repeat(run, size).reshape(ids.shape)
-
-
-class Places:
-    """Where the ids of blocks stand among the first n ids of their block in order."""
-
-    def __init__(self, grid: np.ndarray):
-        lanes, steps = grid.shape
-        order = np.argsort(grid, axis=1, kind="stable")
-        ids = np.take_along_axis(grid, order, axis=1)
-        new = np.ones((lanes, steps), bool)
-        new[:, 1:] = ids[:, 1:] != ids[:, :-1]
-        first = np.flatnonzero(new)
-        size = np.diff(first, append=new.size)
-        at = order + (np.arange(lanes) * steps)[:, None]
-        row = (np.arange(lanes) * (steps + 1)).repeat(np.add.reduce(new, axis=1)) + first % steps
-        self.begin, self.end = np.empty(new.size, np.int32), np.empty(new.size, np.int32)
-        self.begin[at.ravel()] = np.repeat(row.astype(np.int32), size)
-        self.end[at.ravel()] = np.repeat((row + size).astype(np.int32), size)
-        self.order = order.astype(np.int32)
-
-    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """For the ids from n to 2 n: begin and length of the id's run among the first n; length 0 if it isn't there."""
-        lanes, steps = self.order.shape
-        upto = np.zeros((lanes, steps + 1), np.int32)
-        np.cumsum(self.order < n, axis=1, dtype=np.int32, out=upto[:, 1:])
-        begin, end = (upto.take(x.reshape(lanes, steps)[:, n : 2 * n].T) for x in (self.begin, self.end))
-        return begin, end - begin
-
+#: An interval that came by the second context, the first, order 0 or the escape.
+TWO, ONE, ZERO, ESCAPE = range(4)
+#: Ids before the first update.
+FIRST = 32
+WINDOW, LEAST, WORD = float(1 << 48), float(1 << 32), float(1 << 16)
+HASH, SHIFT = U32(0x9E3779B1), U32(7)
+#: Blocks modelled at a time when coding, and decoded in step: what they need stays in the processor's caches.
+MODEL_LANES, DECODE_LANES = 128, 4096
+
+
+class Shares:
+    """What each prediction has earned, by block and cell."""
+
+    def __init__(self, lanes: int):
+        self.counts = np.zeros((4, lanes, CELLS))
+        self.update(None, 0)
+
+    def update(self, came: np.ndarray | None, n: int) -> None:
+        """came: (block * CELLS + cell) * 4 + kind of every id since the last update. n: ids that order 0 holds."""
+        if came is not None:
+            self.counts += np.bincount(came.ravel(), minlength=self.counts.size).reshape(-1, 4).T.reshape(self.counts.shape)
+        of = self.counts.sum(axis=2)
+        earned = 256 * self.counts + (np.floor(1024 * of / np.maximum(1, of.sum(axis=0))) + 16)[:, :, None]
+        of = earned[0] + earned[1] + earned[2] + earned[3]
+        two, one, zero = ((WEIGHTS * earned[k] / of).astype(np.int64) for k in (TWO, ONE, ZERO))
+        one += two
+        two[:, 1::2] = one[:, 1::2]
+        unit = (zero + FLOOR) >> max(0, n.bit_length() - 1)
+        self.packed = (two | (one << TOTAL_BITS) | (unit << (2 * TOTAL_BITS))).ravel()
+
+    def ends(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ends of the second and first context's shares and the unit of order 0, for block * CELLS + cell."""
+        packed = self.packed.take(at)
+        two, one = packed & (TOTAL - 1), (packed >> TOTAL_BITS) & (TOTAL - 1)
+        return two.astype(np.int32), one.astype(np.int32), (packed >> (2 * TOTAL_BITS)).astype(np.int32)
+
+
+def _cells(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Cells of entries of both tables: id * 4 + how often it has just been right, up to 3."""
+    return ((((two & U32(3)) << U32(3)) | ((one & U32(3)) << U32(1))) + ((one ^ two) < U32(4))).astype(np.uint8)
+
+
+def _phases(steps: int) -> list[tuple[int, int]]:
+    """From one update to the next."""
+    at = [0]
+    while (due := max(FIRST, 2 * at[-1])) < steps:
+        at.append(due)
+    return list(zip(at, [*at[1:], steps], strict=True))
+
+
+def _in_order(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """values: blocks x ids. Each block's places ordered by value, as places of all blocks and of the block, and where another value begins."""
+    lanes, steps = values.shape
+    key = np.sort((values << values.dtype.type(16)) | np.arange(steps, dtype=values.dtype), axis=1)
+    place = (key & values.dtype.type(0xFFFF)).astype(np.int64)
+    new = np.ones((lanes, steps), bool)
+    new[:, 1:] = (key[:, 1:] ^ key[:, :-1]) > 0xFFFF
+    return place + (np.arange(lanes) * steps)[:, None], place, new
+
+
+def _entries(ids: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """The entry that each id finds in its slot of a table."""
+    at, _, new = _in_order(slot)
+    value, last = ids.take(at), np.zeros(ids.shape, U32)
+    np.multiply(value[:, :-1], ~new[:, 1:], out=last[:, 1:])
+    hit = np.zeros(ids.shape, bool)
+    np.logical_and((last == value)[:, :-1], ~new[:, 1:], out=hit[:, 1:])
+    runs = hit.astype(np.uint8)
+    again = hit[:, 1:] & hit[:, :-1]
+    runs[:, 1:] += again
+    runs[:, 2:] += again[:, 1:] & hit[:, :-2]
+    out = np.empty(ids.shape, U32)
+    out.ravel()[at] = (last << U32(2)) | runs
+    return out
+
+
+def _runs(ids: np.ndarray, wide: bool) -> np.ndarray:
+    """Where each id's run begins among the ids that order 0 holds then, in order, and how long it is, packed; 0 if it isn't there."""
+    lanes, steps = ids.shape
+    out = np.zeros(ids.size, U32)
+    at, place, new = (x.ravel() for x in _in_order(ids.astype(U64) if wide else ids))
+    first = np.flatnonzero(new)
+    start = np.repeat(first, np.diff(first, append=len(new)))
+    place = place.astype(np.int32)
+    for n, _ in _phases(steps)[1:]:
+        # The ids that order 0 holds come first in their run.
+        held = place < n
+        upto = np.cumsum(held, dtype=np.int32)
+        which = np.flatnonzero((place & -n) == n)
+        run = start[which]
+        before = upto[run] - held[run]
+        size = upto[which] - before
+        out[at[which]] = (((before - which // steps * n) << 16) | size) * (size > 0)
+    return out.reshape(lanes, steps)
+
+
+def _model(ids: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ids: blocks x ids. Begin and width of each id's interval, and which ids came by the escape."""
+    lanes, steps = ids.shape
+    hashed = ids * HASH
+    slot = np.zeros((2, lanes, steps), U32)
+    slot[0, :, 1:] = hashed[:, :-1] >> U32(32 - ONE_BITS)
+    slot[1, :, 1:] = hashed[:, :-1]
+    slot[1, :, 2:] ^= hashed[:, :-2] << SHIFT
+    slot[1] >>= U32(32 - TWO_BITS)
+    one, two, runs = _entries(ids, slot[0]), _entries(ids, slot[1]), _runs(ids, wide)
+    kind = ((one >> U32(2)) != ids).astype(np.uint8)
+    kind += kind * (runs == 0)
+    kind = ((two >> U32(2)) != ids) * (kind + np.uint8(1))
+    at = _cells(one, two) + (np.arange(lanes) * CELLS)[:, None]
+    shares, begin, width = Shares(lanes), np.empty(ids.shape, np.int32), np.empty(ids.shape, np.int32)
+    for i, j in _phases(steps):
+        if i:
+            shares.update(at[:, last:i] * 4 + kind[:, last:i], i)
+        last = i
+        k, run = kind[:, i:j], runs[:, i:j]
+        two, one, unit = shares.ends(at[:, i:j])
+        end0 = one + unit * np.int32(i)
+        zero = one + unit * (run >> U32(16)).astype(np.int32)
+        begin[:, i:j] = np.where(k < ZERO, two * (k == ONE), np.where(k == ZERO, zero, end0))
+        size = np.where(k == ZERO, unit * (run & U32(0xFFFF)).astype(np.int32), TOTAL - end0)
+        width[:, i:j] = np.where(k < ZERO, np.where(k == ONE, one - two, two), size)
+    return begin, width, kind == ESCAPE
+
+
+def _words(begin: np.ndarray, width: np.ndarray, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """begin, width: ids x blocks. The words of every block in a row, and how many each has. last: ids of the last block."""
+    steps, lanes = begin.shape
+    low, span, who, what = np.zeros(lanes), np.full(lanes, WINDOW), [], []
+
+    def settle(idx: np.ndarray) -> None:
+        """Pass on the top word of these blocks; it may be 2**16 or more, with a carry."""
+        x = low[idx]
+        word = np.floor(x / LEAST)
+        low[idx] = (x - word * LEAST) * WORD
+        who.append(idx.astype(np.int32))
+        what.append(word.astype(np.int32))
 
-def _due(i: int, first: int) -> bool:
-    return i >= first and i & (i - 1) == 0
+    live = lanes
+    for i in range(steps):
+        if i == last:
+            live = lanes - 1
+        unit = np.floor(span[:live] * (1 / TOTAL))
+        low[:live] += unit * begin[i, :live]
+        np.multiply(unit, width[i, :live], out=span[:live])
+        idx = np.flatnonzero(span[:live] < LEAST)
+        if idx.size:
+            span[idx] *= WORD
+            settle(idx)
+    for _ in range(3):
+        settle(np.arange(lanes))
+    lane = np.concatenate(who)
+    out = np.concatenate(what)[np.argsort(lane.astype(np.uint16) if lanes <= 0xFFFF else lane, kind="stable")]
+    over = np.flatnonzero(out > 0xFFFF)
+    while over.size:
+        out[over] &= 0xFFFF
+        over = over - 1
+        out[over] += 1
+        over = over[out[over] > 0xFFFF]
+    return out.astype("<u2"), np.bincount(lane, minlength=lanes)
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[list[bytes], bool]:
-    """Coded words of each block of `block` ids (the last may be shorter), and whether ids take four bytes."""
+    """Coded bytes of each block of `block` ids (the last may be shorter), and whether ids take four bytes."""
     if not len(ids):
         return [], False
     wide = int(ids.max()) > 0xFFFF
     lanes, steps = -(-len(ids) // block), min(block, len(ids))
     last = len(ids) - (lanes - 1) * block
-    grid = np.zeros((lanes, steps), U32 if wide else np.uint16)
+    grid = np.zeros((lanes, steps), U32)
     grid.ravel()[: len(ids)] = ids
-    by_step = np.ascontiguousarray(grid.T).astype(U32)
-    c, places, who, what = Coder(lanes, steps), Places(grid), [], []
+    begin, width = np.empty((steps, lanes), np.int32), np.empty((steps, lanes), np.int32)
+    plain, sizes = [], []
+    for k in range(0, lanes, MODEL_LANES):
+        part = grid[k : k + MODEL_LANES]
+        b, w, escaped = _model(part, wide)
+        begin[:, k : k + MODEL_LANES], width[:, k : k + MODEL_LANES] = b.T, w.T
+        if k + MODEL_LANES >= lanes:
+            escaped[-1, last:] = False
+        plain.append(part[:, ::-1][escaped[:, ::-1]].astype("<u4" if wide else "<u2"))
+        sizes.append(escaped.sum(axis=1))
+    words, count = _words(begin, width, last)
+    words, plain = words.tobytes(), np.concatenate(plain).tobytes()
+    ends, plain_ends = 2 * np.cumsum(count), (4 if wide else 2) * np.cumsum(np.concatenate(sizes))
+    cuts = lambda at: zip([0, *at.tolist()], at.tolist())  # noqa: B905, E731
+    return [words[a:b] + plain[c:d] for (a, b), (c, d) in zip(cuts(ends), cuts(plain_ends), strict=True)], wide
 
-    def words(idx: np.ndarray, low: np.ndarray) -> None:
-        who.append(idx.astype(np.int32))
-        what.append((low >> U64(48)).astype(np.uint16))
 
-    live, begin, size, is0 = lanes, None, None, None
+def _table(history: np.ndarray) -> np.ndarray:
+    """history: blocks x ids, a power of two. Per block the ids in order, each with where its run begins and how long it is, packed."""
+    ids = np.sort(history, axis=1, kind="stable")
+    n = ids.shape[1]
+    new = np.ones(ids.shape, bool)
+    new[:, 1:] = ids[:, 1:] != ids[:, :-1]
+    flat = np.flatnonzero(new)
+    size = np.diff(flat, append=ids.size)
+    run = ((flat & (n - 1)) << 16 | size).astype(U64)
+    return ((ids.astype(U64) << U64(32)) | np.repeat(run, size).reshape(ids.shape)).ravel()
+
+
+def _decode(blocks: list[bytes], steps: int, wide: bool) -> np.ndarray:
+    """Blocks x steps. What stands after the end of a shorter block means nothing."""
+    lanes, lane = len(blocks), np.arange(len(blocks))
+    coded = np.frombuffer(b"".join(blocks) + bytes(2), "<u2").astype(np.uint16)
+    back = np.cumsum([len(b) // 2 for b in blocks])
+    at = np.append(0, back[:-1])
+    code = np.zeros(lanes)
+    for k in range(3):
+        code = code * WORD + coded.take(at + k, mode="clip")
+    at += 3
+    span = np.full(lanes, WINDOW)
+    out, came = np.zeros((steps, lanes), U32 if wide else np.uint16), np.empty((steps, lanes), np.uint8)
+    shares, cells = Shares(lanes), lane * CELLS
+    # Both tables of a block, one after the other.
+    each = (1 << ONE_BITS) + (1 << TWO_BITS)
+    entries, base = np.zeros(lanes * each, U32), np.stack([lane * each, lane * each + (1 << ONE_BITS)])
+    slot, hashed, before = np.zeros((2, lanes), U32), np.zeros(lanes, U32), np.zeros(lanes, U32)
+    ends = np.zeros((5, lanes), np.int32)
+    ends[4] = TOTAL
+    right = np.array([1, 2, 3, 3, 0], U32)
+    phases, n, last, table = {i for i, _ in _phases(steps)} - {0}, 0, 0, None
     for i in range(steps):
-        if i == last and lanes > 1:
-            live = lanes - 1
-            c.cut(live)
-        if _due(i, FIRST_TABLE):
-            c.n = i
-            begin, size = places(i)
-        if _due(i, FIRST_UPDATE):
-            c.learn(i, live)
-        x = by_step[i, :live]
-        c.predict()
-        own = (begin[i - c.n, :live], size[i - c.n, :live]) if c.n else (None, None)
-        start, width, raw = c.interval(i, c.p2 == x, c.p1 == x, own[1] > 0 if c.n else None, *own)
-        c.narrow(None, start.astype(U64), width.astype(U64), c.span[:live] >> U64(TOTAL_BITS), words)
-        if raw.size:
-            if wide:
-                c.narrow(raw, (x[raw] >> U32(16)).astype(U64), U64(1), c.span[raw] >> WORD, words)
-            c.narrow(raw, (x[raw] & U32(0xFFFF)).astype(U64), U64(1), c.span[raw] >> WORD, words)
-        c.update(x)
-    for k in (48, 32, 16, 0):
-        words(np.arange(lanes), c.low << U64(48 - k))
-    lane = np.concatenate(who)
-    order = np.argsort(lane.astype(np.uint16) if lanes <= 0xFFFF else lane, kind="stable")
-    out = np.concatenate(what)[order].astype("<u2").tobytes()
-    ends = 2 * np.cumsum(np.bincount(lane, minlength=lanes))
-    return [out[b:e] for b, e in zip((ends - np.diff(ends, prepend=0)).tolist(), ends.tolist(), strict=True)], wide
+        if i in phases:
+            n, table = i, _table(np.ascontiguousarray(out[:i].T))
+            shares.update(came[last:i] + lane * (4 * CELLS), n)
+            last = i
+        np.right_shift(hashed, U32(32 - ONE_BITS), out=slot[0])
+        np.right_shift(hashed ^ before, U32(32 - TWO_BITS), out=slot[1])
+        place = base + slot
+        found = entries.take(place)
+        cell = _cells(found[0], found[1])
+        ends[1], ends[2], step = shares.ends(cells + cell)
+        np.add(ends[2], step * np.int32(n), out=ends[3])
+        unit = np.floor(span * (1 / TOTAL))
+        v = np.minimum(code / unit, TOTAL - 1).astype(np.int32)
+        not2 = v >= ends[1]
+        kind = not2.view(np.uint8) + (v >= ends[2]).view(np.uint8) + (v >= ends[3]).view(np.uint8)
+        came[i] = (cell << np.uint8(2)) | kind
+        to = kind * np.int64(lanes) + lane
+        begin = ends.take(to)
+        width = ends.take(to + lanes) - begin
+        guess = found >> U32(2)
+        x = np.where(not2, guess[0], guess[1])
+        if n:
+            idx = np.flatnonzero(kind == ZERO)
+            one, u = begin[idx], step[idx]
+            run = table.take(idx * n + ((v[idx] - one) / u).astype(np.int64))
+            x[idx] = run >> U64(32)
+            begin[idx] = one + u * ((run >> U64(16)) & U64(0xFFFF)).astype(np.int32)
+            width[idx] = u * (run & U64(0xFFFF)).astype(np.int32)
+        idx = np.flatnonzero(kind == ESCAPE)
+        if idx.size:
+            p = back[idx] - (2 if wide else 1)
+            back[idx] = p
+            x[idx] = coded.take(p, mode="clip").astype(U32) | (coded.take(p + 1, mode="clip").astype(U32) << U32(16) if wide else U32(0))
+        code -= unit * begin
+        np.multiply(unit, width, out=span)
+        idx = np.flatnonzero(span < LEAST)
+        if idx.size:
+            p = at[idx]
+            code[idx] = code[idx] * WORD + coded.take(p, mode="clip")
+            span[idx] *= WORD
+            at[idx] = p + 1
+        out[i] = x
+        new = x << U32(2)
+        entries[place] = new + right.take(np.minimum(found - new, U32(4)))
+        np.left_shift(hashed, SHIFT, out=before)
+        np.multiply(x, HASH, out=hashed)
+    return np.ascontiguousarray(out.T)
 
 
 def decode(blocks: list[bytes], n_ids: int, wide: bool, block: int = BLOCK) -> np.ndarray:
     """The ids of encode's blocks."""
     if not n_ids:
         return np.zeros(0, U32)
-    lanes, steps = len(blocks), min(block, n_ids)
-    last = n_ids - (lanes - 1) * block
-    sizes = np.array([len(b) // 2 for b in blocks])
-    coded = np.frombuffer(b"".join(blocks) + bytes(8), "<u2").astype(np.uint16)
-    at = np.cumsum(sizes) - sizes
-    code = np.zeros(lanes, U64)
-    for k in range(4):
-        code = (code << WORD) | coded.take(at + k, mode="clip")
-    at += 4
-    out = np.zeros((steps, lanes), U32 if wide else np.uint16)
-    c = Coder(lanes, steps)
-
-    def words(idx: np.ndarray, low: np.ndarray) -> None:
-        p = at[idx]
-        code[idx] = (code[idx] << WORD) | coded.take(p, mode="clip")
-        at[idx] = p + 1
-
-    def raw16(who: np.ndarray) -> np.ndarray:
-        unit = c.span[who] >> WORD
-        v = np.minimum((code[who] - c.low[who]) // unit, U64(0xFFFF))
-        c.narrow(who, v, U64(1), unit, words)
-        return v.astype(U32)
-
-    live, table, is0, begin, size = lanes, None, None, None, None
-    for i in range(steps):
-        if i == last and lanes > 1:
-            live = lanes - 1
-            c.cut(live)
-        if _due(i, FIRST_TABLE):
-            c.n, table, rows = i, _table(np.ascontiguousarray(out[:i].T)).ravel(), c.lane * i
-        if _due(i, FIRST_UPDATE):
-            c.learn(i, live)
-        c.predict()
-        unit = c.span[:live] >> U64(TOTAL_BITS)
-        v = ((code[:live] - c.low[:live]) // unit).astype(np.int32)
-        is2, is1 = v < c.own2, v < c.e1
-        x = c.p1.copy()
-        if c.n:
-            slot = (v - c.e1) // c.u
-            is0 = slot < c.n
-            run = table.take(rows[:live] + np.minimum(np.maximum(slot, 0), c.n - 1))
-            np.copyto(x, run >> U64(32), where=~is1, casting="unsafe")
-            begin, size = ((run >> U64(16)) & U64(0xFFFF)).astype(np.int32), (run & U64(0xFFFF)).astype(np.int32)
-        np.copyto(x, c.p2, where=is2)
-        start, width, raw = c.interval(i, is2, is1, is0, begin, size)
-        c.narrow(None, start.astype(U64), width.astype(U64), unit, words)
-        if raw.size:
-            high = raw16(raw) << U32(16) if wide else U32(0)
-            x[raw] = high | raw16(raw)
-        out[i, :live] = x
-        c.update(x)
-    return np.ascontiguousarray(out.T).ravel()[:n_ids].astype(U32)
+    steps = min(block, n_ids)
+    out = np.empty((len(blocks), steps), U32)
+    for k in range(0, len(blocks), DECODE_LANES):
+        out[k : k + DECODE_LANES] = _decode(blocks[k : k + DECODE_LANES], steps, wide)
+    return out.ravel()[:n_ids]

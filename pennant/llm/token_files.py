@@ -3,7 +3,7 @@
 A file is Parquet, so any store that Spark writes to will do. Each row is a
 segment of whole documents: part and segment give the order, start the ids that
 the part holds before it, doc_ids and sizes its documents, blocks the coded
-words of every coder.BLOCK ids and checks the crc32 of those ids as
+bytes of every coder.BLOCK ids and checks the crc32 of those ids as
 little-endian unsigned 32-bit integers. A segment can be read without any other;
 a block whose ids don't match its check raises.
 

@@ -3,7 +3,9 @@
 Texts are cut before a space or line feed that stands alone between two
 characters that aren't white space. Byte-level tokenizers split words there in
 any case, and no piece of the sentencepiece vocabulary holds such a place, so
-the ids of a text are those of its chunks in order. A memo per worker process
+the ids of a text are those of its chunks in order. For the byte-level ids alone
+texts are also cut between a letter and a sign, as a word often stands with more
+than one. A memo per worker process
 keeps the ids of the chunks it has seen, found by a 64-bit hash and the length;
 it starts anew when it holds MEMO_CHUNKS.
 """
@@ -49,6 +51,16 @@ def byte_level(path: str, special: bool):
     return t, [(names[i].encode() if i in added else bytes(of[c] for c in names[i])) if i in names else b"" for i in range(max(names) + 1)]
 
 
+@functools.cache
+def signs_of(path: str) -> np.ndarray:
+    """The bytes at which a byte-level tokenizer ends a run of letters: ASCII that is no letter, digit or white space, nor in a special string."""
+    t, _ = byte_level(path, True)
+    signs = np.zeros(256, bool)
+    signs[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+    signs[list("".join(x.content for x in t.get_added_tokens_decoder().values()).encode())] = False
+    return signs
+
+
 @functools.cache
 def pieces(path: str):
     """The sentencepiece model and the bytes of each id."""
@@ -84,13 +96,22 @@ def _firm_begin(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ((b > 0x20) & (b < 0x7F)) | ((b >= 0xC3) & (b <= 0xDF)) | ((b >= 0xE4) & (b <= 0xEE))
 
 
-def cut(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Where chunks begin: at every text that isn't empty, and at lone spaces and line feeds inside of one."""
+def _letter_end(data: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether the character that ends before each place is surely a letter: A-Z, a-z, or from U+00C0 up to U+027F."""
+    one, two = (data[np.maximum(end - k, 0)] for k in (1, 2))
+    return ((one | 0x20) >= 0x61) & ((one | 0x20) <= 0x7A) | ((one & 0xC0) == 0x80) & ((two >= 0xC4) & (two <= 0xC9) | (two == 0xC3) & (one != 0x97) & (one != 0xB7))
+
+
+def cut(data: np.ndarray, at: np.ndarray, signs: np.ndarray | None = None) -> np.ndarray:
+    """Where chunks begin: at every text that isn't empty, at lone spaces and line feeds inside of one, and at signs (by byte) behind a letter."""
     full = at[1:] > at[:-1]
     mark = np.zeros(len(data), bool)
     lone = np.flatnonzero((data == 0x20) | (data == 0x0A))
     mark[lone[_firm_end(data, lone) & _firm_begin(data, lone + 1)]] = True
     mark[at[1:][full] - 1] = False
+    if signs is not None:
+        sign = np.flatnonzero(signs[data])
+        mark[sign[_letter_end(data, sign)]] = True
     mark[at[:-1][full]] = True
     return np.flatnonzero(mark)
 
@@ -209,6 +230,7 @@ class Ids:
 
     def __init__(self, path: str, special: bool = True):
         self.path, self.special = path, special
+        self.signs = signs_of(path)
         self.memo = Memo(self._learn, self._forget)
 
     def _forget(self) -> None:
@@ -221,7 +243,7 @@ class Ids:
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin (with the end of the last)."""
-        start = cut(data, at)
+        start = cut(data, at, self.signs)
         number = self.memo.numbers(data, start, np.append(start[1:], len(data)))
         count = self.count[number]
         return self.flat[spread(self.begin[number], count)], np.append(0, np.cumsum(count))[np.searchsorted(start, at)]

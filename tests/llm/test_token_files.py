@@ -71,6 +71,64 @@ def test_coder(n):
             assert (coder.decode([b], len(own), wide) == own).all()
 
 
+def test_a_word_is_learnt_once_whatever_sign_follows():
+    path = tokens.vocabulary(token_files.VOCABULARY)
+    t, _ = tokens.byte_level(path, True)
+    texts = [" one été", " one. été. one, été, one's x<|endoftext|>y", " one, été's. one. été,", " a×b. a÷b. ꙮ. 1. é́. Ωm. _a_b'll 'tis x|y x>y"]
+    memo, learnt = tokens.Ids(path), []
+    for text in texts:
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, bounds = memo.encode(data, np.array([0, len(data)]))
+        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
+        learnt.append(len(memo.memo.keys))
+    # Two words, then "." "," "'s" and the last, then no word or sign again.
+    assert learnt[:3] == [2, 6, 6]
+
+
+def by_hand(ids):
+    """What the contexts and order 0 hold at every id of a block."""
+    one, two, a, b, out = {}, {}, 0, 0, []
+    for i, x in enumerate(ids):
+        h1 = a >> (32 - coder.ONE_BITS)
+        h2 = (a ^ (b << int(coder.SHIFT)) & 0xFFFFFFFF) >> (32 - coder.TWO_BITS)
+        held = [table.get(h, (0, 0)) for table, h in ((one, h1), (two, h2))]
+        n = max((k for k, _ in coder._phases(len(ids)) if k <= i), default=0)
+        out.append((*(4 * p + c for p, c in held), (sum(y < x for y in ids[:n]), ids[:n].count(x)) if x in ids[:n] else (0, 0)))
+        for table, h, (p, c) in ((one, h1, held[0]), (two, h2, held[1])):
+            table[h] = (x, min(c + 1, 3) if p == x else 0)
+        a, b = x * int(coder.HASH) & 0xFFFFFFFF, a
+    return out
+
+
+@pytest.mark.parametrize(("most", "n"), [(4, 300), (40, 300), (3000, 1024), (1 << 30, 100)])
+def test_model_holds_what_a_walk_holds(most, n):
+    ids = np.random.default_rng(most).integers(0, most, (3, n)).astype(np.uint32)
+    ids[1, n // 2 :] = ids[1, : n - n // 2]
+    hashed = np.zeros((3, n + 2), np.uint32)
+    hashed[:, 2:] = ids * coder.HASH
+    one = coder._entries(ids, hashed[:, 1:-1] >> np.uint32(32 - coder.ONE_BITS))
+    two = coder._entries(ids, (hashed[:, 1:-1] ^ (hashed[:, :-2] << coder.SHIFT)) >> np.uint32(32 - coder.TWO_BITS))
+    runs = coder._runs(ids, most > 0xFFFF)
+    for k in range(3):
+        assert list(zip(one[k].tolist(), two[k].tolist(), zip((runs[k] >> 16).tolist(), (runs[k] & 0xFFFF).tolist(), strict=True), strict=True)) == by_hand(ids[k].tolist())
+
+
+def test_carries_reach_the_words_before():
+    """The last interval of many equal ones ends where a carry has to pass through words that are full."""
+    steps, lanes = 200, 3
+    begin, width = np.full((steps, lanes), coder.TOTAL - 16, np.int32), np.full((steps, lanes), 16, np.int32)
+    begin[:, 1] = np.arange(steps) % 2 * (coder.TOTAL - 16)
+    begin[:, 2] = np.random.default_rng(0).integers(0, coder.TOTAL - 16, steps)
+    words, count = coder._words(begin, width, steps)
+    for lane, part in enumerate(np.split(words, np.cumsum(count)[:-1])):
+        low, span, shift = 0, 1 << 48, 0
+        for b, w in zip(begin[:, lane].tolist(), width[:, lane].tolist(), strict=True):
+            low, span = low + (span >> coder.TOTAL_BITS) * b, (span >> coder.TOTAL_BITS) * w
+            if span < 1 << 32:
+                low, span, shift = low << 16, span << 16, shift + 1
+        assert int.from_bytes(part.astype(">u2").tobytes(), "big") == low and count[lane] == shift + 3
+
+
 def test_models_earn_their_shares():
     """What a context tells is cheap, what nothing tells costs two bytes and little more."""
     rng = np.random.default_rng(5)
