@@ -14,6 +14,11 @@ back to the blocks that asked for them, where the documents' figures are summed;
 no task holds more than a block and no table of pairs is sent to all. Only the
 greatest count of each A id is broadcast, which A's vocabulary bounds.
 
+A worker process keeps what it knows of chunks in flat arrays, some 100 bytes a
+chunk, and starts anew at MEMO_CHUNKS or, as chunks may be long, at MEMO_BYTES of
+links and shown ids. Files of blocks hold FILE_BLOCKS rows, as Spark reads a
+file's rows together.
+
 Texts that are null or empty, or whose joined bytes of A or B differ from the
 space and the text, have no ids: zeros and an empty digest. Repeated rows are
 documents of their own. Without documents the result is empty. Other columns are
@@ -38,6 +43,10 @@ from pennant.llm.tokens import spread
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 8 << 20
+FILE_BLOCKS = 2
+#: A worker process forgets its chunks at so many, or at so many bytes of links and shown ids.
+MEMO_CHUNKS = 1 << 20
+MEMO_BYTES = 96 << 20
 SALTS = 16
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 BLOCKS = (
@@ -70,13 +79,22 @@ class Aligned:
         self.length_b = np.array([len(x) for x in tokens.pieces(path_b)[1]])
         self.shown = [f"{i}{end}".encode() for i in range(len(self.length_a)) for end in ",|"] + [f"{i}{end}".encode() for i in range(len(self.length_b)) for end in ",;"]
         self.shown_length = np.array([len(x) for x in self.shown])
-        self.memo = tokens.Memo(self._learn, self._forget)
+        #: A link of a and b is the number a * (B's ids) + b.
+        self.kind = np.min_scalar_type(max(1, len(self.length_a) * len(self.length_b) - 1))
+        self.memo = tokens.Memo(self._learn, self._forget, self._large)
 
     def _forget(self) -> None:
         self.whole = np.zeros(0, bool)
-        self.figures = {name: np.zeros(0, np.int64) for name in FIGURES}
-        self.text: list[bytes] = []
-        self.link, self.begin = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.figures = {name: np.zeros(0, np.int32) for name in FIGURES}
+        self.text, self.text_at = bytearray(), np.zeros(1, np.int64)
+        self.link, self.begin = np.zeros(0, self.kind), np.zeros(0, np.int64)
+
+    def _large(self, chunks: int) -> bool:
+        return chunks >= MEMO_CHUNKS or len(self.text) + self.link.nbytes >= MEMO_BYTES
+
+    def shown_ids(self, number: np.ndarray) -> list[bytearray]:
+        """The shown ids of each chunk."""
+        return [self.text[i:j] for i, j in zip(self.text_at[number].tolist(), self.text_at[number + 1].tolist(), strict=True)]
 
     def _learn(self, chunks: list[bytes], plain: np.ndarray) -> None:
         a, n_a = tokens.byte_level_ids(chunks, plain, self.path_a, special=False)
@@ -91,14 +109,14 @@ class Aligned:
         last_a, last_b = (np.append(g[1:] != g[:-1], np.ones(min(1, len(g)), bool)) for g in (group_a, group_b))
         n_groups = np.bincount(of_a[last_a], minlength=len(chunks))
         shown = np.concatenate([2 * a + last_a, 2 * len(self.length_a) + 2 * b + last_b])[np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")]
-        text = b"".join([self.shown[i] for i in shown.tolist()])
-        ends = np.append(0, np.cumsum(self.shown_length[shown]))[np.cumsum(n_a + n_b)].tolist()
-        self.text += [text[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+        ends = np.append(0, np.cumsum(self.shown_length[shown]))[np.cumsum(n_a + n_b)]
+        self.text_at = np.concatenate([self.text_at, len(self.text) + ends])
+        self.text += b"".join([self.shown[i] for i in shown.tolist()])
         self.begin = np.concatenate([self.begin, len(self.link) + np.cumsum(n_links) - n_links])
-        self.link = np.concatenate([self.link, (a[place_a] << 32) | b[place_b]])
+        self.link = np.concatenate([self.link, (a[place_a] * len(self.length_b) + b[place_b]).astype(self.kind)])
         self.whole = np.concatenate([self.whole, whole])
         for name, own in zip(FIGURES, (n_a, n_b, n_groups, n_links), strict=True):
-            self.figures[name] = np.concatenate([self.figures[name], own])
+            self.figures[name] = np.concatenate([self.figures[name], own.astype(np.int32)])
 
     @staticmethod
     def _covers(chunks: list[bytes], ids: np.ndarray, count: np.ndarray, named: list[bytes]) -> np.ndarray:
@@ -142,32 +160,36 @@ class Block:
         keep = ~none[doc]
         for name in FIGURES:
             self.rows[name].append(np.bincount(doc[keep], weights=memo.figures[name][number[keep]], minlength=n).astype(np.int64))
-        order = number.tolist()
         for empty, i, j in zip(none.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            self.rows["groups_sha256"].append("" if empty else hashlib.sha256(b"".join([memo.text[k] for k in order[i:j]])[:-1]).hexdigest())
+            self.rows["groups_sha256"].append("" if empty else hashlib.sha256(b"".join(memo.shown_ids(number[i:j]))[:-1]).hexdigest())
         pair, times = np.unique(doc[keep] * len(memo.whole) + number[keep], return_counts=True)
         of, number = np.divmod(pair, max(1, len(memo.whole)))
-        for name, own in (("doc_ids", ids), ("doc", of + self.n), ("number", number), ("times", times)):
-            self.rows[name].append(own)
+        self.rows["doc_ids"].append(ids)
+        for name, own in (("doc", of), ("number", number), ("times", times)):
+            self.rows[name].append(own.astype(np.int32))
         self.n += n
         self.bytes += len(data)
 
     def row(self, memo: Aligned, block: int) -> pa.RecordBatch:
-        doc, number, times = (np.concatenate(self.rows[name]) for name in ("doc", "number", "times"))
-        known, own = np.unique(number, return_inverse=True)
+        known = np.unique(np.concatenate(self.rows["number"]))
         count = memo.figures["n_links"][known]
         pairs, place = np.unique(memo.link[spread(memo.begin[known], count)], return_inverse=True)
-        begin = np.cumsum(count) - count
-        key = np.repeat(doc, count[own]) * max(1, len(pairs)) + place[spread(begin[own], count[own])]
-        order = np.argsort(key)
-        key, times = key[order], np.repeat(times, count[own])[order]
-        first = np.flatnonzero(np.append(np.ones(min(1, len(key)), bool), key[1:] != key[:-1]))
-        times = np.add.reduceat(times, first) if len(first) else times
-        of, place = np.divmod(key[first], max(1, len(pairs)))
+        place, begin = place.astype(np.int32), np.cumsum(count) - count
+        sizes, places, often = [], [], []
+        for ids, doc, number, times in zip(*(self.rows[name] for name in ("doc_ids", "doc", "number", "times")), strict=True):
+            own = np.searchsorted(known, number)
+            key = np.repeat(doc.astype(np.int64), count[own]) * max(1, len(pairs)) + place[spread(begin[own], count[own])]
+            order = np.argsort(key)
+            key, times = key[order], np.repeat(times, count[own])[order]
+            first = np.flatnonzero(np.append(np.ones(min(1, len(key)), bool), key[1:] != key[:-1]))
+            of, at = np.divmod(key[first], max(1, len(pairs)))
+            sizes.append(np.bincount(of, minlength=len(ids)))
+            places.append(at.astype(np.int32))
+            often.append(np.add.reduceat(times, first) if len(first) else times)
         lists = {
             "doc_ids": pa.concat_arrays(self.rows["doc_ids"]), **{name: np.concatenate(self.rows[name]) for name in FIGURES}, "groups_sha256": self.rows["groups_sha256"],
-            "sizes": np.bincount(of, minlength=self.n), "places": place.astype(np.int32), "times": times.astype(np.int32),
-            "a": (pairs >> 32).astype(np.int32), "b": (pairs & 0xFFFFFFFF).astype(np.int32), "n": np.bincount(place, minlength=len(pairs)),
+            "sizes": np.concatenate(sizes), "places": np.concatenate(places), "times": np.concatenate(often).astype(np.int32),
+            "a": (pairs // len(memo.length_b)).astype(np.int32), "b": (pairs % len(memo.length_b)).astype(np.int32), "n": sum(np.bincount(x, minlength=len(pairs)) for x in places),
         }
         lists = {name: x if isinstance(x, pa.Array) else pa.array(x, pa.string() if name == "groups_sha256" else None) for name, x in lists.items()}
         columns = [pa.array([block], pa.int64()), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists.values())]
@@ -181,7 +203,7 @@ def blocks(docs: DataFrame, a: str = A, b: str = B, id_col: str = "doc_id", text
         memo, seen, block = aligned(tokens.vocabulary(a), tokens.vocabulary(b)), TaskContext.get().partitionId() << 32, Block()
         for batch in batches:
             for first, last, data, at in tokens.groups(batch.column(1), 1 << 20):
-                if block.n and (block.bytes >= BLOCK_BYTES or len(memo.memo.keys) >= tokens.MEMO_CHUNKS):
+                if block.n and (block.bytes >= BLOCK_BYTES or memo.memo.full()):
                     yield block.row(memo, seen)
                     seen, block = seen + 1, Block()
                 block.add(memo, batch.column(0).slice(first, last - first), data, at)
@@ -217,7 +239,7 @@ def _finish(block: pa.Table, answers: pa.Table) -> pa.Table:
 
 def figures(docs: DataFrame, a: str = A, b: str = B, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: see RESULT."""
-    done = materialize(blocks(docs, a, b, id_col, text_col), "aligned")
+    done = materialize(blocks(docs, a, b, id_col, text_col), "aligned", FILE_BLOCKS)
     pairs = done.select("block", F.posexplode(F.arrays_zip("a", "b", "n")).alias("place", "pair")).select("block", "place", "pair.a", "pair.b", "pair.n")
     counts = pair_counts(pairs)
     answers = pairs.join(counts, ["a", "b"]).select(F.col("block").alias("asked"), "place", "count", "best")

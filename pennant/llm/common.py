@@ -31,11 +31,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends there, every executor sees it."""
+def materialize(df: DataFrame, label: str, file_rows: int = 0) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: lineage ends there, every executor sees it. file_rows: so many rows in a file at most."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    (df.write.option("maxRecordsPerFile", file_rows) if file_rows else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -120,13 +120,17 @@ class Memo:
     """Numbers of chunks: equal chunks have one number.
 
     learn is called with the new chunks in the order of their numbers, and with
-    whether each would be cut off again if it stood between others.
+    whether each would be cut off again if it stood between others. large says of
+    a number of chunks whether to start anew before the next ones.
     """
 
-    def __init__(self, learn: Callable[[list[bytes], np.ndarray], None], forget: Callable[[], None]):
-        self.learn, self.forget = learn, forget
+    def __init__(self, learn: Callable[[list[bytes], np.ndarray], None], forget: Callable[[], None], large: Callable[[int], bool] = lambda n: n >= MEMO_CHUNKS):
+        self.learn, self.forget, self.large = learn, forget, large
         self.clear()
 
+    def full(self) -> bool:
+        return self.large(len(self.keys))
+
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.slots = [np.full(1 << SLOT_BITS, -1, np.int32) for _ in range(2)]
@@ -134,7 +138,7 @@ class Memo:
         self.forget()
 
     def numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        if len(self.keys) >= MEMO_CHUNKS:
+        if self.full():
             self.clear()
         keys = RunHash(data.astype(np.uint64) + np.uint64(1), BYTE_BASES[0])(start, end) ^ ((end - start).astype(np.uint64) << np.uint64(40))
         out = np.full(len(keys), -1, np.int32)
