@@ -214,8 +214,9 @@ def nested_stepwise(df: DataFrame, season: str, features: Sequence[str], label:
     The inner split learns from all but the last of the earlier seasons and scores
     on that one. A feature counts by what it gains over itself with its values
     dealt anew in the learning rows, so a column of noise gains about nothing.
+    Rows without a season are on no side of a split and left out.
     """
-    rows = with_flags(df.withColumn(label, F.col(label).cast("double")), features)
+    rows = with_flags(df.filter(F.col(season).isNotNull()).withColumn(label, F.col(label).cast("double")), features)
     seasons = sorted(r[0] for r in rows.select(season).distinct().collect())
     if len(seasons) < 3:
         raise ValueError("nested selection needs three seasons")

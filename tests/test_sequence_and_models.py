@@ -145,3 +145,21 @@ def test_models_join_their_rows_once(spark, sf):
     from pennant.plans.registry import Tables
 
     assert "Join" not in model_queries.orders_of_customers(Tables(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stepwise_reads_all_years(spark, sf, monkeypatch):
+    """Every order with its customer takes part, whatever its year."""
+    from pennant.plans import model_queries
+    from pennant.plans.registry import Tables
+
+    t, seen = Tables(spark, sf), []
+    monkeypatch.setattr(learn, "nested_stepwise", lambda df, *a, **k: seen.extend(r[0] for r in df.select("o_orderkey").collect()) or (["half_price"], 0.5))
+    model_queries.ml_stepwise(t).collect()
+    own = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    assert sorted(seen) == sorted(r[0] for r in own.select("o_orderkey").collect()) and own.filter("year(o_orderdate) < 1998").count()
+
+
+def test_nested_stepwise_leaves_out_rows_without_a_season(spark):
+    df = spark.range(900).selectExpr("if(id < 30, null, id % 3) as season", "(id * 7919) % 101 as signal", "cast((id * 7919) % 101 > 50 as int) as y")
+    chosen, found = learn.nested_stepwise(df, "season", ["signal"], "y", learn.CLASSIFIERS["logistic"], margin=0.02)
+    assert chosen == ["signal"] and found < 0.3
