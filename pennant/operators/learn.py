@@ -67,12 +67,12 @@ def walk_forward(df: DataFrame, season: str, features: Sequence[str], label: str
     return out
 
 
-def baselines(df: DataFrame, season: str, label: str) -> DataFrame:
-    """Adds p_home (share of label 1 in the seasons before), p_zero and p_season (mean of the season before)."""
-    totals = df.groupBy(season).agg(F.sum(F.col(label).cast("double")).alias("_s"), F.count(label).alias("_n"))
+def baselines(df: DataFrame, season: str, label: str, known: DataFrame | None = None) -> DataFrame:
+    """Adds p_home (share of label 1 in the seasons before), p_zero and p_season (mean of the season before). known: the rows of all seasons, if df lacks some."""
+    totals = (df if known is None else known).groupBy(season).agg(F.sum(F.col(label).cast("double")).alias("_s"), F.count(label).alias("_n"))
     w = Window.orderBy(season).rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(season, (F.sum("_s").over(w) / F.sum("_n").over(w)).alias("p_home"), F.lag(F.col("_s") / F.col("_n")).over(Window.orderBy(season)).alias("p_season"), F.lit(0.0).alias("p_zero"))
-    return df.join(totals, season, "left")
+    return df.join(F.broadcast(totals), season, "left")
 
 
 def classification_metrics(df: DataFrame, keys: Sequence[str], label: str, p: str) -> DataFrame:

@@ -153,9 +153,12 @@ def ml_stability(t: Tables) -> DataFrame:
 
 @query()
 def ml_walk_forward(t: Tables) -> DataFrame:
-    """ML-05, ML-06, ML-07: models of earlier seasons on each season, with baselines."""
-    found = learn.walk_forward(orders_of_customers(t), "season", ["c_acctbal", "c_nationkey", "month"], "y", learn.CLASSIFIERS["logistic"], ["o_orderkey"], first=4)
-    return learn.classification_metrics(learn.baselines(found, "season", "y"), ["season"], "y", "p")
+    """ML-05, ML-06, ML-07: models of earlier seasons on each season, with what the baselines lose there."""
+    o = orders_of_customers(t)
+    found = learn.walk_forward(o, "season", ["c_acctbal", "c_nationkey", "month"], "y", learn.CLASSIFIERS["logistic"], ["o_orderkey"], first=4)
+    rows = learn.baselines(found, "season", "y", o)
+    named = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(c).alias("q")) for n, c in (("logistic", "p"), ("home_rate", "p_home"), ("zero", "p_zero"), ("season_average", "p_season"))])).alias("m")
+    return learn.classification_metrics(rows.select("season", "y", named).select("season", "y", "m.*"), ["season", "model"], "y", "q")
 
 
 def orders_of_customers(t: Tables) -> DataFrame:

@@ -163,3 +163,25 @@ def test_nested_stepwise_leaves_out_rows_without_a_season(spark):
     df = spark.range(900).selectExpr("if(id < 30, null, id % 3) as season", "(id * 7919) % 101 as signal", "cast((id * 7919) % 101 > 50 as int) as y")
     chosen, found = learn.nested_stepwise(df, "season", ["signal"], "y", learn.CLASSIFIERS["logistic"], margin=0.02)
     assert chosen == ["signal"] and found < 0.3
+
+
+def test_walk_forward_is_judged_beside_baselines(spark, sf):
+    """Every season has the model and all baselines, whose shares also know the seasons that are only learnt from."""
+    from pennant.plans import model_queries
+    from pennant.plans.registry import Tables
+
+    t = Tables(spark, sf)
+    seasons = {}
+    for r in t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.year("o_orderdate").alias("s"), (F.col("o_totalprice") > 200000).alias("y")).collect():
+        seasons.setdefault(r.s, []).append(float(r.y))
+    ordered, want = sorted(seasons), {}
+    for k in range(4, len(ordered)):
+        own, past = seasons[ordered[k]], [y for s in ordered[:k] for y in seasons[s]]
+        for name, p in (("home_rate", np.mean(past)), ("zero", 0.0), ("season_average", np.mean(seasons[ordered[k - 1]]))):
+            q = min(1 - learn.EPS, max(learn.EPS, p))
+            want[ordered[k], name] = (len(own), np.mean([-(y * np.log(q) + (1 - y) * np.log(1 - q)) for y in own]), np.mean([(p - y) ** 2 for y in own]), np.mean([(p >= 0.5) == y for y in own]))
+    got = {(r.season, r.model): r for r in model_queries.ml_walk_forward(t).collect()}
+    assert set(got) == set(want) | {(s, "logistic") for s in ordered[4:]} and len(want) == 3 * len(ordered[4:]) > 0
+    for key, (n, *figures) in want.items():
+        assert got[key].n == n and np.allclose([got[key].log_loss, got[key].brier, got[key].accuracy], figures)
+    assert all(got[s, "logistic"].n == len(seasons[s]) and got[s, "logistic"].log_loss > 0 for s in ordered[4:])
